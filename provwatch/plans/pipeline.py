@@ -1,0 +1,118 @@
+"""The model graph, and the tables it leaves behind.
+
+Each silver and gold table is written to Parquet once and read back by the models above it. That keeps
+plans short, gives the optimizer real file sizes to choose joins by, and means that a lost executor costs
+one model's tasks rather than the whole chain.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable, Iterator, Mapping
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame, SparkSession
+
+from provwatch.plans.alerts import build_alerts
+from provwatch.plans.exclusions import build_exclusions
+from provwatch.plans.facilities import build_facilities
+from provwatch.plans.hospital_spending import build_hospital_spending
+from provwatch.plans.ml_features import build_ml_features
+from provwatch.plans.payments import build_payments
+from provwatch.plans.prescriptions import build_prescriptions
+from provwatch.plans.provider import build_provider
+from provwatch.plans.provider_360 import build_provider_360
+from provwatch.plans.risk_score import build_risk_score
+from provwatch.plans.summaries import build_payments_summary, build_prescriptions_summary
+from provwatch.sources.bronze import stage
+from provwatch.sources.sinks import write_clustered, write_table
+
+
+@dataclass(frozen=True)
+class Model:
+    build: Callable[..., DataFrame]
+    inputs: tuple[str, ...]
+    # Columns a clustered write sorts by, and the column that splits hot keys there.
+    cluster_by: tuple[str, ...] = ()
+    spread: tuple[str, ...] = ()
+
+
+# Sources by the role they play; registry sources keep active rows only where the flag says so.
+ACTIVE_ONLY = {"nppes_provider", "taxonomy_code"}
+
+MODELS: dict[str, Model] = {
+    "excluded_providers": Model(build_exclusions, ("leie", "nppes_provider", "nppes_address")),
+    "provider": Model(build_provider, ("nppes_provider", "nppes_address", "nppes_taxonomy", "leie")),
+    "payments": Model(
+        build_payments,
+        ("open_payments_general", "open_payments_research", "open_payments_ownership", "leie"),
+        ("STATE", "NPI", "PAYMENT_CATEGORY"),
+        ("PAYMENT_ID",),
+    ),
+    "prescriptions": Model(build_prescriptions, ("part_d", "leie"), ("STATE", "NPI"), ("PRESCRIPTION_ID",)),
+    "facilities": Model(build_facilities, ("hospice", "home_health", "ltch", "nursing_home")),
+    "hospital_spending": Model(build_hospital_spending, ("spending",)),
+    "payments_summary": Model(build_payments_summary, ("payments",)),
+    "prescriptions_summary": Model(build_prescriptions_summary, ("prescriptions",)),
+    "provider_360": Model(
+        build_provider_360, ("provider", "payments_summary", "prescriptions_summary", "excluded_providers")
+    ),
+    "fraud_risk_score": Model(build_risk_score, ("provider_360",)),
+    "high_risk_alerts": Model(
+        build_alerts,
+        ("provider_360", "fraud_risk_score", "excluded_providers", "payments", "prescriptions"),
+    ),
+    "provider_ml_features": Model(build_ml_features, ("provider_360", "prescriptions", "payments")),
+}
+
+
+class Lake(Mapping[str, DataFrame]):
+    """Model tables over one set of sources, built on first use and kept in one folder.
+
+    ``sources`` maps source names to functions that return the landed DataFrame.
+    """
+
+    def __init__(
+        self,
+        spark: SparkSession,
+        sources: Mapping[str, Callable[[], DataFrame]],
+        folder: str,
+        clustered: bool = False,
+    ) -> None:
+        self.spark = spark
+        self.folder = folder.rstrip("/")
+        self.clustered = clustered
+        self._sources = sources
+        self._paths: dict[str, str] = {}
+
+    def source(self, name: str) -> DataFrame:
+        """Staged source; a view, never written."""
+        return stage(self._sources[name](), active_only=name in ACTIVE_ONLY, stamped=False)
+
+    def _input(self, name: str) -> DataFrame:
+        return self[name] if name in MODELS else self.source(name)
+
+    def plan(self, name: str) -> DataFrame:
+        """The model itself, not yet run, over its written inputs."""
+        model = MODELS[name]
+        return model.build(*[self._input(i) for i in model.inputs])
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._paths:
+            model, path = MODELS[name], f"{self.folder}/{name}"
+            plan = self.plan(name)
+            if self.clustered and model.cluster_by:
+                write_clustered(plan, path, model.cluster_by, spread=model.spread)
+            else:
+                write_table(plan, path)
+            self._paths[name] = path
+        return self.spark.read.parquet(self._paths[name])
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(MODELS)
+
+    def __len__(self) -> int:
+        return len(MODELS)
+
+    def build_all(self) -> dict[str, DataFrame]:
+        """Full refresh of every model, in dependency order."""
+        return {name: self[name] for name in MODELS}
