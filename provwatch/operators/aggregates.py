@@ -68,7 +68,8 @@ def hhi(df: DataFrame, entity: str, category: str, weight: str, name: str = "HHI
 
 def hhi_of_weights(weight: Column) -> Column:
     """Herfindahl index over rows that already hold one category each; NULL for a zero total."""
-    squares = F.sum(weight.cast("decimal(18,0)") * weight.cast("decimal(18,0)")).cast("double")
+    exact = weight.cast("decimal(18,2)")
+    squares = F.sum(exact * exact).cast("double")
     total = F.sum(weight).cast("double")
     return F.try_divide(squares * F.lit(10000.0), total * total)
 

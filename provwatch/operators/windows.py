@@ -69,8 +69,8 @@ def top_sums(
 ) -> DataFrame:
     """Per key, the sum of the ``k`` largest measures for each k in ``sizes``.
 
-    A NULL measure ranks before all others and adds nothing, as in an unqualified descending order
-    of the reference warehouse; so a key with one NULL entry has 0 as its top-1 sum.
+    A NULL measure ranks before all others (NULL counts as the largest value) and adds nothing, so a key
+    with one NULL entry has 0 as its top-1 sum.
     """
     order = [F.col(measure).desc_nulls_first(), *[F.col(c).asc_nulls_last() for c in ties]]
     ranked = rank_in_group(df, keys, order, max(sizes))

@@ -20,8 +20,6 @@ from provwatch.plans.common import pick
 from provwatch.plans.ml_features import MEASURES
 from provwatch.plans.risk_score import HIGH_BRAND_PCT, TIER_ORDER
 
-_ACTIVE = F.col("HAS_PHARMA_PAYMENTS") | F.col("HAS_PRESCRIPTIONS")
-_NAME = F.coalesce(F.col("FULL_NAME"), F.col("ORGANIZATION_NAME")).alias("NAME")
 _ALERT_COLUMNS = (
     "ALERT_ID ALERT_TYPE NPI PROVIDER_NAME SPECIALTY STATE RISK_SCORE RISK_TIER ALERT_DESCRIPTION"
     " FINANCIAL_EXPOSURE PRIORITY_RANK"
@@ -34,6 +32,14 @@ def _whole(value: Column) -> Column:
     return F.round(value, 0)
 
 
+def _active() -> Column:
+    return F.col("HAS_PHARMA_PAYMENTS") | F.col("HAS_PRESCRIPTIONS")
+
+
+def _name() -> Column:
+    return F.coalesce(F.col("FULL_NAME"), F.col("ORGANIZATION_NAME")).alias("NAME")
+
+
 # --- overview ---------------------------------------------------------------------------------------
 
 
@@ -44,7 +50,7 @@ def kpis(provider_360: DataFrame) -> DataFrame:
         count_where(F.col("HAS_PHARMA_PAYMENTS")).alias("PROVIDERS_WITH_PAYMENTS"),
         count_where(F.col("HAS_PRESCRIPTIONS")).alias("PROVIDERS_WITH_PRESCRIPTIONS"),
         count_where(F.col("IS_EXCLUDED")).alias("EXCLUDED_PROVIDERS"),
-        count_where(F.col("IS_EXCLUDED") & _ACTIVE).alias("EXCLUDED_WITH_ACTIVITY"),
+        count_where(F.col("IS_EXCLUDED") & _active()).alias("EXCLUDED_WITH_ACTIVITY"),
         _whole(F.sum("TOTAL_PAYMENT_AMOUNT")).alias("TOTAL_PHARMA_PAYMENTS"),
         _whole(F.sum("TOTAL_PRESCRIPTION_COST")).alias("TOTAL_PRESCRIPTION_COSTS"),
         F.round(quotient(F.sum(brand), F.count(brand)), 1).alias("AVG_BRAND_PCT"),
@@ -165,7 +171,7 @@ def search_providers(provider_360: DataFrame, term: str, limit: int = 50) -> Dat
         raise ValueError("search terms need at least 3 characters")
     pattern = f"%{term.upper()}%"
     hits = provider_360.filter(F.col("NPI").like(pattern.replace("\\", "\\\\")) | _name_like(pattern)).select(
-        "NPI", _NAME, *pick("ENTITY_TYPE SPECIALTY STATE IS_EXCLUDED TOTAL_FINANCIAL_EXPOSURE")
+        "NPI", _name(), *pick("ENTITY_TYPE SPECIALTY STATE IS_EXCLUDED TOTAL_FINANCIAL_EXPOSURE")
     )
     return top_k(hits, [("TOTAL_FINANCIAL_EXPOSURE", "desc", "last"), ("NPI",)], limit)
 
@@ -173,14 +179,14 @@ def search_providers(provider_360: DataFrame, term: str, limit: int = 50) -> Dat
 def compare_search(provider_360: DataFrame, term: str, limit: int = 20) -> DataFrame:
     """Providers with this NPI or with the term in their name."""
     hits = provider_360.filter((F.col("NPI") == term) | _name_like(f"%{term}%".upper()))
-    return top_k(hits.select("NPI", _NAME, *pick("SPECIALTY STATE CITY")), [("NPI",)], limit)
+    return top_k(hits.select("NPI", _name(), *pick("SPECIALTY STATE CITY")), [("NPI",)], limit)
 
 
 def excluded_with_activity(provider_360: DataFrame, limit: int = 100) -> DataFrame:
-    active = filter_true(provider_360, "IS_EXCLUDED").filter(_ACTIVE)
+    active = filter_true(provider_360, "IS_EXCLUDED").filter(_active())
     columns = active.select(
         "NPI",
-        _NAME,
+        _name(),
         *pick("SPECIALTY STATE EXCLUSION_REASON EXCLUSION_DATE TOTAL_PAYMENT_AMOUNT TOTAL_PRESCRIPTION_COST"),
         "TOTAL_FINANCIAL_EXPOSURE",
     )
@@ -268,7 +274,7 @@ def top_recipients(payments_summary: DataFrame, provider_360: DataFrame, limit:
         "NPI",
     )
     columns = joined.select(
-        "NPI", _NAME, *pick("SPECIALTY STATE TOTAL_PAYMENT_AMOUNT RECIPIENT_TIER IS_EXCLUDED")
+        "NPI", _name(), *pick("SPECIALTY STATE TOTAL_PAYMENT_AMOUNT RECIPIENT_TIER IS_EXCLUDED")
     )
     return top_k(columns, [("IS_EXCLUDED", "desc"), ("TOTAL_PAYMENT_AMOUNT", "desc"), ("NPI",)], limit)
 

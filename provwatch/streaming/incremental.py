@@ -122,11 +122,16 @@ class VersionedTable:
         arrive while the model runs are picked up next time. Returns whether there was anything new.
         """
         before = self.current()
-        fresh = since_watermark(source, None if before is None else before.high_water, column)
+        mark = None if before is None else before.high_water
+        fresh = since_watermark(source, mark, column)
         newest = fresh.agg(F.max(column)).first()[0]
         if newest is None:
             return False
-        self.merge(build(fresh.filter(F.col(column) <= F.lit(newest))), high_water=newest)
+        batch = fresh.filter(F.col(column) <= F.lit(newest))
+        if mark is None:
+            # A first load also takes rows that carry no load time.
+            batch = batch.unionByName(source.filter(F.col(column).isNull()))
+        self.merge(build(batch), high_water=newest)
         return True
 
 
