@@ -55,8 +55,10 @@ def partition_total(
 
     A window would gather each group in one task; the total is aggregated and joined back instead.
     """
-    totals = df.groupBy(*keys).agg(F.sum(measure).alias(name))
-    return salted_left_join(df, totals, keys, spread)
+    # As a struct the key also matches where parts of it are NULL, as rows of one window partition do.
+    keyed = df.withColumn("__key", F.struct(*keys))
+    totals = keyed.groupBy("__key").agg(F.sum(measure).alias(name))
+    return salted_left_join(keyed, totals, "__key", spread).drop("__key")
 
 
 def top_sums(

@@ -100,8 +100,11 @@ class VersionedTable:
         number = 1 if before is None else before.number + 1
         path = f"{self.path}/versions/{number:08d}-{uuid.uuid4().hex[:8]}"
         df.write.parquet(path)
-        entry = self.spark.createDataFrame([(number, path, high_water, batch_id)], _MANIFEST)
-        entry.coalesce(1).write.mode("append").parquet(self._manifest_path)
+        values = {"version": number, "path": path, "high_water": high_water, "batch_id": batch_id}
+        entry = self.spark.range(1, numPartitions=1).select(
+            *[F.lit(values[f.name]).cast(f.dataType).alias(f.name) for f in _MANIFEST.fields]
+        )
+        entry.write.mode("append").parquet(self._manifest_path)
 
     def merge(self, batch: DataFrame, high_water=None, batch_id: str | None = None) -> None:
         """Commit a new version with the batch merged in. A batch id seen before is skipped."""
