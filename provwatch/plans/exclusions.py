@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from provwatch.functions import COMPACT_DATE, clean, code_lookup, ladder, present, surrogate_key, try_date
 from provwatch.operators.filters import filter_true
-from provwatch.operators.joins import left_join, semi_join
+from provwatch.operators.joins import salted_left_join, semi_join, star_join
 from provwatch.operators.windows import keep_latest
 from provwatch.plans.common import stamp
 from provwatch.plans.provider import one_address_per_provider, one_row_per_provider
@@ -49,15 +49,17 @@ def build_exclusions(
     the joins, which can then never multiply rows, and gives the same winner as deduplicating after.
     """
     names = bronze_columns("LEIE")
-    listed = leie.filter(present(F.col("EXCLDATE"))).select(
+    dated = leie.filter(present(F.col("EXCLDATE")))
+    listed = dated.select(
         surrogate_key(*[F.col(c) for c in ("NPI", "EXCLDATE", "LASTNAME", "FIRSTNAME")]).alias("EXCLUSION_ID"),
         try_date(F.col("EXCLDATE"), COMPACT_DATE).alias("EXCLUSION_DATE"),
         *names,
     )
     listed = keep_latest(listed, ["EXCLUSION_ID"], F.col("EXCLUSION_DATE").desc_nulls_last(), names)
 
-    # Only registry rows that an exclusion refers to are worth sorting and joining.
-    npis = listed.select("NPI")
+    # What the registry knows about the listed NPIs, one row each. Only registry rows that an exclusion
+    # refers to are sorted and joined; the salted join spreads blank NPIs, which many exclusions share.
+    npis = dated.select("NPI").distinct()
     registry = one_row_per_provider(semi_join(provider, npis, "NPI")).select(
         "NPI",
         F.col("ENTITY_TYPE_DESC").alias("NPPES_ENTITY_TYPE"),
@@ -74,7 +76,8 @@ def build_exclusions(
         F.col("STATE_CODE").alias("NPPES_STATE"),
         F.col("POSTAL_CODE_5").alias("NPPES_ZIP"),
     )
-    joined = left_join(left_join(listed, registry, "NPI"), places, "NPI")
+    known = star_join(npis, [registry, places], "NPI")
+    joined = salted_left_join(listed, known, "NPI", spread=["EXCLUSION_ID"])
 
     reinstated = present(F.col("REINDATE"))
     if placeholder_values:

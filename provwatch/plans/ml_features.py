@@ -74,7 +74,13 @@ def build_drug_concentration(prescriptions: DataFrame) -> DataFrame:
 
     A drug whose claims are all unknown ranks first, so it takes a place among the top drugs with 0.
     """
-    drugs = prescriptions.groupBy("NPI", "GENERIC_NAME").agg(F.sum("TOTAL_CLAIMS").alias("DRUG_CLAIMS"))
+    # Both uses below share this aggregate's shuffle; the filter, which the join would add to one of them
+    # only, keeps them alike.
+    drugs = (
+        prescriptions.filter(F.col("NPI").isNotNull())
+        .groupBy("NPI", "GENERIC_NAME")
+        .agg(F.sum("TOTAL_CLAIMS").alias("DRUG_CLAIMS"))
+    )
     totals = drugs.groupBy("NPI").agg(
         F.count("GENERIC_NAME").alias("UNIQUE_DRUGS"),
         F.sum("DRUG_CLAIMS").alias("TOTAL_CLAIMS"),

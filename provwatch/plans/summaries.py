@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from provwatch.functions import percentage_or_zero, ratio, ratio_or_zero, surrogate_key, tier
 from provwatch.operators.aggregates import any_true, count_where, sum_where, two_stage
+from provwatch.operators.joins import left_join
 from provwatch.plans.common import stamp
 
 # Size classes.
@@ -90,14 +91,25 @@ def build_payments_summary(payments: DataFrame, loaded_at=None) -> DataFrame:
     return stamp(result, loaded_at)
 
 
-def build_prescriptions_summary(prescriptions: DataFrame, loaded_at=None) -> DataFrame:
-    """Prescription totals per NPI."""
-    brand, risk = F.col("DRUG_TYPE") == "BRAND", F.col("RISK_TIER")
-    claims, cost = F.col("TOTAL_CLAIMS"), F.col("TOTAL_COST")
-    totals = prescriptions.groupBy("NPI").agg(
+def _prescriber_names(prescriptions: DataFrame) -> DataFrame:
+    """Largest name, type and state per NPI.
+
+    A maximum of strings makes Spark aggregate by sorting. Reducing to distinct combinations first is a
+    hash aggregation, and leaves about one row per prescriber to sort.
+    """
+    combinations = prescriptions.select("NPI", "PRESCRIBER_FULL_NAME", "PRESCRIBER_TYPE", "STATE").distinct()
+    return combinations.groupBy("NPI").agg(
         F.max("PRESCRIBER_FULL_NAME").alias("PRESCRIBER_NAME"),
         F.max("PRESCRIBER_TYPE").alias("SPECIALTY"),
         F.max("STATE").alias("STATE"),
+    )
+
+
+def build_prescriptions_summary(prescriptions: DataFrame, loaded_at=None) -> DataFrame:
+    """Prescription totals per NPI; prescriptions without an NPI have been dropped before."""
+    brand, risk = F.col("DRUG_TYPE") == "BRAND", F.col("RISK_TIER")
+    claims, cost = F.col("TOTAL_CLAIMS"), F.col("TOTAL_COST")
+    volumes = prescriptions.groupBy("NPI").agg(
         F.count("*").alias("TOTAL_DRUG_RECORDS"),
         F.sum("TOTAL_CLAIMS").alias("TOTAL_CLAIMS"),
         F.sum("TOTAL_BENEFICIARIES").alias("TOTAL_BENEFICIARIES"),
@@ -110,6 +122,7 @@ def build_prescriptions_summary(prescriptions: DataFrame, loaded_at=None) -> Dat
         *[count_where(risk == r).alias(f"{r}_RISK_DRUGS") for r in ("CRITICAL", "VERY_HIGH", "HIGH")],
         any_true(F.col("IS_PRESCRIBER_EXCLUDED")).alias("IS_EXCLUDED_PROVIDER"),
     )
+    totals = left_join(volumes, _prescriber_names(prescriptions), "NPI")
     risky = F.col("CRITICAL_RISK_DRUGS") + F.col("VERY_HIGH_RISK_DRUGS") + F.col("HIGH_RISK_DRUGS")
     result = totals.select(
         surrogate_key(F.col("NPI")).alias("PROVIDER_PRESCRIPTION_KEY"),
