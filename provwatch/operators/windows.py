@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from provwatch.functions.numeric import quotient
 from provwatch.operators.joins import salted_left_join
 
 _RANK = "__rank"
@@ -83,3 +84,14 @@ def top_sums(
         for k in sizes
     ]
     return ranked.groupBy(*keys).agg(*sums)
+
+
+def top_k_share(
+    df: DataFrame, entity: str, category: str, weight: str, sizes: Sequence[int], prefix: str = "TOP_"
+) -> DataFrame:
+    """Per entity, the percentage of its total weight that its k largest categories hold."""
+    weights = df.groupBy(entity, category).agg(F.sum(weight).alias("__weight"))
+    totals = weights.groupBy(entity).agg(F.sum("__weight").alias("__total"))
+    leaders = top_sums(weights, [entity], "__weight", [category], sizes, prefix)
+    shares = [quotient(F.col(f"{prefix}{k}"), F.col("__total"), 100).alias(f"{prefix}{k}_PCT") for k in sizes]
+    return totals.join(leaders, entity, "left").select(entity, *shares)

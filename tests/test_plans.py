@@ -48,7 +48,7 @@ def test_profile_joins_share_one_partitioning(no_broadcast):
 
 def test_lookup_filter_reaches_the_scan(spark):
     plan = plan_of(QUERIES["provider_details"].run(inputs_for(spark, SMALL)))
-    assert "PushedFilters: [IsNotNull(NPI), EqualTo(NPI,1000000007)]" in plan
+    assert "PushedFilters: [IsNotNull(NPI), EqualTo(NPI,1000000070)]" in plan
 
 
 def test_reports_read_only_their_columns(spark):

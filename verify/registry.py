@@ -301,8 +301,8 @@ add(
 
 # --- reports ----------------------------------------------------------------------------------------
 
-# A provider that exists at every scale: with payments, prescriptions and an exclusion where possible.
-NPI = "1000000007"
+# A provider with payments, prescriptions and alerts at every scale.
+NPI = "1000000070"
 
 
 def whole(cents: str, name: str) -> str:
@@ -378,8 +378,8 @@ add(
 )
 add(
     "provider_alerts",
-    lambda x: serving.provider_alerts(x.high_risk_alerts, "1000000033").drop("ALERT_DATE"),
-    f"select {ALERTS} from m_alerts where NPI = '1000000033'",
+    lambda x: serving.provider_alerts(x.high_risk_alerts, NPI).drop("ALERT_DATE"),
+    f"select {ALERTS} from m_alerts where NPI = '{NPI}'",
 )
 add(
     "alert_filter_options",
@@ -692,6 +692,17 @@ add(
     lambda x: quality.count_invariants(x.lake),
     " union all ".join(f"select '{n}' as INVARIANT, ({q}) as VIOLATIONS" for n, q in _INVARIANTS.items()),
 )
+add(
+    "dq_report",
+    lambda x: quality.run_expectations(x.lake),
+    " union all ".join(
+        [_row_checks_sql(k) for k in ("not_null", "accepted", "range")]
+        + [_UNIQUE_SQL, _RELATIONSHIP_SQL]
+        + [
+            f"select cast(null as varchar), '{n}', 'invariant', cast(({q}) as bigint)" for n, q in _INVARIANTS.items()
+        ]
+    ),
+)
 
 # --- sources and sinks ------------------------------------------------------------------------------
 
@@ -1095,6 +1106,16 @@ add(
     f"""select l_suppkey, {big("max(q):TOP_1", "sum(q):TOP_3")} from (from m_supplier_parts
         qualify row_number() over (partition by l_suppkey order by q desc, l_partkey) <= 3) group by l_suppkey""",
 )
+add(
+    "top_k_share",
+    lambda x: windows.top_k_share(x.raw("lineitem"), "l_suppkey", "l_partkey", "l_quantity", [1, 3]).select(
+        "l_suppkey", F.round("TOP_1_PCT", 4).alias("TOP_1_PCT"), F.round("TOP_3_PCT", 4).alias("TOP_3_PCT")
+    ),
+    f"""select l_suppkey, {o._share("a", "t", 4)} as TOP_1_PCT, {o._share("b", "t", 4)} as TOP_3_PCT from (
+        select l_suppkey, sum(q) as t, max(q) as a, sum(q) filter (rn <= 3) as b from (
+            select *, row_number() over (partition by l_suppkey order by q desc, l_partkey) as rn from m_supplier_parts)
+        group by l_suppkey)""",
+)
 add(
     "order_price_percentiles",
     lambda x: ranking.percentile_ranks(
@@ -1210,12 +1231,21 @@ def _prescriptions(x: Inputs) -> Callable[[DataFrame], DataFrame]:
     return lambda rows: build_prescriptions(latest_part_d_rows(rows), x.source("leie")).drop("_loaded_at")
 
 
+def _deliveries(x: Inputs) -> tuple[DataFrame, DataFrame]:
+    """Two deliveries of landed rows: the first holds preliminary costs for what the second replaces."""
+    landed = sinks.write_table(x.source("part_d"), x.scratch("landed"))
+    final = landed.filter(F.dayofmonth("_LOAD_TIMESTAMP") == 2)
+    preliminary = final.withColumns(
+        {"TOT_DRUG_CST": F.lit("1"), "_LOAD_TIMESTAMP": F.lit("2024-01-01").cast("timestamp_ntz")}
+    )
+    return landed.filter(F.dayofmonth("_LOAD_TIMESTAMP") == 1).unionByName(preliminary), final
+
+
 def _two_refreshes(x: Inputs) -> DataFrame:
-    """First the rows loaded on the first day, then whatever is newer than those."""
+    first, second = _deliveries(x)
     table = VersionedTable(x.spark, x.scratch("incremental"), "PRESCRIPTION_ID")
-    landed = sinks.write_table(x.source("part_d"), x.scratch("landed"))
-    table.refresh(landed.filter(F.dayofmonth("_LOAD_TIMESTAMP") == 1), _prescriptions(x))
-    table.refresh(landed, _prescriptions(x))
+    table.refresh(first, _prescriptions(x))
+    table.refresh(first.unionByName(second), _prescriptions(x))
     return table.read()
 
 
@@ -1248,13 +1278,12 @@ add(
 
 
 def _streamed(x: Inputs) -> DataFrame:
-    """Two files of landed rows, picked up by the file stream one at a time."""
-    landing = x.scratch("stream")
-    landed = sinks.write_table(x.source("part_d"), x.scratch("landed"))
-    for half in (1, 2):
-        landed.filter(F.dayofmonth("_LOAD_TIMESTAMP") == half).write.mode("append").parquet(landing)
+    """The deliveries arrive as files, picked up by the stream in two runs."""
     table = VersionedTable(x.spark, x.scratch("streamed"), "PRESCRIPTION_ID")
-    stream_upserts(x.spark, landing, landed.schema, table, _prescriptions(x), x.scratch("stream-state"), 4)
+    landing, state = x.scratch("stream"), x.scratch("stream-state")
+    for delivery in _deliveries(x):
+        delivery.write.mode("append").parquet(landing)
+        stream_upserts(x.spark, landing, delivery.schema, table, _prescriptions(x), state)
     return table.read()
 
 
