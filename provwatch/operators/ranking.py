@@ -21,7 +21,6 @@ from pyspark.sql import functions as F
 # A bucket holds the values that share their sign, magnitude and first 11 significant bits.
 _SIGNIFICANT_BITS = 11
 _HOT_SHARE = 1000
-_GROUP = "__group"
 _VALUE = "__value"
 _METRIC = "__metric"
 
@@ -38,19 +37,25 @@ def radix_bucket(value: Column) -> Column:
     return F.signum(value).cast("bigint") * (leading + shift * F.lit(2**_SIGNIFICANT_BITS))
 
 
-def cumulative_cells(rows: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
-    """One row per (keys, value) with ``__n`` rows here, ``__below`` smaller ones, ``__size`` in the group."""
-    cells = (
-        rows.groupBy(*keys, value)
-        .agg(F.count("*").alias("__n"))
-        .withColumn("__bucket", radix_bucket(F.col(value)))
-    )
+def value_counts(rows: DataFrame, keys: Sequence[str], value: str, carried: Sequence[str] = ()) -> DataFrame:
+    """One row per (keys, value) with its count ``__n``; ``carried`` columns depend on the keys."""
+    return rows.groupBy(*keys, *carried, value).agg(F.count("*").alias("__n"))
+
+
+def cumulative_cells(
+    rows: DataFrame, keys: Sequence[str], value: str, carried: Sequence[str] = ()
+) -> DataFrame:
+    """Value counts with ``__below`` smaller rows of the group and ``__size`` rows in the whole group.
+
+    Bucket totals are counted from the rows again rather than from the value counts: that needs one more
+    pass over narrow rows, but its shuffle holds buckets only.
+    """
     earlier = (Window.unboundedPreceding, -1)
     inside = Window.partitionBy(*keys, "__bucket").orderBy(value).rowsBetween(*earlier)
     over_buckets = Window.partitionBy(*keys).orderBy("__bucket")
     buckets = (
-        cells.groupBy(*keys, "__bucket")
-        .agg(F.sum("__n").alias("__bucket_n"))
+        rows.groupBy(*keys, radix_bucket(F.col(value)).alias("__bucket"))
+        .agg(F.count("*").alias("__bucket_n"))
         .withColumn(
             "__before", F.coalesce(F.sum("__bucket_n").over(over_buckets.rowsBetween(*earlier)), F.lit(0))
         )
@@ -58,49 +63,59 @@ def cumulative_cells(rows: DataFrame, keys: Sequence[str], value: str) -> DataFr
         .drop("__bucket_n")
     )
     return (
-        cells.withColumn("__inside", F.coalesce(F.sum("__n").over(inside), F.lit(0)))
+        value_counts(rows, keys, value, carried)
+        .withColumn("__bucket", radix_bucket(F.col(value)))
+        .withColumn("__inside", F.coalesce(F.sum("__n").over(inside), F.lit(0)))
         .join(buckets, [*keys, "__bucket"])
         .withColumn("__below", F.col("__before") + F.col("__inside"))
         .drop("__bucket", "__before", "__inside")
     )
 
 
+def _group_keys(groups: Sequence[str]) -> list[str]:
+    return [f"__group{i}" for i in range(len(groups))]
+
+
 def _long_form(
     df: DataFrame, id_columns: Sequence[str], groups: Sequence[str], measures: Sequence[str], scale: int
 ) -> DataFrame:
-    """One row per input row and measure; the group columns become one NULL-safe struct key."""
+    """One row per input row and measure.
+
+    Group columns become text keys that are never NULL, since NULLs form a group but do not join.
+    """
+    keys = [
+        F.when(F.col(g).isNull(), F.lit("")).otherwise(F.concat(F.lit("="), F.col(g).cast("string"))).alias(k)
+        for g, k in zip(groups, _group_keys(groups))
+    ]
     entries = [
         F.struct(F.lit(i).alias(_METRIC), _fixed_point(F.col(m), scale).alias(_VALUE))
         for i, m in enumerate(measures)
     ]
-    return df.select(
-        *id_columns, F.struct(*groups).alias(_GROUP), F.inline(F.array(*entries))
-    )
+    return df.select(*id_columns, *keys, F.inline(F.array(*entries)))
 
 
-def _lookup_by_value(rows: DataFrame, cells: DataFrame, answer: str, spread: str) -> DataFrame:
-    """Give each row the answer of its (metric, group, value) cell, with hot cells split off.
+def _lookup_by_value(
+    rows: DataFrame, cells: DataFrame, keys: Sequence[str], value: str, answer: str, spread: str
+) -> DataFrame:
+    """Give each row the answer of its cell (by keys and value), with hot cells shared by several tasks.
 
     A cell with at least one row in a thousand is hot; there can be no more than a thousand of them, which
-    bounds the broadcast. Rows served that way still pass through the shuffled join that answers the cold
-    ones, but carry a filler in an extra key column that matches nothing and spreads them over all tasks.
+    bounds the broadcast that tells rows of hot cells in how many parts their cell is split. The cell
+    itself is repeated once per part. All other rows and cells have the single part 0.
     """
-    keys = [_METRIC, _GROUP, _VALUE]
-    total = cells.agg(F.sum("__n")).scalar()
-    hot = cells.filter(F.col("__n") * F.lit(_HOT_SHARE) >= total).select(
-        *keys, F.col(answer).alias("__hot")
-    )
-    is_cold = F.col("__hot").isNull()
-    filler = F.pmod(F.xxhash64(spread), F.lit(1 << 20))
-    routed = (
-        rows.join(F.broadcast(hot), keys, "left")
-        .withColumn("__route", F.when(is_cold, F.lit(-1)).otherwise(filler))
+    names = [*keys, value]
+    total = rows.agg(F.count("*")).scalar()
+    parts = (F.floor(F.col("__n") * F.lit(_HOT_SHARE) / total) + F.lit(1)).cast("int")
+    hot = (
+        value_counts(rows, keys, value)
+        .filter(F.col("__n") * F.lit(_HOT_SHARE) >= total)
+        .select(*names, parts.alias("__parts"))
     )
-    cold = cells.select(*keys, F.col(answer).alias("__cold"), F.lit(-1).cast("bigint").alias("__route"))
-    joined = routed.join(cold, [*keys, "__route"], "left")
-    return joined.withColumn(answer, F.coalesce(F.col("__hot"), F.col("__cold"))).drop(
-        "__hot", "__cold", "__route"
+    routed = rows.join(F.broadcast(hot), names, "left").withColumn(
+        "__part", F.pmod(F.xxhash64(spread), F.coalesce(F.col("__parts"), F.lit(1))).cast("int")
     )
+    copies = cells.select(*names, answer, F.explode(F.sequence(F.lit(0), parts - F.lit(1))).alias("__part"))
+    return routed.join(copies, [*names, "__part"], "left").drop("__parts", "__part")
 
 
 def percentile_ranks(
@@ -115,14 +130,15 @@ def percentile_ranks(
     ``measures`` maps output names to columns with at most ``scale`` fraction digits and no NULLs.
     """
     rows = _long_form(df, [key], groups, list(measures.values()), scale)
-    cells = cumulative_cells(rows, [_METRIC, _GROUP], _VALUE).withColumn(
+    keys = [_METRIC, *_group_keys(groups)]
+    cells = cumulative_cells(rows, keys, _VALUE).withColumn(
         "__percent",
         F.when(
             F.col("__size") > 1,
             F.col("__below").cast("double") / (F.col("__size") - 1).cast("double") * F.lit(100.0),
         ).otherwise(F.lit(0.0)),
     )
-    ranked = _lookup_by_value(rows, cells, "__percent", key)
+    ranked = _lookup_by_value(rows, cells, keys, _VALUE, "__percent", key)
     return ranked.groupBy(key).agg(
         *[
             F.max(F.when(F.col(_METRIC) == i, F.col("__percent"))).alias(name)
@@ -135,23 +151,17 @@ def exact_medians(
     df: DataFrame, groups: Sequence[str], measures: Mapping[str, str], scale: int = 2
 ) -> DataFrame:
     """Exact medians of several measures per group, as doubles."""
-    rows = _long_form(df, [], groups, list(measures.values()), scale).filter(F.col(_VALUE).isNotNull())
-    cells = cumulative_cells(rows, [_METRIC, _GROUP], _VALUE)
+    rows = _long_form(df, groups, groups, list(measures.values()), scale).filter(F.col(_VALUE).isNotNull())
+    keys = [_METRIC, *groups, *_group_keys(groups)]
+    cells = cumulative_cells(rows, [_METRIC, *_group_keys(groups)], _VALUE, carried=groups)
     reached = F.col("__below") + F.col("__n")
     lower = F.floor((F.col("__size") + 1) / 2)
     upper = F.floor((F.col("__size") + 2) / 2)
-    middles = cells.groupBy(_METRIC, _GROUP).agg(
+    middles = cells.groupBy(*keys).agg(
         F.min(F.when(reached >= lower, F.col(_VALUE))).alias("__low"),
         F.min(F.when(reached >= upper, F.col(_VALUE))).alias("__high"),
     )
     median = (F.col("__low") + F.col("__high")).cast("double") / F.lit(2.0 * 10**scale)
-    return (
-        middles.groupBy(_GROUP)
-        .agg(
-            *[
-                F.max(F.when(F.col(_METRIC) == i, median)).alias(name)
-                for i, name in enumerate(measures)
-            ]
-        )
-        .select(*[F.col(f"{_GROUP}.{g}").alias(g) for g in groups], *measures)
+    return middles.groupBy(*groups).agg(
+        *[F.max(F.when(F.col(_METRIC) == i, median)).alias(name) for i, name in enumerate(measures)]
     )
