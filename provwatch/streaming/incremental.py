@@ -10,9 +10,10 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
+from datetime import datetime
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -30,9 +31,18 @@ _MANIFEST = T.StructType(
 )
 
 
+def _wall_clock(column: str) -> Column:
+    return F.col(column).cast("timestamp_ntz")
+
+
+def _moment(value: datetime) -> Column:
+    """A time without zone as a literal; a plain ``F.lit`` would shift it between Python and session zones."""
+    return F.lit(value.isoformat(sep=" ")).cast("timestamp_ntz")
+
+
 def since_watermark(source: DataFrame, high_water, column: str = LOAD_TIMESTAMP) -> DataFrame:
     """Source rows loaded after the high-water mark; everything if there is none yet."""
-    return source if high_water is None else source.filter(F.col(column) > F.lit(high_water))
+    return source if high_water is None else source.filter(_wall_clock(column) > _moment(high_water))
 
 
 def append_new_columns(target: DataFrame, batch: DataFrame) -> DataFrame:
@@ -100,9 +110,14 @@ class VersionedTable:
         number = 1 if before is None else before.number + 1
         path = f"{self.path}/versions/{number:08d}-{uuid.uuid4().hex[:8]}"
         df.write.parquet(path)
-        values = {"version": number, "path": path, "high_water": high_water, "batch_id": batch_id}
+        values = {
+            "version": F.lit(number),
+            "path": F.lit(path),
+            "high_water": F.lit(None) if high_water is None else _moment(high_water),
+            "batch_id": F.lit(batch_id),
+        }
         entry = self.spark.range(1, numPartitions=1).select(
-            *[F.lit(values[f.name]).cast(f.dataType).alias(f.name) for f in _MANIFEST.fields]
+            *[values[f.name].cast(f.dataType).alias(f.name) for f in _MANIFEST.fields]
         )
         entry.write.mode("append").parquet(self._manifest_path)
 
@@ -127,10 +142,10 @@ class VersionedTable:
         before = self.current()
         mark = None if before is None else before.high_water
         fresh = since_watermark(source, mark, column)
-        newest = fresh.agg(F.max(column)).first()[0]
+        newest = fresh.agg(F.max(_wall_clock(column))).first()[0]
         if newest is None:
             return False
-        batch = fresh.filter(F.col(column) <= F.lit(newest))
+        batch = fresh.filter(_wall_clock(column) <= _moment(newest))
         if mark is None:
             # A first load also takes rows that carry no load time.
             batch = batch.unionByName(source.filter(F.col(column).isNull()))

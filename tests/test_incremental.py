@@ -43,6 +43,21 @@ def test_refresh_reads_only_new_rows(spark, tmp_path):
     assert table.current().high_water == DAY + timedelta(days=2)
 
 
+def test_session_time_zone_does_not_move_the_mark(spark, tmp_path):
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        table = VersionedTable(spark, str(tmp_path / "t"), "k")
+        table.refresh(batch(spark, ("a", 1, 0)), keep)
+        assert table.current().high_water == DAY
+        later = batch(spark, ("a", 5, 0)).unionByName(
+            batch(spark, ("b", 2, 0)).withColumn("_LOAD_TIMESTAMP", F.expr("_LOAD_TIMESTAMP + interval 1 second"))
+        )
+        assert table.refresh(later, keep)
+        assert content(table) == {"a": 1, "b": 2}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 def test_a_version_is_never_overwritten(spark, tmp_path):
     table = VersionedTable(spark, str(tmp_path / "t"), "k")
     table.merge(keep(batch(spark, ("a", 1, 0))))
