@@ -63,8 +63,8 @@ def _send(ids: np.ndarray, keys, checks, rows, at, ranges: int) -> pa.RecordBatc
     # what repeats here: answered for all its positions, and announced once without a sender
     local = np.flatnonzero(twice)
     local = local[np.argsort(rows[local], kind="stable")]
-    cuts = np.flatnonzero(np.diff(rows[local], prepend=-1))
-    for a, b in zip(cuts, [*cuts[1:], len(local)], strict=True):
+    cuts = [*np.flatnonzero(np.diff(rows[local], prepend=-1)), len(local)]
+    for a, b in zip(cuts[:-1], cuts[1:], strict=True):
         row = int(rows[local[a]])
         add(int(ids[row] % ranges), True, None, None, None, at[local[a:b]].tobytes(), ids[row : row + 1].tobytes())
     first = np.ones(len(keys), bool)
@@ -72,7 +72,7 @@ def _send(ids: np.ndarray, keys, checks, rows, at, ranges: int) -> pa.RecordBatc
     kept = np.flatnonzero(first)
     rows = np.where(twice, _NOBODY, rows).astype(np.uint16)
     of = (keys[kept] >> np.uint64(20)) % np.uint64(ranges)
-    kept = kept[np.argsort(of, kind="stable")]
+    kept = kept[np.lexsort((order[kept], of))]  # rows and positions ascend: they compress well
     cuts = np.searchsorted(np.sort(of), np.arange(ranges + 1, dtype=np.uint64))
     packed_ids = ids.tobytes()
     for k in range(ranges):
@@ -272,9 +272,9 @@ def remove_repeats(docs: DataFrame, window: int = 35, keep: tuple[str, ...] = ("
 
     # one exchange of the texts serves both rounds
     texts = docs.repartition(tasks, "row_key")
-    anchored = texts.join(repeated(docs.select("row_key", "text"), _anchors(window, ranges)), "row_key", "left")
-    windows = anchored.where("hits is not null").select("row_key", "text", "hits")
-    starts = repeated(windows, _windows(window, ranges))
+    anchored = texts.join(repeated(docs, _anchors(window, ranges)), "row_key")
+    # all columns stay, though unused, so that both rounds read the same exchange
+    starts = repeated(anchored, _windows(window, ranges))
     carried = [f"_{c}" for c in keep]
     full = texts.join(starts, "row_key", "left").select(*carried, "text", "hits")
     types = {f.name: f.dataType.simpleString() for f in full.schema.fields}
