@@ -7,20 +7,45 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from provwatch.llm import substring_anchors
+from provwatch.llm import bottom_k_dedup, substring_anchors
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op2_bottom_k_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return bottom_k_dedup.near_duplicates(_table(spark, folder, "documents"), shingle=4, percent=80)
+
+
 def op10_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     cut = substring_anchors.remove_repeats(_table(spark, folder, "documents"), window=35)
     return cut.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text"), 256).alias("kept_sha256"))
 
 
 # Words of the word pattern: runs of bytes other than the six ASCII blanks.
-_WORDS = r"list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), w -> w <> '')"
+_WORDS = r"list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '')"
+
+_OP2_SQL = rf"""
+with recursive d as (
+    select doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda w: w <> '') as ws from documents),
+starts as (select doc_id, ws, unnest(generate_series(1, greatest(len(ws) - 3, 1))) as i from d where len(ws) > 0),
+sh as (select distinct doc_id, hash(array_to_string(ws[i:i + 3], ' ')) as s from starts),
+n as (select doc_id, count(*) as n from sh group by doc_id),
+common as (
+    select a.doc_id as a, b.doc_id as b, count(*) as c from sh a join sh b on a.s = b.s and a.doc_id < b.doc_id group by 1, 2),
+links as (
+    select a, b from common join n x on x.doc_id = a join n y on y.doc_id = b where 100 * c >= 80 * (x.n + y.n - c)),
+edge as (select a, b from links union all select b, a from links),
+reach as (
+    select doc_id as v, doc_id as component from d
+    union
+    select edge.b, reach.component from reach join edge on edge.a = reach.v where reach.component < edge.b),
+named as (select v, min(component) as component_id from reach group by v)
+select d.doc_id, coalesce(n.n, 0)::bigint as n_shingles, component_id, d.doc_id = component_id as kept
+from d left join n using (doc_id) join named on named.v = d.doc_id
+"""
 
 _OP10_SQL = f"""
 with d as (select doc_id, {_WORDS} as ws from documents),
@@ -28,12 +53,12 @@ starts as (select doc_id, ws, unnest(generate_series(1, len(ws) - 34)) as i from
 windows as (select doc_id, i, array_to_string(ws[i:i + 34], ' ') as w from starts),
 repeated as (select w from windows group by w having count(*) > 1),
 covered as (
-    select distinct doc_id, i + k as at
+    select distinct doc_id, i + k as pos
     from windows join repeated using (w), generate_series(0, 34) as g(k)),
-placed as (select doc_id, unnest(ws) as word, unnest(generate_series(1, len(ws))) as at from d),
+placed as (select doc_id, unnest(ws) as word, unnest(generate_series(1, len(ws))) as pos from d),
 kept as (
-    select doc_id, string_agg(word, ' ' order by at) as kept, count(*) as n
-    from placed anti join covered using (doc_id, at) group by doc_id)
+    select doc_id, string_agg(word, ' ' order by pos) as kept, count(*) as n
+    from placed anti join covered using (doc_id, pos) group by doc_id)
 select d.doc_id, len(ws)::bigint as n_words, (len(ws) - coalesce(n, 0))::bigint as n_removed,
        sha256(coalesce(kept, '')) as kept_sha256
 from d left join kept using (doc_id)
@@ -41,8 +66,14 @@ from d left join kept using (doc_id)
 
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op10_substring_dedup": op10_substring_dedup}
+    return {
+        "op2_bottom_k_dedup": op2_bottom_k_dedup,
+        "op10_substring_dedup": op10_substring_dedup,
+    }
 
 
 def llm_sql() -> dict[str, str]:
-    return {"op10_substring_dedup": _OP10_SQL}
+    return {
+        "op2_bottom_k_dedup": _OP2_SQL,
+        "op10_substring_dedup": _OP10_SQL,
+    }
