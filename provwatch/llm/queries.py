@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from provwatch.llm import bottom_k_dedup, substring_anchors
+from provwatch.llm import bottom_k_dedup, sentencepiece_viterbi, substring_anchors, token_count_cache
+from provwatch.llm.tokenizers_public import TokenizerFile, public_path
+from provwatch.sources.sinks import work_folder
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -18,6 +20,26 @@ def op2_bottom_k_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return bottom_k_dedup.near_duplicates(_table(spark, folder, "documents"), shingle=4, percent=80)
 
 
+def _piece_model() -> TokenizerFile:
+    return TokenizerFile.read(public_path("piece_bpe_32k.model"))
+
+
+def op3_sentencepiece_viterbi(spark: SparkSession, folder: str) -> DataFrame:
+    encoded = sentencepiece_viterbi.encode_texts(_table(spark, folder, "documents").select("doc_id", "text"), _piece_model())
+    return encoded.select(
+        "doc_id",
+        "n_ids",
+        F.sha2(F.array_join("ids", " "), 256).alias("ids_sha256"),
+        F.coalesce("text", F.lit("")).eqNullSafe(F.coalesce("decoded", F.lit(""))).alias("round_trip"),
+    )
+
+
+def op8_token_count_cache(spark: SparkSession, folder: str) -> DataFrame:
+    """Over a cache of its own for the run, so that the whole table is counted."""
+    docs = _table(spark, folder, "documents")
+    return token_count_cache.token_counts(docs, _piece_model(), work_folder(spark, "token-count-cache"), limit=4096)
+
+
 def op10_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     cut = substring_anchors.remove_repeats(_table(spark, folder, "documents"), window=35)
     return cut.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text"), 256).alias("kept_sha256"))
@@ -68,6 +90,8 @@ from d left join kept using (doc_id)
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_bottom_k_dedup": op2_bottom_k_dedup,
+        "op3_sentencepiece_viterbi": op3_sentencepiece_viterbi,
+        "op8_token_count_cache": op8_token_count_cache,
         "op10_substring_dedup": op10_substring_dedup,
     }
 
