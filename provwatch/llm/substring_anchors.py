@@ -7,7 +7,8 @@ windows hold two equal, aligned anchors. Only windows that hold a repeated ancho
 length and compared with each other, by 96 hash bits.
 
 Both rounds are one exchange: every block of texts sends its hashes, packed by hash range, to the task that owns
-the range; that task answers with the positions whose hash occurs twice. A hash that repeats within a block is
+the range; that task answers with the positions whose hash occurs twice, packed for the task that gathers each
+document's. A hash that repeats within a block is
 sent once for the block, so that a passage in a third of all documents stays small; the block answers its own
 positions itself. The texts are shuffled once and that exchange is used by both rounds.
 """
@@ -25,7 +26,6 @@ from provwatch.llm.blocks import _CODES, Block, Words, blocks, mix, range_hashes
 
 PERIOD = 13
 COVER = (0, 1, 3, 9)  # every remainder modulo 13 is a difference of two of these
-RANGES_PER_TASK = 4
 
 _SENT = pa.schema(
     [
@@ -39,7 +39,8 @@ _SENT = pa.schema(
     ]
 )
 _SENT_DDL = "range int, answered boolean, keys binary, checks binary, rows binary, at binary, ids binary"
-_FOUND = pa.schema([("row_key", pa.int64()), ("at", pa.binary())])
+_PACKED = pa.schema([("home", pa.int32()), ("ids", pa.binary()), ("counts", pa.binary()), ("at", pa.binary())])
+_FOUND = pa.schema([("row_key", pa.int64()), ("hits", pa.binary())])
 _NOBODY = 0xFFFF
 
 
@@ -60,13 +61,19 @@ def _send(ids: np.ndarray, keys, checks, rows, at, ranges: int) -> pa.RecordBatc
         for name, value in zip(_SENT.names, (of, answered, k, c, r, p, i), strict=True):
             out[name].append(value)
 
+    def needed(part: np.ndarray) -> tuple[bytes, bytes]:
+        """Rows of ``part`` as numbers into the ids that are sent along."""
+        used = np.unique(part[part != _NOBODY])
+        place = np.full(_NOBODY + 1, _NOBODY, np.uint16)
+        place[used] = np.arange(len(used), dtype=np.uint16)
+        return place[part].tobytes(), ids[used].tobytes()
+
     # what repeats here: answered for all its positions, and announced once without a sender
     local = np.flatnonzero(twice)
-    local = local[np.argsort(rows[local], kind="stable")]
-    cuts = [*np.flatnonzero(np.diff(rows[local], prepend=-1)), len(local)]
-    for a, b in zip(cuts[:-1], cuts[1:], strict=True):
-        row = int(rows[local[a]])
-        add(int(ids[row] % ranges), True, None, None, None, at[local[a:b]].tobytes(), ids[row : row + 1].tobytes())
+    if len(local):
+        local = local[np.argsort(order[local])]
+        numbers, some = needed(rows[local])
+        add(int(keys[0] % np.uint64(ranges)), True, None, None, numbers, at[local].tobytes(), some)
     first = np.ones(len(keys), bool)
     first[1:] = ~same
     kept = np.flatnonzero(first)
@@ -74,62 +81,81 @@ def _send(ids: np.ndarray, keys, checks, rows, at, ranges: int) -> pa.RecordBatc
     of = (keys[kept] >> np.uint64(20)) % np.uint64(ranges)
     kept = kept[np.lexsort((order[kept], of))]  # rows and positions ascend: they compress well
     cuts = np.searchsorted(np.sort(of), np.arange(ranges + 1, dtype=np.uint64))
-    packed_ids = ids.tobytes()
     for k in range(ranges):
         part = kept[cuts[k] : cuts[k + 1]]
         if len(part):
             check = checks[part].tobytes() if checks is not None else None
-            add(k, False, keys[part].tobytes(), check, rows[part].tobytes(), at[part].tobytes(), packed_ids)
+            numbers, some = needed(rows[part])
+            add(k, False, keys[part].tobytes(), check, numbers, at[part].tobytes(), some)
     return pa.RecordBatch.from_pydict(out, schema=_SENT)
 
 
-def _answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Positions whose hash occurs twice among all that was sent to this task."""
+def _unpacked(batch: pa.RecordBatch, i: int, *columns: tuple[str, type]) -> list[np.ndarray]:
+    return [np.frombuffer(batch.column(name)[i].as_buffer(), kind).copy() for name, kind in columns]
+
+
+def _answer(homes: int) -> Callable:
+    """Positions whose hash occurs twice among all that was sent to this task, packed by the documents' home task."""
+
+    def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        asked, found = [], []
+        for batch in batches:
+            for i in range(batch.num_rows):
+                ids, rows, at = _unpacked(batch, i, ("ids", np.int64), ("rows", np.uint16), ("at", np.uint32))
+                if batch.column("answered")[i].as_py():
+                    found.append((ids[rows], at))
+                    continue
+                (keys,) = _unpacked(batch, i, ("keys", np.uint64))
+                checked = batch.column("checks")[i].is_valid
+                checks = _unpacked(batch, i, ("checks", np.uint32))[0] if checked else np.zeros(len(rows), np.uint32)
+                nobody = rows == _NOBODY
+                asked.append((keys, checks, np.append(ids, 0)[np.where(nobody, len(ids), rows)], at, nobody))
+        if asked:
+            keys, checks, ids, at, nobody = (np.concatenate(x) for x in zip(*asked, strict=True))
+            del asked
+            order = np.lexsort((checks, keys))
+            keys, checks = keys[order], checks[order]
+            begins = np.ones(len(keys), bool)
+            begins[1:] = (keys[1:] != keys[:-1]) | (checks[1:] != checks[:-1])
+            group = np.cumsum(begins) - 1
+            copies = np.bincount(group) + np.bincount(group, weights=nobody[order]).astype(np.int64)
+            hit = order[copies[group] > 1]
+            hit = hit[~nobody[hit]]
+            found.append((ids[hit], at[hit]))
+        if not found:
+            return
+        ids, at = (np.concatenate(x) for x in zip(*found, strict=True))
+        home = ids.view(np.uint64) % np.uint64(homes)
+        order = np.lexsort((at, ids, home))
+        ids, at, home = ids[order], at[order], home[order]
+        cuts = np.searchsorted(home, np.arange(homes + 1, dtype=np.uint64))
+        for h in range(homes):
+            a, b = cuts[h], cuts[h + 1]
+            if a < b:
+                some, counts = np.unique(ids[a:b], return_counts=True)
+                packed = (some.tobytes(), counts.astype(np.uint32).tobytes(), at[a:b].tobytes())
+                yield pa.RecordBatch.from_pydict(dict(zip(_PACKED.names, ([h], *([x] for x in packed)), strict=True)), schema=_PACKED)
+
+    return answer
+
+
+def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """All positions found for each document whose home this task is."""
     parts = []
     for batch in batches:
-        d = {name: batch.column(name) for name in _SENT.names}
-        answered = np.asarray(d["answered"].to_numpy(zero_copy_only=False), bool)
-        keys, at = [], []
-        for i in np.flatnonzero(answered):
-            keys.append(int(np.frombuffer(d["ids"][i].as_buffer(), np.int64)[0]))
-            at.append(d["at"][i].as_py())
-        if keys:
-            yield pa.RecordBatch.from_pydict({"row_key": keys, "at": at}, schema=_FOUND)
-        for i in np.flatnonzero(~answered):
-            ids = np.frombuffer(d["ids"][i].as_buffer(), np.int64)
-            rows = np.frombuffer(d["rows"][i].as_buffer(), np.uint16)
-            nobody = rows == _NOBODY
-            check = d["checks"][i]
-            parts.append(
-                (
-                    np.frombuffer(d["keys"][i].as_buffer(), np.uint64).copy(),
-                    np.frombuffer(check.as_buffer(), np.uint32).copy() if check.is_valid else np.zeros(len(rows), np.uint32),
-                    ids[np.where(nobody, 0, rows)],
-                    np.frombuffer(d["at"][i].as_buffer(), np.uint32).copy(),
-                    nobody,
-                )
-            )
+        for i in range(batch.num_rows):
+            ids, counts, at = _unpacked(batch, i, ("ids", np.int64), ("counts", np.uint32), ("at", np.uint32))
+            parts.append((np.repeat(ids, counts), at))
     if not parts:
         return
-    keys, checks, ids, at, nobody = (np.concatenate(x) for x in zip(*parts, strict=True))
-    del parts
-    order = np.lexsort((checks, keys))
-    keys, checks, ids, at, nobody = keys[order], checks[order], ids[order], at[order], nobody[order]
-    begins = np.ones(len(keys), bool)
-    begins[1:] = (keys[1:] != keys[:-1]) | (checks[1:] != checks[:-1])
-    group = np.cumsum(begins) - 1
-    copies = np.bincount(group) + np.bincount(group, weights=nobody).astype(np.int64)
-    hit = np.flatnonzero((copies[group] > 1) & ~nobody)
-    ids, at = ids[hit], at[hit]
+    ids, at = (np.concatenate(x) for x in zip(*parts, strict=True))
     order = np.lexsort((at, ids))
     ids, at = ids[order], at[order]
-    cuts = np.flatnonzero(np.diff(ids, prepend=ids[:1] - 1)) if len(ids) else []
-    for a in range(0, len(cuts), 10_000):
-        some = [*cuts[a : a + 10_000], cuts[a + 10_000] if a + 10_000 < len(cuts) else len(ids)]
-        yield pa.RecordBatch.from_pydict(
-            {"row_key": ids[some[:-1]], "at": [at[x:y].tobytes() for x, y in zip(some[:-1], some[1:], strict=True)]},
-            schema=_FOUND,
-        )
+    cuts = np.append(np.flatnonzero(np.append(True, ids[1:] != ids[:-1])), len(ids))
+    for a in range(0, len(cuts) - 1, 5_000):
+        some = cuts[a : a + 5_001]
+        hits = [at[x:y].tobytes() for x, y in zip(some[:-1], some[1:], strict=True)]
+        yield pa.RecordBatch.from_pydict({"row_key": ids[some[:-1]], "hits": hits}, schema=_FOUND)
 
 
 def _word_codes(block: Block) -> tuple[Words, np.ndarray]:
@@ -162,9 +188,9 @@ def _anchors(window: int, ranges: int) -> Callable:
     return send
 
 
-def _positions(lists) -> np.ndarray:
-    """Sorted positions of one document from its packed answers."""
-    return np.unique(np.concatenate([np.frombuffer(x, np.uint32) for x in lists])).astype(np.int64)
+def _positions(packed: bytes) -> np.ndarray:
+    """Sorted distinct positions of one document."""
+    return np.unique(np.frombuffer(packed, np.uint32)).astype(np.int64)
 
 
 def _windows(window: int, ranges: int) -> Callable:
@@ -260,21 +286,20 @@ def remove_repeats(docs: DataFrame, window: int = 35, keep: tuple[str, ...] = ("
     if window < 2 * PERIOD:
         raise ValueError(f"window must be at least {2 * PERIOD} words")
     tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranges = RANGES_PER_TASK * tasks
     # rows are known by content: equal rows have equal answers, and a null or repeated doc_id does no harm
     key = F.xxhash64(*(F.col(c) for c in dict.fromkeys((*keep, "text"))))
     docs = docs.select(key.alias("row_key"), F.col("text").alias("text"), *(F.col(c).alias(f"_{c}") for c in keep))
 
     def repeated(source: DataFrame, send: Callable) -> DataFrame:
-        sent = source.mapInArrow(send, _SENT_DDL).repartition(tasks, "range")
-        found = sent.mapInArrow(_answer, "row_key long, at binary")
-        return found.groupBy("row_key").agg(F.collect_list("at").alias("hits"))
+        sent = source.mapInArrow(send, _SENT_DDL).repartitionById(tasks, "range")
+        packed = sent.mapInArrow(_answer(tasks), "home int, ids binary, counts binary, at binary")
+        return packed.repartitionById(tasks, "home").mapInArrow(_gather, "row_key long, hits binary")
 
     # one exchange of the texts serves both rounds
     texts = docs.repartition(tasks, "row_key")
-    anchored = texts.join(repeated(docs, _anchors(window, ranges)), "row_key")
+    anchored = texts.join(repeated(docs, _anchors(window, tasks)), "row_key")
     # all columns stay, though unused, so that both rounds read the same exchange
-    starts = repeated(anchored, _windows(window, ranges))
+    starts = repeated(anchored, _windows(window, tasks))
     carried = [f"_{c}" for c in keep]
     full = texts.join(starts, "row_key", "left").select(*carried, "text", "hits")
     types = {f.name: f.dataType.simpleString() for f in full.schema.fields}
