@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from provwatch.llm import bottom_k_dedup, sentencepiece_viterbi, substring_anchors, token_count_cache
+from provwatch.llm import bottom_k_dedup, language_ppm, sentencepiece_viterbi, substring_anchors, token_count_cache
 from provwatch.llm.tokenizers_public import TokenizerFile, public_path
 from provwatch.sources.sinks import work_folder
 
@@ -34,6 +34,13 @@ def op3_sentencepiece_viterbi(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op6_language_ppm(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select("doc_id", "text", "lang")
+    docs = docs.withColumn("held_out", language_ppm.held_out(F.col("doc_id"), 4, 2))
+    trees = language_ppm.train(docs.where("not held_out"))
+    return language_ppm.predict(docs.drop("lang"), trees).drop("text")
+
+
 def op8_token_count_cache(spark: SparkSession, folder: str) -> DataFrame:
     """Over a cache of its own for the run, so that the whole table is counted."""
     docs = _table(spark, folder, "documents")
@@ -91,6 +98,7 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_bottom_k_dedup": op2_bottom_k_dedup,
         "op3_sentencepiece_viterbi": op3_sentencepiece_viterbi,
+        "op6_language_ppm": op6_language_ppm,
         "op8_token_count_cache": op8_token_count_cache,
         "op10_substring_dedup": op10_substring_dedup,
     }
