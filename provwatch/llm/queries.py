@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from provwatch.llm import bottom_k_dedup, language_ppm, sentencepiece_viterbi, substring_anchors, token_count_cache
+from provwatch.llm import bottom_k_dedup, language_ppm, lattice_lm, sentencepiece_viterbi, substring_anchors, token_count_cache
 from provwatch.llm.tokenizers_public import TokenizerFile, public_path
 from provwatch.sources.sinks import work_folder
 
@@ -41,6 +41,12 @@ def op6_language_ppm(spark: SparkSession, folder: str) -> DataFrame:
     return language_ppm.predict(docs.drop("lang"), trees).drop("text")
 
 
+def op7_lattice_lm(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    docs = docs.withColumn("held_out", language_ppm.held_out(F.col("doc_id"), 7, 2)).withColumn("taught", ~F.col("held_out"))
+    return lattice_lm.score_texts(docs, _piece_model())
+
+
 def op8_token_count_cache(spark: SparkSession, folder: str) -> DataFrame:
     """Over a cache of its own for the run, so that the whole table is counted."""
     docs = _table(spark, folder, "documents")
@@ -99,6 +105,7 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_bottom_k_dedup": op2_bottom_k_dedup,
         "op3_sentencepiece_viterbi": op3_sentencepiece_viterbi,
         "op6_language_ppm": op6_language_ppm,
+        "op7_lattice_lm": op7_lattice_lm,
         "op8_token_count_cache": op8_token_count_cache,
         "op10_substring_dedup": op10_substring_dedup,
     }
