@@ -7,7 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from provwatch.llm import bottom_k_dedup, language_ppm, lattice_lm, sentencepiece_viterbi, substring_anchors, token_count_cache
+from provwatch.llm import (
+    bottom_k_dedup,
+    language_ppm,
+    lattice_lm,
+    sentencepiece_viterbi,
+    substring_anchors,
+    token_count_cache,
+    toxicity_neighbours,
+)
+from provwatch.llm.holding_out import held_out
 from provwatch.llm.tokenizers_public import TokenizerFile, public_path
 from provwatch.sources.sinks import work_folder
 
@@ -34,16 +43,24 @@ def op3_sentencepiece_viterbi(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op5_toxicity_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    labels = _table(spark, folder, "labels").where(~held_out(F.col("doc_id"), 3, 1))
+    model = toxicity_neighbours.fit(docs, labels)
+    scored = toxicity_neighbours.score_texts(docs, model, threshold=0.7)
+    return scored.select("doc_id", held_out(F.col("doc_id"), 3, 1).alias("held_out"), "score", "predicted", "evidence")
+
+
 def op6_language_ppm(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents").select("doc_id", "text", "lang")
-    docs = docs.withColumn("held_out", language_ppm.held_out(F.col("doc_id"), 4, 2))
+    docs = docs.withColumn("held_out", held_out(F.col("doc_id"), 4, 2))
     trees = language_ppm.train(docs.where("not held_out"))
     return language_ppm.predict(docs.drop("lang"), trees).drop("text")
 
 
 def op7_lattice_lm(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents").select("doc_id", "text")
-    docs = docs.withColumn("held_out", language_ppm.held_out(F.col("doc_id"), 7, 2)).withColumn("taught", ~F.col("held_out"))
+    docs = docs.withColumn("held_out", held_out(F.col("doc_id"), 7, 2)).withColumn("taught", ~F.col("held_out"))
     return lattice_lm.score_texts(docs, _piece_model())
 
 
@@ -104,6 +121,7 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_bottom_k_dedup": op2_bottom_k_dedup,
         "op3_sentencepiece_viterbi": op3_sentencepiece_viterbi,
+        "op5_toxicity_neighbours": op5_toxicity_neighbours,
         "op6_language_ppm": op6_language_ppm,
         "op7_lattice_lm": op7_lattice_lm,
         "op8_token_count_cache": op8_token_count_cache,
