@@ -12,6 +12,7 @@ from provwatch.llm import (
     language_ppm,
     lattice_lm,
     sentencepiece_viterbi,
+    string_tiling,
     substring_anchors,
     token_count_cache,
     toxicity_neighbours,
@@ -43,6 +44,12 @@ def op3_sentencepiece_viterbi(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op4_string_tiling(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    found = string_tiling.contamination(docs, _table(spark, folder, "benchmark"))
+    return found.select("doc_id", "contaminated", F.size("items").alias("n_items"), "items")
+
+
 def op5_toxicity_neighbours(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents").select("doc_id", "text")
     labels = _table(spark, folder, "labels").where(~held_out(F.col("doc_id"), 3, 1))
@@ -121,6 +128,7 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_bottom_k_dedup": op2_bottom_k_dedup,
         "op3_sentencepiece_viterbi": op3_sentencepiece_viterbi,
+        "op4_string_tiling": op4_string_tiling,
         "op5_toxicity_neighbours": op5_toxicity_neighbours,
         "op6_language_ppm": op6_language_ppm,
         "op7_lattice_lm": op7_lattice_lm,
