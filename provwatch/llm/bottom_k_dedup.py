@@ -10,10 +10,13 @@ have a probability below 1e-10 (k = 64: 26 values). So, in one global order of t
 a value among the first ``size - least + 1`` of each (prefix filter). The order is by frequency, rarest first: values
 of common passages and lines come last and are searched only for documents that consist mainly of them.
 
-*Frequent values.* Documents with equal sets are one class from the start. Classes under a value that is still
-frequent are compared with one centre, then those left outside the centre's component with a second centre, then
-only those still outside are compared with the classes of other components. Every pair of classes that share a
-searched value is thus either compared or already known to be in one component; no pairs of a whole group are made.
+*Frequent values.* Documents with equal sets are one class from the start. Lists of up to ``FREQUENT`` classes are
+searched pair by pair. For classes under more frequent values, full sets take the place of the sketch: ordered by their
+frequency among these classes, only a set's first fifth needs searching, and a common value far back in both orders
+shows that too little can be common (prefix and positional filter; a class with over a fifth of values of its own can
+have no partner). Each list is compared with its most typical class as a centre, then what is outside the centre's
+component with a second centre, then only what is still outside with the classes of other components. Every pair that
+shares a searched value is thus either compared or known to be in one component; no pairs of a whole group are made.
 """
 
 from __future__ import annotations
@@ -31,18 +34,10 @@ from provwatch.llm.tables import saved
 from provwatch.sources.sinks import work_folder
 
 SKETCH = 64
-FREQUENT = 48  # a value with more classes is searched by centres
+FREQUENT = 12
 _LEAST_SHARE = 0.4  # of the sketch of the union; below this a pair at the threshold is improbable (under 1e-10)
 
 
-def _least_shared(size: int, threshold: float) -> int:
-    """Values that two sketches must share if the sets reach the threshold.
-
-    A sketch below the full size is the whole set, of which at least the threshold's part is common.
-    """
-    return max(1, min(math.ceil(_LEAST_SHARE * SKETCH), math.ceil(threshold * size - 1e-9)))
-
-
 _SKETCHED = pa.schema(
     [
         ("doc_id", pa.int64()),
@@ -116,6 +111,22 @@ def _similar_sketches(threshold: float):
     return keep
 
 
+def _full_sets(shingle: int):
+    """Full set of each text."""
+
+    def full(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for block in blocks(batch.column("text")):
+                found = words(block)
+                sets = row_sets(word_hashes(block, found, fold=True), found, shingle)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("id").slice(block.first, len(sets)), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))],
+                    names=["id", "members"],
+                )
+
+    return full
+
+
 def _exact_pairs(shingle: int, percent: int):
     """Keep pairs with 100 * intersection >= percent * union, on the full sets."""
 
@@ -182,100 +193,79 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
     """
     spark = docs.sparkSession
     folder = work_folder(spark, "near-duplicates")
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     threshold = percent / 100
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     sketched = saved(docs.mapInArrow(_sketch(shingle), _SKETCHED_DDL), f"{folder}/sketches")
 
-    # one class per distinct set; its smallest row stands for it
+    # one class per distinct set, with a number of its own; its row of the smallest doc_id stands for it
     classes = sketched.where("set_key is not null").groupBy("set_key").agg(
-        F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("size"), F.count("*").alias("members")
-    )
-    classes = saved(classes, f"{folder}/classes")
-    # rows without an id cannot be fetched by id; their class takes part only through rows that have one
-    first = classes.where("doc_id is not null").select("set_key", "doc_id")
-    sketches = (
-        sketched.join(first, ["set_key", "doc_id"], "left_semi")
-        .dropDuplicates(["set_key"])
-        .select("set_key", F.col("n_shingles").alias("size"), "sketch")
+        F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("size")
     )
+    classes = saved(classes.withColumn("id", F.monotonically_increasing_id()), f"{folder}/classes")
+    chosen = classes.select("id", "size", F.col("set_key").alias("k"), F.col("doc_id").alias("d"))
+    same_row = (F.col("set_key") == F.col("k")) & F.col("doc_id").eqNullSafe(F.col("d"))
+    sketches = sketched.join(chosen, same_row).select("id", "size", "sketch").dropDuplicates(["id"])
     sketches = saved(sketches, f"{folder}/class-sketches")
 
-    # inverted lists: frequency of each retained value, then each class's rarest values
-    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    entries = sketches.select("set_key", "size", F.explode("sketch").alias("value")).repartition(tasks, "value")
-    frequency = entries.groupBy("value").agg(F.count("*").alias("classes")).where("classes > 1")
-    shared = entries.join(frequency, "value")
-    ranked = shared.groupBy("set_key", "size").agg(F.sort_array(F.collect_list(F.struct("classes", "value"))).alias("shared"))
-    kept = F.least(F.col("size"), F.lit(SKETCH))
-    least = F.greatest(
-        F.lit(1), F.least(F.lit(math.ceil(_LEAST_SHARE * SKETCH)), F.ceil(F.lit(threshold) * F.col("size") - F.lit(1e-9)))
+    # inverted lists: the frequency of each retained value, then each class's rarest values
+    lists = _searched(sketches.select("id", "size", F.explode("sketch").alias("value")), SKETCH, threshold, tasks)
+    lists = saved(lists, f"{folder}/lists")
+    rare, often = lists.where(F.col("classes") <= FREQUENT), lists.where(F.col("classes") > FREQUENT)
+    pairs = _side("a", rare).join(_side("b", rare), "value").where((F.col("a") < F.col("b")) & _alike(threshold))
+    pairs = saved(pairs.select("a", "b").distinct(), f"{folder}/pairs")
+    sketch_of = lambda x: sketches.select(
+        F.col("id").alias(x), F.col("size").alias(f"size_{x}"), F.col("sketch").alias(f"sketch_{x}")
     )
-    # values found in one class only come first in the order and are not in ``shared``
-    alone = kept - F.size("shared")
-    lists = ranked.withColumn("searched", F.greatest(F.lit(0), kept - least + 1 - alone).cast("int"))
-    lists = lists.where("searched > 0").select(
-        "set_key", "size", F.explode(F.slice("shared", F.lit(1), F.col("searched"))).alias("s")
+    likely = pairs.join(sketch_of("a"), "a").join(sketch_of("b"), "b").mapInArrow(_similar_sketches(threshold), "a long, b long")
+    likely = saved(likely, f"{folder}/likely")
+
+    # texts of all classes that are compared in full, fetched once
+    frequent = saved(often.select("id").distinct(), f"{folder}/frequent")
+    wanted = likely.select(F.explode(F.array("a", "b")).alias("id")).union(frequent).distinct()
+    wanted = wanted.join(classes.select("id", "set_key", "doc_id"), "id")
+    # a doc_id may occur with several texts: the set's key, computed again, tells which one is meant
+    texts = docs.join(wanted.select("doc_id").distinct(), "doc_id", "left_semi").mapInArrow(
+        _keyed(shingle), "set_key binary, text string"
     )
-    lists = saved(lists.select("s.value", "s.classes", "set_key", "size"), f"{folder}/lists")
+    texts = texts.join(wanted.select("id", "set_key"), "set_key").dropDuplicates(["id"]).select("id", "text")
+    texts = saved(texts, f"{folder}/texts")
 
     def verified(pairs: DataFrame, name: str) -> DataFrame:
         """Links among candidate pairs (a, b)."""
-        pairs = saved(pairs.select("a", "b").distinct(), f"{folder}/{name}-pairs")
-        side = lambda x: sketches.select(
-            F.col("set_key").alias(x), F.col("size").alias(f"size_{x}"), F.col("sketch").alias(f"sketch_{x}")
-        )
-        likely = pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(_similar_sketches(threshold), "a binary, b binary")
-        likely = saved(likely, f"{folder}/{name}-likely")
-        ids = likely.select(F.explode(F.array("a", "b")).alias("set_key")).distinct().join(first, "set_key")
-        # a doc_id may occur with several texts: the set's key, computed again, tells which one is meant
-        texts = docs.join(ids.select("doc_id").distinct(), "doc_id", "left_semi").mapInArrow(
-            _keyed(shingle), "set_key binary, text string"
-        )
-        texts = texts.join(ids, "set_key", "left_semi").dropDuplicates(["set_key"])
-        texts = saved(texts, f"{folder}/{name}-texts")
-        text = lambda x: texts.select(F.col("set_key").alias(x), F.col("text").alias(f"text_{x}"))
-        links = likely.join(text("a"), "a").join(text("b"), "b").mapInArrow(_exact_pairs(shingle, percent), "a binary, b binary")
-        return saved(links, f"{folder}/{name}-links")
-
-    alike = F.least("size_a", "size_b") >= F.lit(threshold) * F.greatest("size_a", "size_b") - F.lit(1e-9)
-    side = lambda x, df: df.select("value", F.col("set_key").alias(x), F.col("size").alias(f"size_{x}"), *(
-        [F.col("component").alias(f"component_{x}")] if "component" in df.columns else []))
-
-    rare, often = lists.where(F.col("classes") <= FREQUENT), lists.where(F.col("classes") > FREQUENT)
-    pairs = side("a", rare).join(side("b", rare), "value").where((F.col("a") < F.col("b")) & alike).select("a", "b")
-    centres = often.groupBy("value").agg(F.min(F.struct("set_key", "size")).alias("c"))
-    centres = centres.select("value", F.col("c.set_key").alias("a"), F.col("c.size").alias("size_a"))
-    pairs = pairs.union(
-        side("b", often).join(centres, "value").where((F.col("a") != F.col("b")) & alike).select(F.least("a", "b"), F.greatest("a", "b"))
-    )
-    links = verified(pairs, "first")
-    labels = components(links, f"{folder}/first")
-
-    if not often.isEmpty():
+        text = lambda x: texts.select(F.col("id").alias(x), F.col("text").alias(f"text_{x}"))
+        near = pairs.select("a", "b").distinct().join(text("a"), "a").join(text("b"), "b")
+        return saved(near.mapInArrow(_exact_pairs(shingle, percent), "a long, b long"), f"{folder}/{name}-links")
+
+    links = verified(likely, "rare")
+    if not frequent.isEmpty():
+        full = texts.join(frequent, "id", "left_semi").mapInArrow(_full_sets(shingle), "id long, members array<long>")
+        members = full.select("id", F.size("members").cast("long").alias("size"), F.explode("members").alias("value"))
+        lists = saved(_searched(members, None, threshold, tasks), f"{folder}/full-lists")
+        # the most typical class of a list has the fewest values of its own
+        typical = F.min(F.struct("alone", "id", "size", "place")).alias("c")
+        centre = [F.col(f"c.{c}").alias(n) for c, n in (("id", "a"), ("size", "size_a"), ("place", "place_a"))]
+        centres = lists.groupBy("value").agg(typical).select("value", *centre)
+        pairs = centres.join(_side("b", lists), "value").where((F.col("a") != F.col("b")) & _alike(threshold) & _enough(threshold))
+        links = links.unionByName(verified(_ordered(pairs), "centre"))
         for name in ("second", "rest"):
-            placed = often.join(labels.withColumnRenamed("v", "set_key"), "set_key", "left").withColumn(
-                "component", F.coalesce("component", "set_key")
-            )
-            placed = saved(placed, f"{folder}/{name}-placed")
-            main = placed.groupBy("value").agg(F.min(F.struct("set_key", "component")).alias("m"))
-            outside = placed.join(main.select("value", F.col("m.component").alias("main")), "value").where("component <> main")
-            if outside.isEmpty():
-                break
+            labels = components(links, f"{folder}/{name}")
+            placed = lists.join(labels.withColumnRenamed("v", "id"), "id", "left")
+            placed = saved(placed.withColumn("component", F.coalesce("component", "id")), f"{folder}/{name}-placed")
+            main = placed.groupBy("value").agg(F.min_by("component", F.struct("alone", "id")).alias("main"))
+            outside = placed.join(main, "value").where("component <> main").drop("main")
             if name == "second":
-                centres = outside.groupBy("value").agg(F.min(F.struct("set_key", "size", "component")).alias("c"))
-                centres = centres.select(
-                    "value", F.col("c.set_key").alias("a"), F.col("c.size").alias("size_a"), F.col("c.component").alias("component_a")
-                )
+                typical = F.min(F.struct("alone", "id", "size", "place", "component")).alias("c")
+                centres = outside.groupBy("value").agg(typical).select("value", *centre, F.col("c.component").alias("component_a"))
             else:
-                centres = side("a", outside)
+                centres = _side("a", outside)
             apart = F.col("component_a") != F.col("component_b")
-            pairs = centres.join(side("b", placed), "value").where(apart & alike)
-            links = links.unionByName(verified(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), name))
-            labels = components(links, f"{folder}/{name}")
+            pairs = centres.join(_side("b", placed), "value").where(apart & _alike(threshold) & _enough(threshold))
+            links = links.unionByName(verified(_ordered(pairs), name))
+    labels = components(links, f"{folder}/all")
 
-    joined = classes.join(labels.withColumnRenamed("v", "set_key"), "set_key", "left").select(
-        "set_key", "doc_id", F.coalesce("component", "set_key").alias("component")
-    )
+    joined = classes.join(labels.withColumnRenamed("v", "id"), "id", "left")
+    joined = joined.select("set_key", "doc_id", F.coalesce("component", "id").alias("component"))
     names = joined.groupBy("component").agg(F.min("doc_id").alias("component_id"))
     names = joined.join(names, "component").select("set_key", "component_id")
     out = sketched.select("doc_id", "n_shingles", "set_key").join(names, "set_key", "left")
@@ -286,3 +276,45 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
         component.alias("component_id"),
         F.coalesce(F.col("doc_id") == component, F.lit(False)).alias("kept"),
     )
+
+
+def _searched(members: DataFrame, sketch: int | None, threshold: float, tasks: int) -> DataFrame:
+    """Values that each class is searched by, of (id, size, value) rows: those of its first ones in the order by
+    frequency that occur in another class as well. ``place`` counts from 0 in that order, ``alone`` are its own values.
+    """
+    members = members.repartition(tasks, "value")  # serves the count and the join
+    frequency = members.groupBy("value").agg(F.count("*").alias("classes")).where("classes > 1")
+    shared = members.join(frequency, "value")
+    ranked = shared.groupBy("id", "size").agg(F.sort_array(F.collect_list(F.struct("classes", "value"))).alias("shared"))
+    kept = F.least(F.col("size"), F.lit(sketch)) if sketch else F.col("size")
+    # common values that two sets at the threshold have at least (a sketch below full size is the whole set)
+    least = F.ceil(F.lit(threshold) * F.col("size") - F.lit(1e-9))
+    if sketch:
+        least = F.least(least, F.lit(math.ceil(_LEAST_SHARE * sketch)))
+    # a class's own values come first in the order and are not in ``shared``
+    ranked = ranked.withColumn("alone", (kept - F.size("shared")).cast("int"))
+    ranked = ranked.withColumn("searched", (kept - F.greatest(least, F.lit(1)) + 1 - F.col("alone")).cast("int"))
+    lists = ranked.where("searched > 0").select(
+        "id", "size", "alone", F.posexplode(F.slice("shared", F.lit(1), F.col("searched"))).alias("p", "s")
+    )
+    return lists.select("s.value", "s.classes", "id", "size", "alone", (F.col("alone") + F.col("p")).alias("place"))
+
+
+def _side(x: str, lists: DataFrame) -> DataFrame:
+    names = [c for c in ("size", "place", "component") if c in lists.columns]
+    return lists.select("value", F.col("id").alias(x), *(F.col(c).alias(f"{c}_{x}") for c in names))
+
+
+def _alike(threshold: float):
+    """Sizes that allow the threshold."""
+    return F.least("size_a", "size_b") >= F.lit(threshold) * F.greatest("size_a", "size_b") - F.lit(1e-9)
+
+
+def _enough(threshold: float):
+    """What follows a common value in both orders allows the threshold; true at the first common value of any link."""
+    left = F.least(F.col("size_a") - F.col("place_a"), F.col("size_b") - F.col("place_b"))
+    return left >= F.lit(threshold / (1 + threshold)) * (F.col("size_a") + F.col("size_b")) - F.lit(1e-9)
+
+
+def _ordered(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
