@@ -16,6 +16,7 @@ from provwatch.llm import (
     substring_anchors,
     token_count_cache,
     toxicity_neighbours,
+    wrapper_induction,
 )
 from provwatch.llm.holding_out import held_out
 from provwatch.llm.tokenizers_public import TokenizerFile, public_path
@@ -77,6 +78,11 @@ def op8_token_count_cache(spark: SparkSession, folder: str) -> DataFrame:
     return token_count_cache.token_counts(docs, _piece_model(), work_folder(spark, "token-count-cache"), limit=4096)
 
 
+def op9_wrapper_induction(spark: SparkSession, folder: str) -> DataFrame:
+    found = wrapper_induction.extract(_table(spark, folder, "pages").select("page_id", "url", "html"))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op10_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     cut = substring_anchors.remove_repeats(_table(spark, folder, "documents"), window=35)
     return cut.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text"), 256).alias("kept_sha256"))
@@ -133,6 +139,7 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op6_language_ppm": op6_language_ppm,
         "op7_lattice_lm": op7_lattice_lm,
         "op8_token_count_cache": op8_token_count_cache,
+        "op9_wrapper_induction": op9_wrapper_induction,
         "op10_substring_dedup": op10_substring_dedup,
     }
 
