@@ -11,6 +11,7 @@ from provwatch.llm import (
     bottom_k_dedup,
     language_ppm,
     lattice_lm,
+    multi_index_hashing,
     sentencepiece_viterbi,
     string_tiling,
     substring_anchors,
@@ -27,6 +28,11 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_multi_index_hashing(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = _table(spark, folder, "embeddings").select("vec_id", "embedding")
+    return multi_index_hashing.nearest(vectors, vectors.where(F.col("vec_id") % 50 == 0), k=5)
+
+
 def op2_bottom_k_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return bottom_k_dedup.near_duplicates(_table(spark, folder, "documents"), shingle=4, percent=80)
 
@@ -132,6 +138,7 @@ from d left join kept using (doc_id)
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_multi_index_hashing": op1_multi_index_hashing,
         "op2_bottom_k_dedup": op2_bottom_k_dedup,
         "op3_sentencepiece_viterbi": op3_sentencepiece_viterbi,
         "op4_string_tiling": op4_string_tiling,
