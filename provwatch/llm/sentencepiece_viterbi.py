@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from provwatch.llm.blocks import blocks
 from provwatch.llm.tokenizers_public import TokenizerFile
 
-MEMO = 300_000  # segments whose ids a worker remembers; more are encoded again
+MEMO = 400_000  # segments whose ids a worker remembers; more are encoded again
 _BLANK = "▁"
 
 
@@ -33,6 +33,7 @@ class Vocabulary:
     byte_ids: list[int]
     longest: int
     unknown: float
+    endings: dict[str, tuple[int, ...]]  # by their last three characters, the lengths that longer pieces have
     splits: bool  # no piece holds a blank after another character: paths meet before every word
     pieces: dict[int, bytes] = field(default_factory=dict)
 
@@ -40,8 +41,13 @@ class Vocabulary:
     def of(cls, ids: dict[str, int], scores: dict[str, float], byte_ids: list[int]) -> Vocabulary:
         splits = not any(re.search("[^ ] ", p) for p in ids)
         pieces = {i: p.encode() for p, i in ids.items()} | {i: bytes([b]) for b, i in enumerate(byte_ids)}
+        endings: dict[str, set[int]] = {}
+        for p in ids:
+            if len(p) > 2:
+                endings.setdefault(p[-3:], set()).add(len(p))
+        ordered = {end: tuple(sorted(lengths, reverse=True)) for end, lengths in endings.items()}
         low = min(scores.values(), default=0.0) - 10
-        return cls(ids, scores, byte_ids, max(map(len, ids), default=1), low, splits, pieces)
+        return cls(ids, scores, byte_ids, max(map(len, ids), default=1), low, ordered, splits, pieces)
 
     @classmethod
     def of_model(cls, model: bytes) -> Vocabulary:
@@ -78,14 +84,20 @@ class StreamingViterbi:
 
     def _advance(self) -> None:
         """Best path to each new boundary; among equal sums the longest last piece wins."""
-        text, score, back, v = self.text, self.score, self.back, self.v
+        text, score, back = self.text, self.score, self.back
+        unknown, get, endings = self.v.unknown, self.v.scores.get, self.v.endings.get
+        none: tuple[int, ...] = ()
         for end in range(len(score), len(text) + 1):
-            best, come = score[end - 1] + v.unknown, (end - 1, None)
-            for start in range(max(0, end - v.longest), end):
-                piece = text[start:end]
-                value = v.scores.get(piece)
-                if value is not None and score[start] + value > best:
-                    best, come = score[start] + value, (start, piece)
+            best, come = score[-1] + unknown, (end - 1, None)
+            for length in (*endings(text[end - 3 : end], none), 2, 1) if end > 2 else (end, 1):
+                start = end - length
+                if start >= 0:
+                    piece = text[start:end]
+                    value = get(piece)
+                    if value is not None:
+                        value += score[start]
+                        if value > best:
+                            best, come = value, (start, piece)
             score.append(best)
             back.append(come)
 
@@ -99,20 +111,24 @@ class StreamingViterbi:
         return live.pop()
 
     def _commit(self, upto: int) -> list[int]:
-        out: list[list[int]] = []
-        at = upto
+        out: list[int] = []
+        at, back, ids = upto, self.back, self.v.ids
         while at > 0:
-            start, piece = self.back[at]
+            start, piece = back[at]
             if piece is None:
-                out.append([self.v.byte_ids[b] for b in self.text[start:at].encode()])
+                out.extend(self.v.byte_ids[b] for b in reversed(self.text[start:at].encode()))
             else:
-                out.append([self.v.ids[piece]])
+                out.append(ids[piece])
             at = start
+        out.reverse()
+        if upto == len(self.text):
+            self.text, self.score, self.back = "", [0.0], [(0, None)]
+            return out
         self.text = self.text[upto:]
         base = self.score[upto]
         self.score = [s - base for s in self.score[upto:]]
         self.back = [(0, None), *((start - upto, piece) for start, piece in self.back[upto + 1 :])]
-        return [i for ids in reversed(out) for i in ids]
+        return out
 
 
 _SEGMENT = re.compile(r" +[^ ]*|[^ ]+")
@@ -127,6 +143,10 @@ class Encoder:
 
     def _search(self, segment: str) -> list[int]:
         search = StreamingViterbi(self.v)
+        if len(segment) <= 2 * self.v.longest:  # within one window: the paths' meeting need not be looked for
+            search.text = segment
+            search._advance()
+            return search._commit(len(segment))
         return [*search.feed(segment), *search.finish()]
 
     def encode(self, text: str) -> list[int]:
