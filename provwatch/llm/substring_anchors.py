@@ -288,7 +288,7 @@ def remove_repeats(docs: DataFrame, window: int = 35, keep: tuple[str, ...] = ("
     tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # rows are known by content: equal rows have equal answers, and a null or repeated doc_id does no harm
     key = F.xxhash64(*(F.col(c) for c in dict.fromkeys((*keep, "text"))))
-    docs = docs.select(key.alias("row_key"), F.col("text").alias("text"), *(F.col(c).alias(f"_{c}") for c in keep))
+    docs = docs.select(key.alias("row_key"), "text", *(F.col(c).alias(f"_{c}") for c in keep if c != "text"))
 
     def repeated(source: DataFrame, send: Callable) -> DataFrame:
         sent = source.mapInArrow(send, _SENT_DDL).repartitionById(tasks, "range")
@@ -300,8 +300,8 @@ def remove_repeats(docs: DataFrame, window: int = 35, keep: tuple[str, ...] = ("
     anchored = texts.join(repeated(docs, _anchors(window, tasks)), "row_key")
     # all columns stay, though unused, so that both rounds read the same exchange
     starts = repeated(anchored, _windows(window, tasks))
-    carried = [f"_{c}" for c in keep]
-    full = texts.join(starts, "row_key", "left").select(*carried, "text", "hits")
+    carried = ["text" if c == "text" else f"_{c}" for c in keep]
+    full = texts.join(starts, "row_key", "left").select(*dict.fromkeys((*carried, "text")), "hits")
     types = {f.name: f.dataType.simpleString() for f in full.schema.fields}
     ddl = ", ".join(f"`{c}` {types[c]}" for c in carried) + ", " + _CUT_DDL.partition(", ")[2]
-    return full.mapInArrow(_cut(window, carried), ddl).withColumnsRenamed({f"_{c}": c for c in keep})
+    return full.mapInArrow(_cut(window, carried), ddl).withColumnsRenamed({f"_{c}": c for c in keep if c != "text"})
