@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from provwatch.llm import bottom_k_dedup, sentencepiece_viterbi, string_tiling, substring_anchors, toxicity_neighbours
-from provwatch.llm.tables import saved
+from provwatch.llm.tables import saved, sent_if_small
 from provwatch.llm.tokenizers_public import TokenizerFile, public_path
 from provwatch.sources.sinks import work_folder
 
@@ -27,7 +27,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """One document of each group of near copies (five words, similarity 0.8): the one of smallest doc_id."""
     groups = bottom_k_dedup.near_duplicates(docs, shingle=5, percent=80)
     copies = groups.where("not kept and doc_id is not null").select("doc_id").distinct()
-    return docs.join(copies, "doc_id", "left_anti").select(*docs.columns)
+    copies = saved(copies, f"{work_folder(spark, 'copies')}/ids")
+    return docs.join(sent_if_small(copies), "doc_id", "left_anti").select(*docs.columns)
 
 
 def substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from provwatch.llm.blocks import blocks, mix, row_sets, word_hashes, words
-from provwatch.llm.tables import saved
+from provwatch.llm.tables import saved, sent_if_small
 from provwatch.sources.sinks import work_folder
 
 SKETCH = 64
@@ -225,7 +225,9 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
     wanted = likely.select(F.explode(F.array("a", "b")).alias("id")).union(frequent).distinct()
     wanted = wanted.join(classes.select("id", "set_key", "doc_id"), "id")
     # a doc_id may occur with several texts: the set's key, computed again, tells which one is meant
-    texts = docs.join(wanted.select("doc_id").distinct(), "doc_id", "left_semi").mapInArrow(
+    wanted = saved(wanted, f"{folder}/wanted")
+    ids = sent_if_small(saved(wanted.select("doc_id").distinct(), f"{folder}/wanted-ids"))
+    texts = docs.join(ids, "doc_id", "left_semi").mapInArrow(
         _keyed(shingle), "set_key binary, text string"
     )
     texts = texts.join(wanted.select("id", "set_key"), "set_key").dropDuplicates(["id"]).select("id", "text")

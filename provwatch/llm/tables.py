@@ -3,9 +3,20 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+BROADCAST_IDS = 1_000_000
 
 
 def saved(df: DataFrame, path: str) -> DataFrame:
     """Write ``df`` once and go on from the written table: a lost executor costs a few tasks, not the plan above."""
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def sent_if_small(ids: DataFrame) -> DataFrame:
+    """A written table of numbers, marked for broadcast if it has at most ``BROADCAST_IDS`` rows.
+
+    Beyond that the join stays a shuffled one. It spares a shuffle of whole texts where few rows are wanted.
+    """
+    return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
