@@ -56,9 +56,10 @@ def filter_like(
 def apply_filters(df: DataFrame, **wanted: object) -> DataFrame:
     """Add one predicate per parameter that is set; a list means membership, a scalar equality."""
     for column, value in wanted.items():
-        if value is None or value == [] or value == ():
+        several = isinstance(value, (list, tuple, set, frozenset))
+        if value is None or (several and not value):
             continue
-        if isinstance(value, (list, tuple, set)):
+        if several:
             df = df.filter(F.col(column).isin(*value))
         else:
             df = df.filter(F.col(column) == value)

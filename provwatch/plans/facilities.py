@@ -101,7 +101,8 @@ def union_facilities(
 
 
 def build_facilities(
-    hospice: DataFrame, home_health: DataFrame, ltch: DataFrame, nursing: DataFrame, loaded_at=None
+    hospice: DataFrame, home_health: DataFrame, ltch: DataFrame, nursing: DataFrame, loaded_at=None,
+    keep_load_time: bool = False,
 ) -> DataFrame:
     """One row per certification number, the newest load; the number alone is the key, not the type."""
     rows = union_facilities(hospice, home_health, ltch, nursing)
@@ -131,5 +132,6 @@ def build_facilities(
         "NUMBER_OF_RESIDENTS",
         F.when(beds > 0, percentage(residents, beds, 1)).alias("OCCUPANCY_RATE"),
         F.coalesce(F.col("OVERALL_RATING") == 1, F.lit(False)).alias("IS_LOW_QUALITY"),
+        *(["_LOAD_TIMESTAMP"] if keep_load_time else []),
     )
     return stamp(result, loaded_at)

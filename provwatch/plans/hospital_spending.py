@@ -25,7 +25,7 @@ def _benchmark_status(value: Column, benchmark: Column, label: str) -> Column:
     )
 
 
-def build_hospital_spending(spending: DataFrame, loaded_at=None) -> DataFrame:
+def build_hospital_spending(spending: DataFrame, loaded_at=None, keep_load_time: bool = False) -> DataFrame:
     """One row per hospital, claim type and period, the newest load."""
     known = spending.filter(F.col("STATE").isNotNull() & F.col("FACILITY_ID").isNotNull())
     typed = known.select(
@@ -56,6 +56,5 @@ def build_hospital_spending(spending: DataFrame, loaded_at=None) -> DataFrame:
             "SPENDING_RISK_TIER",
             ladder([(variance > 50, "HIGH"), (variance > 20, "MEDIUM"), (variance < -20, "LOW")], "NORMAL"),
         )
-        .drop("_LOAD_TIMESTAMP")
     )
-    return stamp(result, loaded_at)
+    return stamp(result if keep_load_time else result.drop("_LOAD_TIMESTAMP"), loaded_at)

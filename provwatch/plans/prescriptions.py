@@ -33,9 +33,13 @@ def _is_above(column: str, bound: int):
     return F.coalesce(F.col(column) > bound, F.lit(False))
 
 
-def build_prescriptions(part_d: DataFrame, leie: DataFrame, loaded_at=None) -> DataFrame:
+def build_prescriptions(
+    part_d: DataFrame, leie: DataFrame, loaded_at=None, keep_load_time: bool = False
+) -> DataFrame:
     """Typed volumes, per-row ratios, exclusion flag and risk tier.
 
+    ``keep_load_time`` keeps the source rows' load time, for incremental tables.
+
     Not deduplicated: PRESCRIPTION_ID repeats if the source repeats a prescriber and drug.
     """
     brand, generic = F.col("BRND_NAME"), F.col("GNRC_NAME")
@@ -62,6 +66,7 @@ def build_prescriptions(part_d: DataFrame, leie: DataFrame, loaded_at=None) -> D
         ladder([(brand != generic, "BRAND")], "GENERIC").alias("DRUG_TYPE"),
         *all_ages,
         *seniors,
+        *(["_LOAD_TIMESTAMP"] if keep_load_time else []),
     )
     claims, cost, patients = F.col("TOTAL_CLAIMS"), F.col("TOTAL_DRUG_COST"), F.col("TOTAL_BENEFICIARIES")
     measured = typed.withColumns(

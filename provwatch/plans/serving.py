@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from provwatch.functions import ladder, quotient
 from provwatch.operators.aggregates import count_where, group_by_bucket, histogram, mean, rollup_summary
 from provwatch.operators.filters import apply_filters, filter_true, like_any
-from provwatch.operators.joins import inner_join, left_join
+from provwatch.operators.joins import inner_join, left_join, semi_join
 from provwatch.operators.ordering import order, order_by_category, top_k
 from provwatch.plans.common import pick
 from provwatch.plans.ml_features import MEASURES
@@ -254,7 +254,7 @@ def payments_by_state(payments_summary: DataFrame, provider_360: DataFrame) -> D
     )
     amount = F.col("TOTAL_PAYMENT_AMOUNT")
     states = paid.groupBy("STATE").agg(
-        F.count_distinct("NPI").alias("PROVIDER_COUNT"),
+        F.count("*").alias("PROVIDER_COUNT"),  # both sides have one row per NPI
         F.sum(amount).alias("TOTAL_PAYMENTS"),
         mean(amount).alias("AVG_PAYMENT"),
     )
@@ -287,7 +287,9 @@ def recipient_tiers(payments_summary: DataFrame) -> DataFrame:
 
 
 def payment_histogram(payments_summary: DataFrame, provider_360: DataFrame, bins: int = 50) -> DataFrame:
-    return histogram(top_recipients(payments_summary, provider_360), "TOTAL_PAYMENT_AMOUNT", bins)
+    """Distribution over all recipients that have a profile."""
+    known = semi_join(payments_summary.select("NPI", "TOTAL_PAYMENT_AMOUNT"), provider_360, "NPI")
+    return histogram(known, "TOTAL_PAYMENT_AMOUNT", bins)
 
 
 def volume_tiers(prescriptions_summary: DataFrame) -> DataFrame:

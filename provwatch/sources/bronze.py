@@ -30,7 +30,7 @@ def to_bronze(df: DataFrame, mapping: dict[str, str], columns: list[str] | None
     )
 
 
-def load_bronze(spark: SparkSession, directory: str, table: str, tolerant: bool = True) -> DataFrame:
+def load_bronze(spark: SparkSession, directory: str, table: str, tolerant: bool = False) -> DataFrame:
     """Latest file of a source, shaped to the landed table with its two audit columns."""
     raw = with_source_file(read_latest(spark, directory, tolerant), SOURCE_FILE)
     shaped = to_bronze(raw, {**header_mapping(raw, table), SOURCE_FILE: SOURCE_FILE}, [*bronze_columns(table), SOURCE_FILE])
@@ -58,12 +58,15 @@ def stage(df: DataFrame, active_only: bool = False, stamped: bool = True) -> Dat
 
 
 def expect_non_empty(df: DataFrame, what: str = "source") -> DataFrame:
-    """Fail early on an empty input; reads at most one row."""
+    """Fail on an empty input; reads at most one row. It runs a job: use it where the plan's next step is a write."""
     if df.isEmpty():
         raise ValueError(f"{what} is empty")
     return df
 
 
-def load_metrics(df: DataFrame) -> DataFrame:
-    """Row and column count of a loaded table."""
-    return df.agg(F.count("*").alias("ROW_COUNT")).withColumn("COLUMN_COUNT", F.lit(len(df.columns)))
+def load_metrics(df: DataFrame, required: str | None = None) -> DataFrame:
+    """Row and column count of a loaded table; with ``required`` (its name) an empty one fails in the same job."""
+    rows = F.count("*")
+    if required is not None:
+        rows = F.when(rows > 0, rows).otherwise(F.raise_error(F.lit(f"{required} is empty")).cast("bigint"))
+    return df.agg(rows.alias("ROW_COUNT")).withColumn("COLUMN_COUNT", F.lit(len(df.columns)))

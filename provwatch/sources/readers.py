@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def read_csv_inferred(
@@ -26,21 +27,57 @@ def read_csv_strings(
 
 
 def _csv(spark: SparkSession, path: str, tolerant: bool, multi_line: bool, **options) -> DataFrame:
-    """RFC 4180 quoting. Line breaks inside fields need ``multi_line``, which makes files unsplittable."""
+    """RFC 4180 quoting. Line breaks inside fields need ``multi_line``, which makes files unsplittable.
+
+    Every column is parsed, so that rows dropped as malformed are the same whatever is selected.
+    """
     return spark.read.options(
         header=True,
         mode="DROPMALFORMED" if tolerant else "FAILFAST",
         quote='"',
         escape='"',
         multiLine=multi_line,
+        columnPruning=not tolerant,
         **options,
     ).csv(path)
 
 
-def read_latest(spark: SparkSession, directory: str, tolerant: bool = True) -> DataFrame:
+def split_malformed(
+    spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = False
+) -> tuple[DataFrame, DataFrame]:
+    """CSV rows that fit the schema, and the malformed ones as text (column ``_corrupt_record``).
+
+    Fields are read as text and cast here, so a row's fate depends on all its fields and on no column chosen later. A
+    row is malformed if its number of fields differs or a field that is not empty has no value of its type.
+    """
+    bad, names = "_corrupt_record", schema.names
+    as_text = T.StructType([T.StructField(c, T.StringType()) for c in [*names, bad]])
+    rows = spark.read.schema(as_text).options(
+        header=True, mode="PERMISSIVE", columnNameOfCorruptRecord=bad, quote='"', escape='"', multiLine=multi_line,
+        columnPruning=False,
+    ).csv(path)
+    cast = {f.name: F.col(f.name).try_cast(f.dataType) for f in schema.fields}
+    fits = F.col(bad).isNull()
+    for c in names:
+        fits = fits & (F.col(c).isNull() | cast[c].isNotNull())
+    good = rows.filter(fits).select(*[cast[c].alias(c) for c in names])
+    text = F.coalesce(F.col(bad), F.concat_ws(",", *[F.coalesce(F.col(c), F.lit("")) for c in names]))
+    return good, rows.filter(~fits).select(text.alias(bad))
+
+
+def skipped_files(spark: SparkSession, directory: str) -> DataFrame:
+    """Latest copies that a tolerant scan leaves out because they cannot be read: column ``path``."""
+    pattern = f"{directory}/*LATEST*.parquet"
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet")
+    found = listed.load(pattern).select(F.col("_metadata.file_path").alias("path"))
+    read = read_latest(spark, directory, tolerant=True).select(F.col("_metadata.file_path").alias("path")).distinct()
+    return found.join(read, "path", "left_anti")
+
+
+def read_latest(spark: SparkSession, directory: str, tolerant: bool = False) -> DataFrame:
     """Parquet files or datasets in a directory whose name marks them as the latest copy.
 
-    With ``tolerant`` unreadable files are skipped, as in the load it stands for.
+    An unreadable file fails the scan. With ``tolerant`` such files are skipped; ``skipped_files`` lists them.
     """
     reader = spark.read.option("ignoreCorruptFiles", str(tolerant).lower())
     return reader.parquet(f"{directory}/*LATEST*.parquet")

@@ -1,15 +1,20 @@
 """Incremental tables: load only new rows, and replace rows by key.
 
-Plain Parquet has no MERGE, so a table is a series of complete versions plus a manifest with one row per
-version. A version becomes visible when its manifest row is committed; nothing that is being read is ever
-overwritten, and a failed or repeated attempt leaves only an unreferenced folder behind.
+Plain Parquet has no MERGE, so a table is kept in a fixed number of hash buckets of its key. A merge writes new
+folders for the buckets that change and one manifest entry that says which folder each bucket has now; untouched
+buckets keep theirs. An entry is written under its version number and must not exist yet, so of two writers one fails
+instead of losing the other's rows. Nothing that is being read is ever overwritten.
+
+The load time of each row is kept with it. For one key the newer load wins whatever the order of arrival, and of
+equal load times the later arrival; a row without load time counts as the newest, as it does in a full build. Rows
+that change nothing are left out, so a repeated batch is a no-op.
 """
 
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
-from dataclasses import dataclass
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass, field
 from datetime import datetime
 
 from pyspark.errors import AnalysisException
@@ -20,15 +25,17 @@ from pyspark.sql import types as T
 from provwatch.operators.joins import anti_join
 from provwatch.operators.windows import keep_first, keep_latest
 from provwatch.sources.schemas import LOAD_TIMESTAMP
+from provwatch.sources.sinks import write_table
 
 _MANIFEST = T.StructType(
     [
         T.StructField("version", T.LongType(), False),
-        T.StructField("path", T.StringType(), False),
         T.StructField("high_water", T.TimestampNTZType(), True),
-        T.StructField("batch_id", T.StringType(), True),
+        T.StructField("bucket", T.IntegerType(), True),
+        T.StructField("path", T.StringType(), True),
     ]
 )
+_AT, _BUCKET = "row_load_time", "table_bucket"
 
 
 def _wall_clock(column: str) -> Column:
@@ -41,8 +48,13 @@ def _moment(value: datetime) -> Column:
 
 
 def since_watermark(source: DataFrame, high_water, column: str = LOAD_TIMESTAMP) -> DataFrame:
-    """Source rows loaded after the high-water mark; everything if there is none yet."""
-    return source if high_water is None else source.filter(_wall_clock(column) > _moment(high_water))
+    """Source rows that may be new: loaded at or after the high-water mark, or without a load time.
+
+    Rows of the mark itself come again, since more of them may have arrived; the merge ignores repeats.
+    """
+    if high_water is None:
+        return source
+    return source.filter(F.col(column).isNull() | (_wall_clock(column) >= _moment(high_water)))
 
 
 def append_new_columns(target: DataFrame, batch: DataFrame) -> DataFrame:
@@ -69,88 +81,106 @@ def latest_part_d_rows(part_d: DataFrame) -> DataFrame:
 @dataclass(frozen=True)
 class Version:
     number: int
-    path: str
     high_water: object
-    batch_id: str | None
+    buckets: dict[int, str] = field(default_factory=dict)
 
 
 class VersionedTable:
-    def __init__(self, spark: SparkSession, path: str, key: str) -> None:
-        self.spark, self.path, self.key = spark, path.rstrip("/"), key
+    """A table with one row per ``key``, in ``buckets`` parts; choose about one bucket per few GB.
+
+    Batches carry their load time in ``load_time``; the column is not part of what is read.
+    """
 
-    @property
-    def _manifest_path(self) -> str:
-        return f"{self.path}/manifest"
+    def __init__(
+        self, spark: SparkSession, path: str, key: str, buckets: int = 32, load_time: str = LOAD_TIMESTAMP
+    ) -> None:
+        self.spark, self.path, self.key = spark, path.rstrip("/"), key
+        self.buckets, self.load_time = buckets, load_time
 
-    def _manifest(self) -> DataFrame | None:
+    def current(self) -> Version | None:
+        reader = self.spark.read.schema(_MANIFEST).option("recursiveFileLookup", True)
         try:
-            return self.spark.read.schema(_MANIFEST).parquet(self._manifest_path)
+            manifest = reader.parquet(f"{self.path}/manifest")
+            newest = manifest.agg(F.max("version")).first()[0]
         except AnalysisException as error:
             if error.getCondition() == "PATH_NOT_FOUND":
                 return None
             raise
+        # one row per bucket, a fixed number
+        rows = manifest.filter(F.col("version") == newest).collect()
+        return Version(newest, rows[0]["high_water"], {r["bucket"]: r["path"] for r in rows})
 
-    def current(self) -> Version | None:
-        manifest = self._manifest()
-        # One row per version was ever written here; only the newest is fetched.
-        row = None if manifest is None else manifest.orderBy(F.col("version").desc()).first()
-        return None if row is None else Version(row.version, row.path, row.high_water, row.batch_id)
-
-    def has_batch(self, batch_id: str) -> bool:
-        manifest = self._manifest()
-        return manifest is not None and not manifest.filter(F.col("batch_id") == batch_id).isEmpty()
+    def _read_buckets(self, version: Version | None, buckets: Sequence[int]) -> DataFrame | None:
+        paths = [] if version is None else [version.buckets[b] for b in sorted(buckets) if b in version.buckets]
+        # buckets written before a column appeared lack it
+        return self.spark.read.option("mergeSchema", True).parquet(*paths) if paths else None
 
     def read(self) -> DataFrame:
         version = self.current()
         if version is None:
             raise ValueError(f"no version of {self.path} has been committed")
-        return self.spark.read.parquet(version.path)
+        return self._read_buckets(version, list(version.buckets)).drop(_AT)
 
-    def _commit(self, df: DataFrame, high_water, batch_id: str | None, before: Version | None) -> None:
+    def _commit(self, before: Version | None, changed: dict[int, str], high_water) -> None:
         number = 1 if before is None else before.number + 1
-        path = f"{self.path}/versions/{number:08d}-{uuid.uuid4().hex[:8]}"
-        df.write.parquet(path)
-        values = {
-            "version": F.lit(number),
-            "path": F.lit(path),
-            "high_water": F.lit(None) if high_water is None else _moment(high_water),
-            "batch_id": F.lit(batch_id),
-        }
-        entry = self.spark.range(1, numPartitions=1).select(
-            *[values[f.name].cast(f.dataType).alias(f.name) for f in _MANIFEST.fields]
-        )
-        entry.write.mode("append").parquet(self._manifest_path)
-
-    def merge(self, batch: DataFrame, high_water=None, batch_id: str | None = None) -> None:
-        """Commit a new version with the batch merged in. A batch id seen before is skipped."""
-        if batch_id is not None and self.has_batch(batch_id):
-            return
+        buckets = ({} if before is None else before.buckets) | changed
+        rows = [(number, high_water, b, p) for b, p in sorted(buckets.items())]
+        entry = self.spark.createDataFrame(rows, _MANIFEST)
+        entry.coalesce(1).write.mode("errorifexists").parquet(f"{self.path}/manifest/{number:08d}")
+
+    def _content(self, df: DataFrame) -> Column:
+        """Hash of a row's columns by name, without the time at which the model ran; NULLs count as absent."""
+        names = sorted(c for c in df.columns if c not in (_AT, _BUCKET, "_loaded_at"))
+        return F.xxhash64(*[F.when(F.col(c).isNotNull(), F.concat_ws("=", F.lit(c), F.col(c).cast("string"))) for c in names])
+
+    def merge(self, batch: DataFrame) -> bool:
+        """Merge a batch and commit a new version; False if it changes nothing."""
         before = self.current()
-        unique = keep_first(batch, [self.key], [F.col(c).asc_nulls_last() for c in batch.columns])
-        merged = unique if before is None else upsert(self.spark.read.parquet(before.path), unique, self.key)
-        mark = high_water if high_water is not None or before is None else before.high_water
-        self._commit(merged, mark, batch_id, before)
+        at = _wall_clock(self.load_time) if self.load_time in batch.columns else F.lit(None).cast("timestamp_ntz")
+        bucket = F.pmod(F.xxhash64(self.key), F.lit(self.buckets)).cast("int")
+        rows = batch.withColumn(_AT, at).drop(self.load_time)
+        rows = keep_first(rows, [self.key], [F.col(_AT).desc_nulls_first(), self._content(rows)])
+        incoming = write_table(rows.withColumn(_BUCKET, bucket), f"{self.path}/incoming/{uuid.uuid4().hex}")
+        stats = incoming.agg(F.max(_AT).alias("newest"), F.collect_set(_BUCKET).alias("buckets")).first()
+        old = self._read_buckets(before, stats["buckets"])
+        if old is not None:
+            known = old.select(self.key, F.col(_AT).alias("old_at"), self._content(old).alias("old_content"), F.lit(True).alias("old_row"))
+            new_at, old_at = F.col(_AT), F.col("old_at")
+            wins = new_at.isNull() | (old_at.isNotNull() & (new_at >= old_at))
+            differs = (self._content(incoming) != F.col("old_content")) | ~new_at.eqNullSafe(old_at)
+            fresh = F.col("old_row").isNull() | (wins & differs)
+            incoming = incoming.join(known, self.key, "left").filter(fresh).drop("old_at", "old_content", "old_row")
+            incoming = write_table(incoming, f"{self.path}/incoming/{uuid.uuid4().hex}")
+        touched = sorted(r[0] for r in incoming.select(_BUCKET).distinct().collect())
+        if not touched:
+            return False
+        merged = incoming
+        kept = self._read_buckets(before, touched)
+        if kept is not None:
+            merged = upsert(kept.withColumn(_BUCKET, bucket), incoming, self.key)
+        folder = f"{self.path}/data/{uuid.uuid4().hex}"
+        # a few files per bucket, so that a bucket is not one task's work
+        layout = merged.repartition(F.col(_BUCKET), F.pmod(F.xxhash64(self.key, F.lit(1)), F.lit(4)))
+        layout.write.partitionBy(_BUCKET).parquet(folder)
+        marks = [m for m in (stats["newest"], before and before.high_water) if m is not None]
+        changed = {b: f"{folder}/{_BUCKET}={b}" for b in touched}
+        self._commit(before, changed, max(marks) if marks else None)
+        return True
 
     def refresh(
-        self, source: DataFrame, build: Callable[[DataFrame], DataFrame], column: str = LOAD_TIMESTAMP
+        self,
+        sources: DataFrame | Sequence[DataFrame],
+        build: Callable[..., DataFrame],
+        column: str = LOAD_TIMESTAMP,
     ) -> bool:
-        """Run the model over rows loaded since the last refresh and merge the result.
+        """Run the model over source rows that may be new, under one mark for all sources, and merge the result.
 
-        The mark kept with the version is the newest load time of the source rows used, so rows that
-        arrive while the model runs are picked up next time. Returns whether there was anything new.
+        The model's result carries the load time of its rows. Returns whether anything changed.
         """
         before = self.current()
         mark = None if before is None else before.high_water
-        fresh = since_watermark(source, mark, column)
-        newest = fresh.agg(F.max(_wall_clock(column))).first()[0]
-        if newest is None:
-            return False
-        batch = fresh.filter(_wall_clock(column) <= _moment(newest))
-        if mark is None:
-            # A first load also takes rows that carry no load time.
-            batch = batch.unionByName(source.filter(F.col(column).isNull()))
-        self.merge(build(batch), high_water=newest)
-        return True
+        several = [sources] if isinstance(sources, DataFrame) else list(sources)
+        return self.merge(build(*[since_watermark(s, mark, column) for s in several]))
 
 
 def stream_upserts(
@@ -164,19 +194,15 @@ def stream_upserts(
 ) -> None:
     """Process all files not yet seen in a folder, one merge per micro-batch, then stop.
 
-    The stream's checkpoint tracks files; the batch id stored with each version makes a micro-batch that
-    is repeated after a failure a no-op.
+    The stream's checkpoint tracks files. A micro-batch that is repeated after a failure, or a stream that begins
+    again with an empty checkpoint, merges rows that change nothing.
     """
     reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-
-    def merge(batch: DataFrame, number: int) -> None:
-        table.merge(build(batch), batch_id=f"{checkpoint}#{number}")
-
     query = (
         reader.parquet(folder)
-        .writeStream.foreachBatch(merge)
+        .writeStream.foreachBatch(lambda batch, _: table.merge(build(batch)))
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

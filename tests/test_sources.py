@@ -140,3 +140,21 @@ def test_export(spark, tmp_path):
     path = str(tmp_path / "out")
     sinks.export_csv(spark.createDataFrame([(1, 'say "hi", now')], "a int, b string"), path)
     assert readers.read_csv_strings(spark, path).first()["b"] == 'say "hi", now'
+
+
+def test_malformed_rows_do_not_depend_on_the_columns_read(spark, tmp_path):
+    path = str(tmp_path / "rows.csv")
+    with open(path, "w") as file:
+        file.write('a,b,c\n1,x,2.5\n2,y\n3,"z, w",n/a\n4,,\nfive,v,1\n')
+    schema = T.StructType([T.StructField("a", T.IntegerType()), T.StructField("b", T.StringType()), T.StructField("c", T.DoubleType())])
+    good, bad = readers.split_malformed(spark, path, schema)
+    assert good.count() == 2 and {r["a"] for r in good.select("a").collect()} == {1, 4}
+    assert bad.count() == 3 and sorted(r[0][:2] for r in bad.collect()) == ["2,", "3,", "fi"]
+
+
+def test_files_a_tolerant_scan_skips_are_listed(spark, tmp_path):
+    good, broken = str(tmp_path / "a_LATEST.parquet"), tmp_path / "b_LATEST.parquet"
+    spark.range(5).write.parquet(good)
+    broken.write_bytes(b"no parquet at all")
+    listed = [r["path"] for r in readers.skipped_files(spark, str(tmp_path)).collect()]
+    assert len(listed) == 1 and listed[0].endswith("b_LATEST.parquet")

@@ -31,7 +31,8 @@ from provwatch.functions import (
     try_number,
 )
 from provwatch.plans import quality, serving
-from provwatch.plans.facilities import union_facilities
+from provwatch.plans.facilities import build_facilities, union_facilities
+from provwatch.plans.hospital_spending import build_hospital_spending
 from provwatch.plans.ml_features import (
     build_drug_concentration,
     build_peer_medians,
@@ -44,6 +45,7 @@ from provwatch.plans.ml_features import (
 from provwatch.plans.payments import PAYMENT_TIERS
 from provwatch.plans.lake import MODELS, Lake
 from provwatch.plans.prescriptions import build_prescriptions
+from provwatch.plans.summaries import RECIPIENT_TIERS
 from provwatch.sources import bronze, readers, sinks
 from provwatch.sources.schemas import HEADER_EXCEPTIONS, bronze_columns
 from provwatch.streaming.incremental import (
@@ -389,10 +391,10 @@ add(
 )
 add(
     "alert_batch_metrics",
-    lambda x: serving.alert_batch_metrics(serving.alerts_list(x.high_risk_alerts, limit=500)),
+    lambda x: serving.alert_batch_metrics(x.high_risk_alerts.filter(F.col("RISK_TIER").isNotNull())),
     f"""select count(*) as TOTAL_ALERTS, count_if(RISK_TIER = 'CRITICAL')::bigint as CRITICAL_ALERTS,
         count_if(RISK_TIER = 'HIGH')::bigint as HIGH_ALERTS, {usd("coalesce(sum(exposure_c), 0):TOTAL_EXPOSURE")}
-        from (select * from m_alerts {_ALERT_ORDER} limit 500)""",
+        from m_alerts where RISK_TIER is not null""",
 )
 add(
     "alerts_by_priority",
@@ -509,7 +511,8 @@ def _histogram_sql(rows: str, unit: int, bins: int = 50) -> str:
 add(
     "payment_histogram",
     lambda x: serving.payment_histogram(x.payments_summary, x.provider_360),
-    f"select * from ({_histogram_sql('select cast(total_c as bigint) as v from m_top_recipients', 100)})",
+    f"""select * from ({_histogram_sql(
+        'select cast(total_c as bigint) as v from m_pay_sum where NPI in (select NPI from m_360)', 100)})""",
 )
 add(
     "score_histogram",
@@ -864,12 +867,12 @@ add(
     """select ALERT_ID, coalesce(PROVIDER_NAME, '') as PROVIDER_NAME, coalesce(ALERT_DESCRIPTION, '') as ALERT_DESCRIPTION,
         cast(RISK_SCORE as varchar) as RISK_SCORE from m_alerts""",
 )
-_COUNTED = ("leie", "part_d", "spending", "nppes_address")
+_COUNTED = tuple(sorted({i for m in MODELS.values() for i in m.inputs} - set(MODELS)))
 add(
     "load_metrics",
     lambda x: filters.union_all(
         [
-            bronze.load_metrics(bronze.expect_non_empty(x.source(s), s)).withColumn("SOURCE", F.lit(s))
+            bronze.load_metrics(x.source(s), required=s).withColumn("SOURCE", F.lit(s))
             for s in _COUNTED
         ]
     ).select("SOURCE", "ROW_COUNT"),
@@ -1139,15 +1142,15 @@ add(
     """select o_orderkey, o_orderpriority, o_totalprice from orders
         order by o_orderpriority, o_totalprice desc nulls last, o_orderkey limit 100""",
 )
+_RECIPIENT_TIERS = [name for _, name in RECIPIENT_TIERS] + ["MINOR_RECIPIENT"]
 add(
     "tiers_in_order",
     lambda x: ordering.order_by_category(
-        x.provider_360.groupBy("RECIPIENT_TIER").agg(F.count("*").alias("COUNT")),
-        "RECIPIENT_TIER",
-        ["MEGA_RECIPIENT", "MAJOR_RECIPIENT", "MINOR_RECIPIENT"],
-    ),
-    """select RECIPIENT_TIER, count(*) as COUNT from m_360
-        where RECIPIENT_TIER in ('MEGA_RECIPIENT', 'MAJOR_RECIPIENT', 'MINOR_RECIPIENT') group by RECIPIENT_TIER""",
+        x.provider_360.groupBy("RECIPIENT_TIER").agg(F.count("*").alias("COUNT")), "RECIPIENT_TIER", _RECIPIENT_TIERS
+    ).withColumn("POSITION", F.monotonically_increasing_id() + 1),
+    f"""select RECIPIENT_TIER, count(*) as COUNT,
+        row_number() over (order by list_position({_RECIPIENT_TIERS}, RECIPIENT_TIER)) as POSITION from m_360
+        where RECIPIENT_TIER in (select unnest({_RECIPIENT_TIERS})) group by RECIPIENT_TIER""",
 )
 
 # --- scalar functions -------------------------------------------------------------------------------
@@ -1228,7 +1231,7 @@ add(
 
 
 def _prescriptions(x: Inputs) -> Callable[[DataFrame], DataFrame]:
-    return lambda rows: build_prescriptions(latest_part_d_rows(rows), x.source("leie")).drop("_loaded_at")
+    return lambda rows: build_prescriptions(latest_part_d_rows(rows), x.source("leie"), keep_load_time=True).drop("_loaded_at")
 
 
 def _deliveries(x: Inputs) -> tuple[DataFrame, DataFrame]:
@@ -1290,6 +1293,111 @@ def _streamed(x: Inputs) -> DataFrame:
 add("stream_upsert", _streamed, f"select {PRESCRIPTIONS} from m_prescriptions")
 
 
+def _preliminary(df: DataFrame, key: str, changed: str) -> DataFrame:
+    """An earlier delivery of half of the rows, with another value in one column."""
+    half = df.filter(F.pmod(F.xxhash64(key), F.lit(2)) == 0)
+    return half.withColumns({changed: F.lit("preliminary"), "_LOAD_TIMESTAMP": F.lit("1990-01-01").cast("timestamp_ntz")})
+
+
+def _incremental(x: Inputs, name: str, sources: tuple[str, ...], key: str, changed: dict[str, tuple[str, str]], build) -> DataFrame:
+    """A first load of preliminary rows, then a second with all final ones: replaced and new rows of several sources."""
+    table = VersionedTable(x.spark, x.scratch(name), key)
+    model = lambda *parts: build(*parts, keep_load_time=True).drop("_loaded_at")
+    final = [x.source(s) for s in sources]
+    first = [_preliminary(df, *changed[s]) for s, df in zip(sources, final, strict=True)]
+    table.refresh(first, model)
+    table.refresh([a.unionByName(b) for a, b in zip(first, final, strict=True)], model)
+    return table.read()
+
+
+_FACILITY_KEYS = {
+    "hospice": ("CMS_CERTIFICATION_NUMBER", "FACILITY_NAME"),
+    "home_health": ("CMS_CERTIFICATION_NUMBER", "PROVIDER_NAME"),
+    "ltch": ("CMS_CERTIFICATION_NUMBER", "FACILITY_NAME"),
+    "nursing_home": ("FEDERAL_PROVIDER_NUMBER", "PROVIDER_NAME"),
+}
+add(
+    "incremental_facilities",
+    lambda x: _incremental(x, "facilities", tuple(_FACILITY_KEYS), "CCN", _FACILITY_KEYS, build_facilities),
+    f"select {FACILITIES} from m_facilities",
+)
+add(
+    "incremental_hospital_spending",
+    lambda x: _incremental(
+        x, "spending", ("spending",), "SPENDING_ID", {"spending": ("FACILITY_ID", "FACILITY_NAME")}, build_hospital_spending
+    ),
+    f"select {SPENDING} from m_spending",
+)
+
+
+def _orders(x: Inputs, day: str | None, status: str | None = None) -> DataFrame:
+    changed = F.col("o_orderstatus") if status is None else F.lit(status)
+    return x.raw("orders").select(
+        "o_orderkey", changed.alias("o_orderstatus"), F.lit(day).cast("timestamp_ntz").alias("_LOAD_TIMESTAMP")
+    )
+
+
+def _late(x: Inputs) -> DataFrame:
+    """Rows of an older load that arrive after newer ones: they fill gaps and replace nothing."""
+    table = VersionedTable(x.spark, x.scratch("late"), "o_orderkey", buckets=8)
+    table.merge(_orders(x, "2024-01-05").filter(F.col("o_orderstatus") == "F"))
+    table.merge(_orders(x, "2024-01-01", "OLD"))
+    return table.read()
+
+
+def _null_and_equal(x: Inputs) -> DataFrame:
+    """A second delivery with the load time of the mark, and rows without any."""
+    table = VersionedTable(x.spark, x.scratch("equal"), "o_orderkey", buckets=8)
+    third = F.col("o_orderkey") % 3
+    first = _orders(x, "2024-01-01").filter(third == 0)
+    table.refresh(first, lambda df: df)
+    second = _orders(x, "2024-01-01").filter(third == 1).unionByName(_orders(x, None).filter(third == 2))
+    table.refresh(first.unionByName(second), lambda df: df)
+    return table.read()
+
+
+def _reset(x: Inputs) -> DataFrame:
+    """A stream that begins again with an empty checkpoint, after more files have arrived."""
+    table = VersionedTable(x.spark, x.scratch("reset"), "o_orderkey", buckets=8)
+    landing, odd = x.scratch("reset-in"), F.col("o_orderkey") % 2
+    for part in (0, 1):
+        rows = _orders(x, f"2024-01-0{part + 1}").filter(odd == part)
+        rows.write.mode("append").parquet(landing)
+        stream_upserts(x.spark, landing, rows.schema, table, lambda df: df, x.scratch("reset-state"))
+    return table.read()
+
+
+add(
+    "incremental_late_rows",
+    _late,
+    "select o_orderkey, if(o_orderstatus = 'F', 'F', 'OLD') as o_orderstatus from orders",
+)
+add("incremental_null_and_equal_times", _null_and_equal, "select o_orderkey, o_orderstatus from orders")
+add("stream_checkpoint_reset", _reset, "select o_orderkey, o_orderstatus from orders")
+
+
+def _malformed(x: Inputs) -> DataFrame:
+    """Suppliers as CSV lines, those of odd number with a balance that is no number: kept and refused rows, counted."""
+    folder = x.scratch("csv")
+    bad = F.col("s_suppkey") % 2 == 1
+    balance = F.when(bad, F.lit("n/a")).otherwise(F.col("s_acctbal").cast("string"))
+    x.raw("supplier").select("s_suppkey", "s_name", balance.alias("s_acctbal")).write.option("header", True).csv(folder)
+    schema = T.StructType(
+        [T.StructField("s_suppkey", T.LongType()), T.StructField("s_name", T.StringType()), T.StructField("s_acctbal", T.DoubleType())]
+    )
+    good, refused = readers.split_malformed(x.spark, folder, schema)
+    kept = good.select(F.lit("good").alias("KIND"), F.col("s_suppkey").alias("S_SUPPKEY"))
+    number = F.split("_corrupt_record", ",")[0].try_cast("long")
+    return kept.unionByName(refused.select(F.lit("bad").alias("KIND"), number.alias("S_SUPPKEY")))
+
+
+add(
+    "tolerant_csv_report",
+    _malformed,
+    "select if(s_suppkey % 2 = 1, 'bad', 'good') as KIND, cast(s_suppkey as bigint) as S_SUPPKEY from supplier",
+)
+
+
 def spark_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def wrap(run: Callable[[Inputs], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
         return lambda spark, folder: comparable(run(inputs_for(spark, folder)))
