@@ -65,19 +65,20 @@ def split_malformed(
     return good, rows.filter(~fits).select(text.alias(bad))
 
 
-def skipped_files(spark: SparkSession, directory: str) -> DataFrame:
-    """Latest copies that a tolerant scan leaves out because they cannot be read: column ``path``."""
+def files_without_rows(spark: SparkSession, directory: str) -> DataFrame:
+    """Files of the latest copies that give a tolerant scan no row, since they are unreadable or empty: ``path``."""
     pattern = f"{directory}/*LATEST*.parquet"
     listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet")
-    found = listed.load(pattern).select(F.col("_metadata.file_path").alias("path"))
-    read = read_latest(spark, directory, tolerant=True).select(F.col("_metadata.file_path").alias("path")).distinct()
-    return found.join(read, "path", "left_anti")
+    # the two scans may write a local path with one or three slashes
+    path = F.regexp_replace(F.col("_metadata.file_path"), "^file:/+", "file:/").alias("path")
+    found = listed.load(pattern).select(path)
+    return found.join(read_latest(spark, directory, tolerant=True).select(path).distinct(), "path", "left_anti")
 
 
 def read_latest(spark: SparkSession, directory: str, tolerant: bool = False) -> DataFrame:
     """Parquet files or datasets in a directory whose name marks them as the latest copy.
 
-    An unreadable file fails the scan. With ``tolerant`` such files are skipped; ``skipped_files`` lists them.
+    An unreadable file fails the scan. With ``tolerant`` such files are skipped; ``files_without_rows`` lists them.
     """
     reader = spark.read.option("ignoreCorruptFiles", str(tolerant).lower())
     return reader.parquet(f"{directory}/*LATEST*.parquet")
