@@ -73,9 +73,9 @@ def op6_language_ppm(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op7_lattice_lm(spark: SparkSession, folder: str) -> DataFrame:
-    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    docs = _table(spark, folder, "documents").select("doc_id", "text", "lang")
     docs = docs.withColumn("held_out", held_out(F.col("doc_id"), 7, 2)).withColumn("taught", ~F.col("held_out"))
-    return lattice_lm.score_texts(docs, _piece_model())
+    return lattice_lm.score_texts(docs, _piece_model(), classes="lang").drop("lang")
 
 
 def op8_token_count_cache(spark: SparkSession, folder: str) -> DataFrame:

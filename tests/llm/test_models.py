@@ -184,3 +184,9 @@ def test_marked_words_decide_with_evidence(spark):
 def test_small_tables_pass(spark):
     for name in ("op5_toxicity_neighbours", "op7_lattice_lm"):
         assert llm_queries()[name](spark, SMALL).count() == 200
+
+
+def test_held_out_texts_score_above_the_base(spark):
+    found = llm_queries()["op7_lattice_lm"](spark, MIDDLE).where("held_out")
+    row = found.agg(F.sum("score").alias("s"), F.sum("base_score").alias("b"), F.max("score").alias("m")).first()
+    assert row["s"] > row["b"] and row["m"] < 0
