@@ -59,17 +59,28 @@ def test_single_member_group_has_rank_zero(spark):
     assert got == {"a": 0.0, "b": 0.0, "c": 0.0}
 
 
-def test_radix_buckets_keep_order(spark):
-    numbers = sorted({s * (b + d) for e in range(0, 62) for b in (1 << e,) for d in (-1, 0, 1, 5) for s in (-1, 1)})
-    df = spark.createDataFrame([(v,) for v in numbers], "v bigint")
-    buckets = [r[0] for r in df.orderBy("v").select(ranking.radix_bucket(F.col("v"))).collect()]
-    assert buckets == sorted(buckets)
-
-
-def test_bucket_width_is_bounded(spark):
-    """Neighbouring values far from zero share buckets; the number of buckets per group stays small."""
-    df = spark.range(100_000).select((F.col("id") + 10**12).alias("v"))
-    assert df.select(ranking.radix_bucket(F.col("v"))).distinct().count() <= 2
+def test_values_are_not_rounded(spark):
+    df = spark.createDataFrame([("a", 1, "0.001"), ("a", 2, "0.002"), ("a", 3, "0.003")], "g string, k int, v string")
+    df = df.withColumns({"d": F.col("v").cast("decimal(10,3)"), "x": F.col("v").cast("double")})
+    for column in ("d", "x"):
+        assert ranking.exact_medians(df, ["g"], {"m": column}).first()["m"] == 0.002
+        ranks = {r["k"]: r["p"] for r in ranking.percentile_ranks(df, "k", ["g"], {"p": column}).collect()}
+        assert ranks == {1: 0.0, 2: 50.0, 3: 100.0}
+
+
+def test_a_group_of_close_values_is_spread_over_ranges(spark):
+    """One group whose values lie close together, far from zero: no task of the running sums gets more than its share."""
+    df = spark.range(40_000).select("id", F.lit("hot").alias("__group0"), F.lit(0).alias("__metric"))
+    df = df.withColumn("__value", (F.col("id") + 10**12).cast("decimal(38,0)"))
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        cells = ranking.cumulative_cells(df, ["__metric", "__group0"])
+        sizes = cells.groupBy(F.spark_partition_id()).count().collect()
+        wrong = cells.filter(F.col("__below") != F.col("__value") - 10**12).count()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+    assert wrong == 0 and len(sizes) > 1 and max(r["count"] for r in sizes) <= 30_000
 
 
 @pytest.mark.parametrize("shuffled", [False, True])

@@ -1020,8 +1020,10 @@ add(
     lambda x: ranking.exact_medians(
         x.raw("lineitem"), ["l_returnflag", "l_linestatus"], {"MEDIAN_PRICE": "l_extendedprice", "MEDIAN_QTY": "l_quantity"}
     ),
-    """select l_returnflag, l_linestatus, cast(median(cast(round(l_extendedprice * 100) as bigint)) as double) / 100e0 as MEDIAN_PRICE,
-        median(l_quantity) as MEDIAN_QTY from lineitem group by all""",
+    """select l_returnflag, l_linestatus, (p[(n + 1) // 2] + p[(n + 2) // 2]) / 2e0 as MEDIAN_PRICE,
+        (q[(n + 1) // 2] + q[(n + 2) // 2]) / 2e0 as MEDIAN_QTY from (
+            select l_returnflag, l_linestatus, count(*) as n, list_sort(list(l_extendedprice::double)) as p,
+                list_sort(list(l_quantity::double)) as q from lineitem group by all)""",
 )
 add(
     "distinct_claim_types",
@@ -1122,13 +1124,13 @@ add(
 add(
     "order_price_percentiles",
     lambda x: ranking.percentile_ranks(
-        x.raw("orders").withColumn("price", F.floor("o_totalprice").cast("bigint")),
+        x.raw("orders").withColumn("price", F.col("o_totalprice")),
         "o_orderkey",
         ["o_orderstatus", "o_orderpriority"],
         {"PRICE_PERCENTILE": "price", "CUSTOMER_PERCENTILE": "o_custkey"},
     ),
     """select o_orderkey,
-        percent_rank() over (partition by o_orderstatus, o_orderpriority order by floor(o_totalprice)) * 100e0 as PRICE_PERCENTILE,
+        percent_rank() over (partition by o_orderstatus, o_orderpriority order by o_totalprice) * 100e0 as PRICE_PERCENTILE,
         percent_rank() over (partition by o_orderstatus, o_orderpriority order by o_custkey) * 100e0 as CUSTOMER_PERCENTILE
         from orders""",
 )
