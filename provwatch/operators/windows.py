@@ -13,9 +13,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from provwatch.functions.numeric import quotient
-from provwatch.operators.joins import salted_left_join
 
 _RANK = "__rank"
+_HOT_SHARE = 1000
 
 
 def rank_in_group(
@@ -54,12 +54,20 @@ def partition_total(
 ) -> DataFrame:
     """Add the total of a measure over the row's group.
 
-    A window would gather each group in one task; the total is aggregated and joined back instead.
+    A window would gather each group in one task; the total is aggregated and joined back instead. A group with at
+    least one row in a thousand is joined in as many parts as it has thousandths; there are at most a thousand such
+    groups, which bounds the broadcast that names them. All other groups have one part, so nothing is copied for them.
     """
     # As a struct the key also matches where parts of it are NULL, as rows of one window partition do.
     keyed = df.withColumn("__key", F.struct(*keys))
-    totals = keyed.groupBy("__key").agg(F.sum(measure).alias(name))
-    return salted_left_join(keyed, totals, "__key", spread).drop("__key")
+    totals = keyed.groupBy("__key").agg(F.sum(measure).alias(name), F.count("*").alias("__n"))
+    rows = totals.agg(F.sum("__n")).scalar()
+    parts = (F.floor(F.col("__n") * F.lit(_HOT_SHARE) / rows) + F.lit(1)).cast("int")
+    hot = totals.filter(F.col("__n") * F.lit(_HOT_SHARE) >= rows).select("__key", parts.alias("__parts"))
+    part = F.pmod(F.xxhash64(*spread), F.coalesce(F.col("__parts"), F.lit(1))).cast("int")
+    routed = keyed.join(F.broadcast(hot), "__key", "left").withColumn("__part", part)
+    copies = totals.select("__key", name, F.explode(F.sequence(F.lit(0), parts - F.lit(1))).alias("__part"))
+    return routed.join(copies, ["__key", "__part"], "left").drop("__key", "__part", "__parts")
 
 
 def top_sums(
