@@ -6,9 +6,10 @@ bytes seen there); otherwise the escape costs log2((n + t) / t) and the next sho
 for any byte (escape method C, no exclusions). The statistics are frozen after training; a text's code length under
 a language is the exact sum over all its bytes, and the shortest code wins.
 
-Counting covers every training text. The tree is the same for tasks that score, so its size is a parameter: the
-``nodes`` most frequent nodes of all languages together are kept (a node's suffix is at least as frequent, so kept
-nodes always have their shorter contexts), and that many rows reach the driver and the broadcast.
+Counting covers every training text. The tree is the same for tasks that score, so its size is a parameter: at most
+the ``nodes`` most frequent nodes of all languages together are kept, as whole classes of about equal counts. A node's
+suffix is at least as frequent, so kept nodes always have their shorter contexts. No more rows than that reach the
+driver and the broadcast.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from provwatch.llm.blocks import LOWER, Block, blocks
-from provwatch.llm.tables import saved
+from provwatch.llm.tables import most_frequent, saved
 from provwatch.sources.sinks import work_folder
 
 NODES = 400_000
@@ -154,7 +155,7 @@ def train(texts: DataFrame, nodes: int = NODES) -> Trees:
     )
     tree = counted.select("lang", "n", orders.alias("o")).groupBy("lang", "o.k", "o.key").agg(F.sum("n").alias("n"))
     tree = saved(tree, f"{folder}/tree")
-    kept = tree.orderBy(F.col("n").desc(), "k", "key", "lang").limit(nodes).toPandas()
+    kept = most_frequent(tree, "n", nodes).toPandas()
     languages = sorted(kept["lang"].unique())
     number = kept["lang"].map({x: i for i, x in enumerate(languages)}).to_numpy()
     parts = []
