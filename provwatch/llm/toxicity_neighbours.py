@@ -26,7 +26,7 @@ from provwatch.llm.blocks import ALNUM, Block, blocks, word_hashes, words
 from provwatch.llm.tables import saved
 from provwatch.sources.sinks import work_folder
 
-EXAMPLES = 20_000
+EXAMPLES = 6_000
 TERMS = 4_096
 NEIGHBOURS = 15
 _MIN_G2 = 24.0  # likelihood ratio; about one in a million words passes by chance
