@@ -45,6 +45,21 @@ def test_pages_without_article_use_the_richest_part(spark):
     assert found == {i: f"{'word ' * 30}{i}\nend {i}" for i in range(6)}
 
 
+def texts_of(spark, bodies):
+    rows = [(i, "http://h.example", f"<body>{b}</body>") for i, b in enumerate(bodies)]
+    return {r["page_id"]: r["text"] for r in extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+
+
+def test_template_text_inside_an_article_is_left_out(spark):
+    found = texts_of(spark, [f"<article><p>Story {i}</p><p>Read more of our stories</p></article>" for i in range(6)])
+    assert found == {i: f"Story {i}" for i in range(6)}
+
+
+def test_copies_of_a_page_keep_their_text(spark):
+    found = texts_of(spark, [f"<nav>{i}</nav><article><p>The same story</p></article>" for i in range(9)])
+    assert set(found.values()) == {"The same story"}
+
+
 def test_wrapper_has_slots_optionals_and_repeats():
     found = infer([page(i, 2 + i) for i in range(3)] + [page(9, 2, "<p>extra</p>")])
     assert "(<li><a>#</a></li>)+" in found["expression"] or "(<li><a>l0</a></li>)+" in found["expression"]
