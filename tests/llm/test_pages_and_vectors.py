@@ -55,6 +55,14 @@ def test_template_text_inside_an_article_is_left_out(spark):
     assert found == {i: f"Story {i}" for i in range(6)}
 
 
+def test_a_rare_layout_of_a_large_host_is_covered(spark):
+    usual = [f"<article><p>{'word ' * 40}{i}</p></article>" for i in range(60)]
+    rare = [f"<div class='top'>Welcome</div><div class='story'><p>{'tale ' * 40}{i}</p></div>" for i in range(3)]
+    found = texts_of(spark, usual + rare)
+    assert [found[60 + i] for i in range(3)] == [f"{'tale ' * 40}{i}" for i in range(3)]
+    assert found[7] == f"{'word ' * 40}7"
+
+
 def test_copies_of_a_page_keep_their_text(spark):
     found = texts_of(spark, [f"<nav>{i}</nav><article><p>The same story</p></article>" for i in range(9)])
     assert set(found.values()) == {"The same story"}
