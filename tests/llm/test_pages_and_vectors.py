@@ -63,6 +63,13 @@ def test_a_rare_layout_of_a_large_host_is_covered(spark):
     assert found[7] == f"{'word ' * 40}7"
 
 
+def test_a_text_of_one_page_is_no_constant(spark):
+    bodies = [f"<div class='box'><h2>{'Conclusion' if i == 2 else f'Head {i}'}</h2><p>{'word ' * 9}{i}</p></div>" for i in range(6)]
+    bodies[4] = bodies[4].replace("</p>", "</p><p>A single line</p>")
+    found = texts_of(spark, bodies)
+    assert found[2] == f"Conclusion\n{'word ' * 9}2" and found[4].endswith("\nA single line")
+
+
 def test_copies_of_a_page_keep_their_text(spark):
     found = texts_of(spark, [f"<nav>{i}</nav><article><p>The same story</p></article>" for i in range(9)])
     assert set(found.values()) == {"The same story"}
