@@ -7,13 +7,15 @@ most t bits or some of the others in at most t - 1 (pigeonhole), so probing each
 every code within r. What is retrieved is checked by its whole Hamming distance, and the vectors of the codes within r
 are reranked by cosine in double precision.
 
-The radius is taken from the sample, such that about ``CODES`` codes per query lie within it. Queries that find fewer
-than k codes are searched again in a larger one, up to all bits. Equal vectors have one code: k + 1 of their ids go
+Each query has a radius of its own, at first from its distances to the sample, and is searched again in a larger one
+until at least ``wanted(rows)`` codes are reranked or all bits are reached. That number is three times the square root
+of the table's codes, and ``CODES`` at least: the k-th neighbour's place by Hamming distance moves out as a table grows. Equal vectors have one code: k + 1 of their ids go
 with it, which is all that any query can return of them.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -67,6 +69,20 @@ def distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return _BITS[a ^ b]
 
 
+def wanted(rows: int, codes: int = CODES) -> int:
+    """How many codes each query has to rerank; a table of no more is searched whole."""
+    return max(codes, math.ceil(3 * math.sqrt(rows)))
+
+
+def first_radius(apart: np.ndarray, rows: int, target: int, bits: int) -> int:
+    """Radius of one query from its distances to a sample of ``rows`` codes, with two standard errors to spare."""
+    if rows <= target or not len(apart):
+        return bits
+    share = len(apart) * target / rows
+    place = math.ceil(share + 2 * math.sqrt(share))
+    return int(np.partition(apart, place)[place]) if place < len(apart) else bits
+
+
 def substring_radii(radius: int, substrings: int) -> np.ndarray:
     """Probing radius of each substring; -1: not probed."""
     t, a = divmod(radius, substrings)
@@ -85,21 +101,42 @@ def _codes_of(coder):
     return run
 
 
-def _probes(radii: np.ndarray, salts: int):
-    """Groups each query visits: those with a substring value within the radius, in each part of a large group."""
+def _radius_of(sample_codes, rows: int, target: int, bits: int):
+    """Each query's code with its first radius."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            radii = []
+            for code in batch.column("code").to_pylist():
+                apart = distances(sample_codes.value, np.frombuffer(code, np.uint8)).sum(1, dtype=np.int64)
+                radii.append(first_radius(apart, rows, target, bits))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("group"), batch.column("code"), pa.array(radii, pa.int32())], names=["query_id", "code", "radius"]
+            )
+
+    return run
+
+
+def _probes(table: np.ndarray, salts: int):
+    """Groups each query visits: those with a substring value within its radius, in each part of a large group."""
     near = _BITS[np.arange(256)[:, None] ^ np.arange(256)[None, :]].reshape(256, -1, _SHELF).min(2)
-    visits = [[np.flatnonzero(near[v] <= r) for v in range(256)] if r >= 0 else None for r in radii]
+    visits = [[np.flatnonzero(near[v] <= r) for v in range(256)] for r in range(9)]
     shelves = 256 // _SHELF
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for q, code in zip(batch.column("query_id").to_pylist(), batch.column("code").to_pylist(), strict=True):
-                cells = [j * shelves + visits[j][v] for j, v in enumerate(code) if visits[j] is not None]
+            for q, code, radius in zip(*(batch.column(c).to_pylist() for c in ("query_id", "code", "radius")), strict=True):
+                cells = [j * shelves + visits[min(r, 8)][v] for j, (v, r) in enumerate(zip(code, table[radius], strict=True)) if r >= 0]
                 cells = np.concatenate([*cells, np.zeros(0, np.int64)]).astype(np.int64)
                 cells = (cells[:, None] * salts + np.arange(salts)).ravel()
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(cells), pa.array(np.full(len(cells), q)), pa.array([code] * len(cells), pa.binary())],
-                    names=["cell", "query_id", "code"],
+                    [
+                        pa.array(cells),
+                        pa.array(np.full(len(cells), q)),
+                        pa.array([code] * len(cells), pa.binary()),
+                        pa.array(np.full(len(cells), radius, np.int32)),
+                    ],
+                    names=["cell", "query_id", "code", "radius"],
                 )
 
     return run
@@ -128,8 +165,8 @@ def _entries(radii: np.ndarray, salts: int):
     return run
 
 
-def _compare(radii: np.ndarray, radius: int, salts: int):
-    """Pairs of one group within the radius; each pair only at the first substring that it is found by."""
+def _compare(table: np.ndarray, salts: int):
+    """Pairs of one group within the query's radius; each pair only at the first substring that it is found by."""
 
     def run(probes: pd.DataFrame, entries: pd.DataFrame) -> pd.DataFrame:
         found_q, found_g = [], []
@@ -137,8 +174,10 @@ def _compare(radii: np.ndarray, radius: int, salts: int):
             j = int(probes["cell"].iloc[0]) // salts // (256 // _SHELF)
             index, asked = _matrix(entries["code"]), _matrix(probes["code"])
             groups, queries = entries["group"].to_numpy(), probes["query_id"].to_numpy()
+            radius = probes["radius"].to_numpy()
+            radii = table[radius]
             for value in np.unique(index[:, j]):  # the index proper: entries of one value, queries that probe it
-                here, there = np.flatnonzero(index[:, j] == value), np.flatnonzero(_BITS[asked[:, j] ^ value] <= radii[j])
+                here, there = np.flatnonzero(index[:, j] == value), np.flatnonzero(_BITS[asked[:, j] ^ value] <= radii[:, j])
                 words_i = index[here].view(np.uint64)
                 step = max(1, 500_000 // len(here))
                 for a in range(0, len(there), step):
@@ -147,10 +186,10 @@ def _compare(radii: np.ndarray, radius: int, salts: int):
                     apart = np.zeros((len(some), len(here)), np.int64)
                     for w in range(words_i.shape[1]):
                         apart += np.bitwise_count(words_q[:, None, w] ^ words_i[None, :, w])
-                    q, g = np.nonzero(apart <= radius)
+                    q, g = np.nonzero(apart <= radius[some][:, None])
                     q, g = some[q], here[g]
                     if j:
-                        later = (distances(asked[q, :j], index[g, :j]) > radii[:j]).all(1)
+                        later = (distances(asked[q, :j], index[g, :j]) > radii[q, :j]).all(1)
                         q, g = q[later], g[later]
                     found_q.append(queries[q])
                     found_g.append(groups[g])
@@ -194,35 +233,33 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5, codes: int = COD
     coder = spark.sparkContext.broadcast(fitted)
     coded = saved(grouped.select("group", "vector").mapInArrow(_codes_of(coder), "group long, code binary"), f"{folder}/codes")
     asked = saved(asked.withColumn("query_id", F.monotonically_increasing_id()), f"{folder}/queries")
+    bits, target = ROTATIONS * width, wanted(total, max(codes, k + 1))
+    sample_codes = spark.sparkContext.broadcast(fitted.codes(np.array([r["vector"] for r in sample], float)))
     pending = asked.select(F.col("query_id").alias("group"), "vector").mapInArrow(_codes_of(coder), "group long, code binary")
-    pending = saved(pending.withColumnRenamed("group", "query_id"), f"{folder}/query-codes")
+    pending = pending.mapInArrow(_radius_of(sample_codes, total, target, bits), "query_id long, code binary, radius int")
+    pending = saved(pending, f"{folder}/query-codes")
 
-    bits = ROTATIONS * width
-    own = fitted.codes(np.array([r["vector"] for r in sample[:1000]], float))
-    apart = np.sort(np.concatenate([distances(own, c).sum(1, dtype=np.int64)[i + 1 :] for i, c in enumerate(own)]))
-    radius = int(apart[min(len(apart) - 1, int(len(apart) * codes / max(total, 1)))]) if len(apart) else bits
     substrings = -(-bits // 8)
+    table = np.stack([substring_radii(r, substrings) for r in range(bits + 1)])
     salts = max(1, -(-total * _SHELF // (256 * CELL_ROWS)))
     results = None
-    for step in range(64):
-        radius = min(radius, bits)
-        radii = substring_radii(radius, substrings)
-        probes = pending.mapInArrow(_probes(radii, salts), "cell long, query_id long, code binary")
-        entries = coded.mapInArrow(_entries(radii, salts), "cell long, group long, code binary")
-        pairs = probes.groupBy("cell").cogroup(entries.groupBy("cell")).applyInPandas(
-            _compare(radii, radius, salts), "query_id long, group long"
-        )
+    for step in range(bits):
+        largest = pending.agg(F.max("radius")).first()[0]
+        if largest is None:
+            return spark.createDataFrame([], out_ddl) if results is None else results
+        probes = pending.mapInArrow(_probes(table, salts), "cell long, query_id long, code binary, radius int")
+        entries = coded.mapInArrow(_entries(table[largest], salts), "cell long, group long, code binary")
+        pairs = probes.groupBy("cell").cogroup(entries.groupBy("cell")).applyInPandas(_compare(table, salts), "query_id long, group long")
         pairs = saved(pairs, f"{folder}/pairs-{step}")
-        best = saved(_rerank(pairs, asked, grouped, k), f"{folder}/best-{step}")
-        if radius >= bits:
-            return best.select(*_NAMES) if results is None else results.unionByName(best.select(*_NAMES))
-        full = best.groupBy("query_id").agg(F.max("rank").alias("found"), F.first("number").alias("number")).where(F.col("found") >= k)
-        done = best.join(full.select("number"), "number", "left_semi").select(*_NAMES)
+        # whoever has too few codes is searched again; all others are reranked
+        sizes = pairs.groupBy("query_id").agg(F.count("*").alias("n"))
+        state = pending.join(sizes, "query_id", "left").withColumn("done", (F.col("radius") >= bits) | (F.coalesce("n", F.lit(0)) >= target))
+        state = saved(state.drop("n"), f"{folder}/state-{step}")
+        ready = pairs.join(state.where("done").select("query_id"), "query_id", "left_semi")
+        done = saved(_rerank(ready, asked, grouped, k), f"{folder}/best-{step}").select(*_NAMES)
         results = done if results is None else results.unionByName(done)
-        pending = saved(pending.join(full.select(F.col("number").alias("query_id")), "query_id", "left_anti"), f"{folder}/pending-{step}")
-        if pending.isEmpty():
-            return results
-        radius += max(4, bits // 16)
+        wider = F.least(F.col("radius") + max(2, bits // 64) * 2**step, F.lit(bits)).cast("int")
+        pending = state.where("not done").select("query_id", "code", wider.alias("radius"))
     raise RuntimeError("the radius did not reach all bits")
 
 

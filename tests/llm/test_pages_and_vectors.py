@@ -158,3 +158,22 @@ def test_recall_on_generated_vectors(spark):
     expected = {(q, i) for q, _, i, _ in brute(rows, [r for r in rows if r[0] % 50 == 0], 5)}
     found = {(r["query_id"], r["vec_id"]) for r in nearest(vectors, vectors.where("vec_id % 50 = 0")).collect()}
     assert len(found & expected) >= 0.9 * len(expected)
+
+
+def test_outsiders_of_a_cluster_find_their_neighbours(spark):
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(3000, 32))
+    x[:1000] = x[0] + 0.05 * x[:1000]
+    rows = [(i, v) for i, v in enumerate(x.tolist())]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    asked = [r for r in rows if r[0] >= 1000 and r[0] % 50 == 0]
+    expected = {(q, i) for q, _, i, _ in brute(rows, asked, 5)}
+    found = nearest(vectors, vectors.where("vec_id >= 1000 and vec_id % 50 = 0"))
+    assert len({(r["query_id"], r["vec_id"]) for r in found.collect()} & expected) >= 0.9 * len(expected)
+
+
+def test_reranked_codes_grow_with_the_table_and_radii_differ():
+    assert multi_index_hashing.wanted(1_000) == 384 and multi_index_hashing.wanted(1_000_000) == 3_000
+    near, far = np.arange(4000) // 100, 60 + np.arange(4000) // 100
+    first = [multi_index_hashing.first_radius(a, 1_000_000, 3_000, 256) for a in (near, far)]
+    assert first[1] == first[0] + 60 and multi_index_hashing.first_radius(near, 300, 384, 256) == 256
