@@ -1,18 +1,19 @@
 """Toxicity by the nearest labelled examples.
 
-Texts and examples are TF-IDF vectors (1 + ln tf, times ln((N + 1) / df)) over the words that mark the label, found
-by a likelihood-ratio test; document frequencies cover all documents. The nearest examples by cosine are found
-exactly in an inverted index whose postings are cut into blocks of examples: a term's largest weight in a block bounds
-what the block can contribute, blocks are opened in order of their bound, and the search ends when no bound reaches
-the k-th best. Neighbours vote with the fourth power of their cosine; votes become probabilities by an isotonic fit on
+Texts and examples are TF-IDF vectors (1 + ln tf, times ln((N + 1) / df)) over all words of the examples; document
+frequencies cover all documents. Words that mark toxic examples by a likelihood-ratio test weigh ``MARKING`` times as
+much, so that they lead the search, but none is dropped. The nearest examples by cosine are found exactly: a text's
+words of most impact are summed over an inverted index, a word's largest weight in a block of examples bounds what the
+other words can add, and only examples whose bound reaches the k-th best are completed. Neighbours vote with the fourth power of their cosine; votes become probabilities by an isotonic fit on
 the examples themselves, each left out of its own neighbours.
 
 The classifier learns from a bounded sample: at most ``EXAMPLES`` labelled rows, half of each label where there are
-enough, chosen by a hash of the id. So its vocabulary, examples and index have a fixed size.
+enough, chosen by a hash of the id. So the examples and their index are bounded.
 """
 
 from __future__ import annotations
 
+import hashlib
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -27,7 +28,7 @@ from provwatch.llm.tables import saved
 from provwatch.sources.sinks import work_folder
 
 EXAMPLES = 6_000
-TERMS = 4_096
+MARKING = 8.0  # weight of a marking word against another of equal idf
 NEIGHBOURS = 15
 _MIN_G2 = 24.0  # likelihood ratio; about one in a million words passes by chance
 _BLOCK = 64
@@ -100,6 +101,12 @@ def _vectors(vocabulary: np.ndarray):
     return run
 
 
+def _ranges(starts: np.ndarray, terms: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the terms' entries one after another, and how many each term has."""
+    first, sizes = starts[terms], starts[terms + 1] - starts[terms]
+    return np.arange(sizes.sum()) + np.repeat(first - np.cumsum(sizes) + sizes, sizes), sizes
+
+
 @dataclass
 class BlockMaxIndex:
     """Distinct example vectors, in blocks of similar ones, with each term's largest weight per block."""
@@ -108,8 +115,12 @@ class BlockMaxIndex:
     vectors: list[tuple[np.ndarray, np.ndarray]]  # term numbers and unit weights
     labels: np.ndarray  # weight of clean and toxic examples per vector
     evidence: list[list[tuple[int, int]]]  # up to three (doc_id, toxic) per vector
-    maxima: np.ndarray  # terms x blocks
-    dense: list[tuple[np.ndarray, np.ndarray]]  # per block: its terms, and weights of its examples on them
+    cells: np.ndarray  # per term, where its blocks begin
+    cell_blocks: np.ndarray  # blocks that hold the term
+    maxima: np.ndarray  # and its largest weight there
+    starts: np.ndarray  # per term, where its postings begin
+    rows: np.ndarray  # postings: numbers of vectors
+    weights: np.ndarray  # and their weights
 
     @staticmethod
     def unit(terms: np.ndarray, tf: np.ndarray, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -130,35 +141,53 @@ class BlockMaxIndex:
                 entry[3].append((doc_id, toxic))
         # sorted by their heaviest terms, so that a block's examples share terms and bounds are tight
         rows = [merged[k] for k in sorted(merged)]
-        n_blocks = -(-len(rows) // _BLOCK)
-        maxima, dense = np.zeros((len(idf), n_blocks)), []
-        for b in range(n_blocks):
-            part = rows[b * _BLOCK : (b + 1) * _BLOCK]
-            terms = np.unique(np.concatenate([r[0] for r in part]))
-            table = np.zeros((len(part), len(terms)))
-            for i, r in enumerate(part):
-                table[i, np.searchsorted(terms, r[0])] = r[1]
-            maxima[terms, b] = table.max(0)
-            dense.append((terms, table))
+        terms = np.concatenate([r[0] for r in rows]) if rows else np.zeros(0, np.int64)
+        weights = np.concatenate([r[1] for r in rows]) if rows else np.zeros(0)
+        numbers = np.repeat(np.arange(len(rows), dtype=np.int32), [len(r[0]) for r in rows])
+        n_blocks = max(1, -(-len(rows) // _BLOCK))
+        cells, of = np.unique(terms * n_blocks + numbers // _BLOCK, return_inverse=True)
+        maxima = np.zeros(len(cells))
+        np.maximum.at(maxima, of, weights)
+        cell_starts, cell_blocks = np.searchsorted(cells // n_blocks, np.arange(len(idf) + 1)), (cells % n_blocks).astype(np.int32)
+        order = np.argsort(terms, kind="stable")
+        starts = np.searchsorted(terms[order], np.arange(len(idf) + 1))
         labels = np.array([r[2] for r in rows]).reshape(-1, 2)
-        return cls(idf, [(r[0], r[1]) for r in rows], labels, [sorted(r[3])[:3] for r in rows], maxima, dense)
+        return cls(idf, [(r[0], r[1]) for r in rows], labels, [sorted(r[3])[:3] for r in rows], cell_starts, cell_blocks, maxima, starts, numbers[order], weights[order])
 
     def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """The k vectors of largest cosine, exactly: numbers and cosines, best first, ties to smaller numbers."""
-        bounds = weights @ self.maxima[terms]
-        best_i, best_s = np.zeros(0, np.int64), np.zeros(0)
-        for b in np.argsort(-bounds, kind="stable"):
-            if bounds[b] <= 0 or (len(best_s) == k and bounds[b] < best_s[-1] - 1e-12):
-                break
-            own, table = self.dense[b]
-            at = np.minimum(np.searchsorted(own, terms), len(own) - 1)
-            hit = own[at] == terms
-            scores = table[:, at[hit]] @ weights[hit]
-            some = np.flatnonzero(scores > 0)
-            best_i, best_s = np.append(best_i, some + b * _BLOCK), np.append(best_s, scores[some])
-            order = np.lexsort((best_i, -best_s))[:k]
-            best_i, best_s = best_i[order], best_s[order]
-        return best_i, best_s
+        n = len(self.vectors)
+        at, sizes = _ranges(self.cells, terms)
+        by_block = np.zeros((len(terms), -(-n // _BLOCK)))
+        by_block[np.repeat(np.arange(len(terms)), sizes), self.cell_blocks[at]] = self.maxima[at] * np.repeat(weights, sizes)
+        impact = by_block.max(1)
+        order = np.argsort(impact, kind="stable")
+        few = int(np.searchsorted(np.cumsum(impact[order]), 0.25 * impact.sum()))
+        rest, lead = order[:few], order[few:]
+        scores = self._sums(terms[lead], weights[lead])
+        if len(rest):
+            least = np.partition(scores, n - k)[n - k] if n >= k else 0.0
+            bounds = scores + np.repeat(by_block[rest].sum(0), _BLOCK)[:n]
+            open_ = np.flatnonzero((bounds >= least - 1e-9) & (bounds > 0))
+            if len(open_) > n // 32:
+                scores += self._sums(terms[rest], weights[rest])
+            else:
+                asked = np.zeros(len(self.idf))
+                asked[terms] = weights
+                scores = np.zeros(n)
+                for i in open_:
+                    t, w = self.vectors[i]
+                    scores[i] = asked[t] @ w
+        found = np.flatnonzero(scores > 0)
+        if len(found) > k:
+            found = found[scores[found] >= np.partition(scores[found], len(found) - k)[len(found) - k]]
+        found = found[np.lexsort((found, -scores[found]))[:k]]
+        return found, scores[found]
+
+    def _sums(self, terms: np.ndarray, weights: np.ndarray) -> np.ndarray:
+        """Products with the given terms, summed per vector."""
+        at, sizes = _ranges(self.starts, terms)
+        return np.bincount(self.rows[at], self.weights[at] * np.repeat(weights, sizes), len(self.vectors))
 
     def vote(self, near: np.ndarray, cosine: np.ndarray, without: tuple[int, int, float] | None = None) -> float | None:
         """Weighted share of toxic among the neighbours; ``without`` takes one example (vector, label, weight) out."""
@@ -169,8 +198,9 @@ class BlockMaxIndex:
         # many copies of one vector weigh as their logarithm, so that the next nearest are heard too
         size = labels.sum(1).clip(0)
         mass *= (np.log1p(size) / np.where(size > 0, size, 1))[:, None]
-        total = mass.sum()
-        return float(mass[:, 1].sum() / total) if total > 1e-12 else None
+        clean, toxic = mass.sum(0)
+        # summed per label, so that neighbours of one label vote exactly 0 or 1 and meet the edges of the fit
+        return float(toxic / (clean + toxic)) if clean + toxic > 1e-12 else None
 
 
 def _isotonic(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -239,12 +269,15 @@ def fit(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES) -> Model:
     e1, e0 = (a + b) * (n1 / both), (a + b) * (n0 / both)
     f1, f0 = (both - a - b) * (n1 / both), (both - a - b) * (n0 / both)
     g2 = 2 * (part(a, e1) + part(b, e0) + part(n1 - a, f1) + part(n0 - b, f0))
-    marking = found.withColumn("g2", g2).where((F.col("g2") >= _MIN_G2) & (a * n0 > b * n1))
-    vocabulary = np.sort(marking.orderBy(F.col("g2").desc(), "term").limit(TERMS).toPandas()["term"].to_numpy(np.int64))
+    marks = (F.col("g2") >= _MIN_G2) & (a * n0 > b * n1)
+    # the words of a bounded number of examples
+    known_words = found.withColumn("g2", g2).select("term", F.coalesce(marks, F.lit(False)).alias("marks")).orderBy("term").toPandas()
+    vocabulary = known_words["term"].to_numpy(np.int64)
+    strength = np.where(known_words["marks"].to_numpy(bool), MARKING, 1.0)
     df = docs.select("text").mapInArrow(_frequencies(vocabulary), "term long, df long").groupBy("term").agg(F.sum("df").alias("df"))
     df = dict(df.toPandas().itertuples(index=False, name=None))  # one row a vocabulary word
     total = df.get(-1, 0)
-    idf = np.array([math.log((total + 1) / max(df.get(i, 1), 1)) for i in range(len(vocabulary))])
+    idf = strength * np.array([math.log((total + 1) / max(df.get(i, 1), 1)) for i in range(len(vocabulary))])
     # weights undo the even choice of the two labels
     weight = {x: size.get(x, 0) / totals[x] if totals.get(x) else 1.0 for x in (0, 1)}
     rows = sample.mapInArrow(_vectors(vocabulary), "doc_id long, toxic int, terms array<long>, tf array<long>").collect()
@@ -280,7 +313,7 @@ _EVIDENCE = pa.list_(pa.struct([("doc_id", pa.int64()), ("toxic", pa.int32()), (
 def score_texts(docs: DataFrame, model: Model, threshold: float = 0.7) -> DataFrame:
     """Every row of ``docs`` with score (0 to 1), predicted (1 if score >= threshold) and evidence (nearest examples).
 
-    A null or empty text, and one without any marking word, gets the share of toxic rows among such examples. Columns
+    A null or empty text, and one without any word of an example, gets the share of toxic rows among such examples. Columns
     named score, predicted or evidence are replaced; all others are kept.
     """
     docs = docs.drop("score", "predicted", "evidence")
@@ -289,7 +322,7 @@ def score_texts(docs: DataFrame, model: Model, threshold: float = 0.7) -> DataFr
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool: Model = shared.value
-        known: dict[tuple[bytes, bytes], tuple] = {}
+        known: dict[bytes, tuple] = {}
         for batch in batches:
             for block in blocks(batch.column(names.index("text"))):
                 row, term, tf = _counts(block, tool.vocabulary)
@@ -297,7 +330,7 @@ def score_texts(docs: DataFrame, model: Model, threshold: float = 0.7) -> DataFr
                 cuts = np.searchsorted(row, np.arange(n + 1))
                 scores, shown = [], []
                 for a, b in zip(cuts[:-1], cuts[1:], strict=True):
-                    key = term[a:b].tobytes(), tf[a:b].tobytes()
+                    key = hashlib.blake2b(np.concatenate([term[a:b], tf[a:b]]).tobytes(), digest_size=16).digest()
                     judged = known.get(key)
                     if judged is None:
                         if len(known) > _KNOWN_VECTORS:

@@ -181,6 +181,15 @@ def test_marked_words_decide_with_evidence(spark):
     assert all(r["evidence"][0]["toxic"] == 1 for r in found if r["predicted"])
 
 
+def test_an_example_without_marking_words_is_found(spark):
+    rows = [(i, f"plain page n{i} about item w{i % 7}") for i in range(60)] + [(100, "rare phrase of one bad row"), (101, "rare phrase of one bad row")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 0) for i in range(60)] + [(100, 1)], "doc_id long, toxic int")
+    found = {r["doc_id"]: r for r in toxicity_neighbours.score_texts(docs, toxicity_neighbours.fit(docs, labels)).collect()}
+    best = found[101]["evidence"][0]
+    assert (best["doc_id"], best["toxic"]) == (100, 1) and best["cosine"] == pytest.approx(1.0)
+
+
 def test_small_tables_pass(spark):
     for name in ("op5_toxicity_neighbours", "op7_lattice_lm"):
         assert llm_queries()[name](spark, SMALL).count() == 200
