@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from provwatch.llm import (
     bottom_k_dedup,
+    conversation_trie,
+    cross_tokenizer_alignment,
     language_ppm,
     lattice_lm,
     multi_index_hashing,
@@ -17,6 +19,7 @@ from provwatch.llm import (
     substring_anchors,
     token_count_cache,
     toxicity_neighbours,
+    warc_archives,
     wrapper_induction,
 )
 from provwatch.llm.holding_out import held_out
@@ -94,6 +97,23 @@ def op10_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return cut.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text"), 256).alias("kept_sha256"))
 
 
+def op11_lockstep_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    bytes_ = TokenizerFile.read(public_path("byte_bpe_50k.json"))
+    return cross_tokenizer_alignment.alignment_report(_table(spark, folder, "documents"), bytes_, _piece_model())
+
+
+def op12_warc_dictionary(spark: SparkSession, folder: str) -> DataFrame:
+    """Writes the archives of all pages, then reads every record back."""
+    archives = work_folder(spark, "warc")
+    warc_archives.write_archives(_table(spark, folder, "pages"), archives, least=100)
+    found = warc_archives.read_archives(spark, archives)
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op13_euler_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return conversation_trie.shared_head_trie(_table(spark, folder, "conversations"))
+
+
 # Words of the word pattern: runs of bytes other than the six ASCII blanks.
 _WORDS = r"list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '')"
 
@@ -135,6 +155,67 @@ select d.doc_id, len(ws)::bigint as n_words, (len(ws) - coalesce(n, 0))::bigint
 from d left join kept using (doc_id)
 """
 
+_OP12_SQL = """
+with p as (
+    select page_id, octet_length(encode(coalesce(html, ''))) as n, sha256(coalesce(html, '')) as digest from pages),
+f as (select digest, min(page_id) as first_id from p where n >= 100 group by digest)
+select page_id, n::bigint as payload_bytes, digest as payload_digest,
+       case when n >= 100 and page_id is distinct from first_id and first_id is not null then 'revisit' else 'response' end
+           as record_type,
+       case when n >= 100 and page_id is distinct from first_id then first_id end as refers_to
+from p left join f using (digest)
+"""
+
+# crc32 of the decimal id, byte by byte and bit by bit; turns of equal number follow their digests.
+_OP13_SQL = """
+with turns as (
+    select conv_id as c, turn, length(coalesce(text, '')) as chars,
+           md5(concat(strlen(coalesce(role, '')), ':', coalesce(role, ''), coalesce(text, ''))) as m
+    from conversations where conv_id is not null),
+placed as (
+    select c, m, chars, row_number() over (partition by c order by turn nulls first, substr(m, 1, 30)) - 1 as i,
+           count(*) over (partition by c) as n
+    from turns),
+ids as (
+    select c, n, c - c % 100 as base,
+           (xor(list_reduce(list_transform(string_split(c::varchar, ''), lambda x: ascii(x)::hugeint),
+                lambda a, b: list_reduce(list_transform(range(8), lambda x: x::hugeint),
+                    lambda x, i: xor(x >> 1, case when x % 2 = 1 then 3988292384 else 0 end), xor(a, b)),
+                4294967295::hugeint), 4294967295::hugeint) % 6)::bigint as h
+    from placed where i = 0),
+sized as (
+    select ids.*, least(h, coalesce(source.n, 0)) as taken
+    from ids left join (select c as base, n from ids) source using (base)),
+rebuilt as (
+    select s.c, i as pos, m, chars from sized s join placed p on p.c = s.base and i < taken
+    union all
+    select s.c, taken + i - h, m, chars from sized s join placed p on p.c = s.c and i >= h),
+prefixes as (
+    select c, pos + 1 as depth, chars, sha256(string_agg(m, '') over w) as k from rebuilt
+    window w as (partition by c order by pos rows between unbounded preceding and current row)),
+members as (
+    select c, depth, chars, k, coalesce(lag(k) over (partition by c order by depth), '') as parent from prefixes
+    union all
+    select c, 0, 0, '', null from ids),
+nodes as (
+    select depth, k, any_value(parent) as parent, min(c) as conv_id, count(*) as n_convs, any_value(chars) as chars
+    from members group by depth, k),
+children as (select depth - 1 as depth, parent as k, count(*) as n from nodes where depth > 0 group by 1, 2),
+counted as (
+    select nodes.*, coalesce(n, 0) as n_children from nodes left join children using (depth, k)),
+sums as (
+    select m.depth, m.k, sum((u.n_children = 0)::int) as n_leaves, sum((u.n_convs - 1) * u.chars) as saved
+    from counted u join members m on m.c = u.conv_id and m.depth <= u.depth group by 1, 2),
+ends as (
+    select depth, k, string_agg(c::varchar, ',' order by c) as cs from members
+    where (c, depth) in (select c, max(depth) from members group by c) group by 1, 2)
+select v.conv_id::bigint as conv_id, v.depth::bigint as depth, p.conv_id::bigint as parent_conv_id,
+       v.n_convs::bigint as n_convs, v.n_children::bigint as n_children, n_leaves::bigint as n_leaves,
+       saved::bigint as saved_tokens, sha256(coalesce(cs, '')) as ends_sha256
+from counted v join sums using (depth, k) left join ends using (depth, k)
+left join nodes p on p.depth = v.depth - 1 and p.k = v.parent
+"""
+
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
@@ -148,6 +229,9 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_token_count_cache": op8_token_count_cache,
         "op9_wrapper_induction": op9_wrapper_induction,
         "op10_substring_dedup": op10_substring_dedup,
+        "op11_lockstep_alignment": op11_lockstep_alignment,
+        "op12_warc_dictionary": op12_warc_dictionary,
+        "op13_euler_trie": op13_euler_trie,
     }
 
 
@@ -155,4 +239,6 @@ def llm_sql() -> dict[str, str]:
     return {
         "op2_bottom_k_dedup": _OP2_SQL,
         "op10_substring_dedup": _OP10_SQL,
+        "op12_warc_dictionary": _OP12_SQL,
+        "op13_euler_trie": _OP13_SQL,
     }
