@@ -36,8 +36,9 @@ from provwatch.llm.tokenizers_public import TokenizerFile
 from provwatch.sources.sinks import work_folder
 
 LANE = 512
-MEMO = 300_000
-BLOCK = 4 << 20  # bytes of text that are merged, and whose pairs are counted, together
+MEMO = 200_000
+PORTION = 20_000  # segments that are encoded at once
+BLOCK = 2 << 20  # bytes of text that are merged, and whose pairs are counted, together
 
 _MARK = "▁"
 # A blank between two characters that are neither white space nor the blank mark.
@@ -195,8 +196,9 @@ class Aligner:
 
     def _learn(self, segments: list[str]) -> np.ndarray:
         """The number of each segment; what is not known yet is encoded in one batch."""
-        new = [s for s in dict.fromkeys(segments) if s not in self.slots]
-        if new:
+        missing = [s for s in dict.fromkeys(segments) if s not in self.slots]
+        for start in range(0, len(missing), PORTION):
+            new = missing[start : start + PORTION]
             self.slots.update(zip(new, range(len(self.slots), len(self.slots) + len(new)), strict=True))
             rows = self.a.encode(new), self.b.encode(new)
             loose, same = [], []
@@ -274,7 +276,7 @@ def align_texts(docs: DataFrame, a: TokenizerFile, b: TokenizerFile) -> DataFram
         tool = _aligner(a, b)
         for batch in batches:
             column = batch.column(names.index("text"))
-            for block in blocks(column, BLOCK // 4):
+            for block in blocks(column, BLOCK // 2):
                 n = block.last - block.first
                 found = tool.align(column.slice(block.first, n).to_pylist())
                 order = np.lexsort((found.link_b, found.link_a))
