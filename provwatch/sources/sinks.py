@@ -26,6 +26,24 @@ def work_folder(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def _file_system(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+def is_written(spark: SparkSession, path: str) -> bool:
+    """Whether a write to ``path`` has been committed."""
+    files, place = _file_system(spark, f"{path}/_SUCCESS")
+    return files.exists(place)
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Remove a folder of written rows; its commit mark goes first, so that no reader takes a part of it for all."""
+    files, mark = _file_system(spark, f"{path}/_SUCCESS")
+    files.delete(mark, False)
+    files.delete(mark.getParent(), True)
+
+
 def write_table(df: DataFrame, path: str) -> DataFrame:
     """Full refresh: replace the table at ``path`` and read it back."""
     df.write.mode("overwrite").parquet(path)

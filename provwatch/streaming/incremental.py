@@ -1,9 +1,10 @@
 """Incremental tables: load only new rows, and replace rows by key.
 
-Plain Parquet has no MERGE, so a table is kept in a fixed number of hash buckets of its key. A merge writes new
-folders for the buckets that change and one manifest entry that says which folder each bucket has now; untouched
-buckets keep theirs. An entry is written under its version number and must not exist yet, so of two writers one fails
-instead of losing the other's rows. Nothing that is being read is ever overwritten.
+A table is plain Parquet, partitioned by a hash bucket of its key. A merge compares the batch with the load times and
+content hashes of the rows that are there (three narrow columns), and writes the buckets that change and no others:
+first beside the table, where they are complete before anything is replaced, then over it by Spark's dynamic partition
+overwrite, a copy without a shuffle. If the writer is lost in between, readers take those buckets from where they were
+prepared, and the next merge finishes the copy. A table has one writer at a time, as for any overwrite.
 
 The load time of each row is kept with it. For one key the newer load wins whatever the order of arrival, and of
 equal load times the later arrival; a row without load time counts as the newest, as it does in a full build. Rows
@@ -12,12 +13,9 @@ that change nothing are left out, so a repeated batch is a no-op.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass, field
 from datetime import datetime
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -25,17 +23,10 @@ from pyspark.sql import types as T
 from provwatch.operators.joins import anti_join
 from provwatch.operators.windows import keep_first, keep_latest
 from provwatch.sources.schemas import LOAD_TIMESTAMP
-from provwatch.sources.sinks import write_table
+from provwatch.sources.sinks import is_written, remove_folder, write_table
 
-_MANIFEST = T.StructType(
-    [
-        T.StructField("version", T.LongType(), False),
-        T.StructField("high_water", T.TimestampNTZType(), True),
-        T.StructField("bucket", T.IntegerType(), True),
-        T.StructField("path", T.StringType(), True),
-    ]
-)
-_AT, _BUCKET = "row_load_time", "table_bucket"
+_AT, _CONTENT, _BUCKET = "row_load_time", "row_content", "table_bucket"
+_MARK = T.StructType([T.StructField("high_water", T.TimestampNTZType())])
 
 
 def _wall_clock(column: str) -> Column:
@@ -78,15 +69,8 @@ def latest_part_d_rows(part_d: DataFrame) -> DataFrame:
     )
 
 
-@dataclass(frozen=True)
-class Version:
-    number: int
-    high_water: object
-    buckets: dict[int, str] = field(default_factory=dict)
-
-
-class VersionedTable:
-    """A table with one row per ``key``, in ``buckets`` parts; choose about one bucket per few GB.
+class MergedTable:
+    """A table with one row per ``key``, in ``buckets`` partitions; choose about one bucket per few GB.
 
     Batches carry their load time in ``load_time``; the column is not part of what is read.
     """
@@ -96,76 +80,95 @@ class VersionedTable:
     ) -> None:
         self.spark, self.path, self.key = spark, path.rstrip("/"), key
         self.buckets, self.load_time = buckets, load_time
+        self._rows, self._prepared, self._marks = (f"{self.path}/{n}" for n in ("rows", "prepared", "marks"))
+
+    def exists(self) -> bool:
+        return is_written(self.spark, self._rows)
+
+    def high_water(self) -> datetime | None:
+        """The newest load time that has been merged."""
+        if not is_written(self.spark, self._marks):  # the writer was lost after the very first load
+            return self._load(self._rows).agg(F.max(_AT)).first()[0] if self.exists() else None
+        return self.spark.read.schema(_MARK).parquet(self._marks).agg(F.max("high_water")).first()[0]
 
-    def current(self) -> Version | None:
-        reader = self.spark.read.schema(_MANIFEST).option("recursiveFileLookup", True)
-        try:
-            manifest = reader.parquet(f"{self.path}/manifest")
-            newest = manifest.agg(F.max("version")).first()[0]
-        except AnalysisException as error:
-            if error.getCondition() == "PATH_NOT_FOUND":
-                return None
-            raise
-        # one row per bucket, a fixed number
-        rows = manifest.filter(F.col("version") == newest).collect()
-        return Version(newest, rows[0]["high_water"], {r["bucket"]: r["path"] for r in rows})
-
-    def _read_buckets(self, version: Version | None, buckets: Sequence[int]) -> DataFrame | None:
-        paths = [] if version is None else [version.buckets[b] for b in sorted(buckets) if b in version.buckets]
-        # buckets written before a column appeared lack it
-        return self.spark.read.option("mergeSchema", True).parquet(*paths) if paths else None
+    def _load(self, path: str) -> DataFrame:
+        # files written before a column appeared lack it
+        return self.spark.read.option("mergeSchema", True).option("basePath", path).parquet(path)
+
+    def _table(self) -> DataFrame:
+        """All rows; what has been prepared but not copied yet counts as copied."""
+        rows = self._load(self._rows)
+        if not is_written(self.spark, self._prepared):
+            return rows
+        prepared = self._load(self._prepared)
+        return append_new_columns(rows.filter(~F.col(_BUCKET).isin(self._buckets_of(prepared))), prepared)
+
+    def _buckets_of(self, df: DataFrame) -> list[int]:
+        return sorted(r[0] for r in df.select(_BUCKET).distinct().collect())  # at most ``buckets`` numbers
 
     def read(self) -> DataFrame:
-        version = self.current()
-        if version is None:
-            raise ValueError(f"no version of {self.path} has been committed")
-        return self._read_buckets(version, list(version.buckets)).drop(_AT)
-
-    def _commit(self, before: Version | None, changed: dict[int, str], high_water) -> None:
-        number = 1 if before is None else before.number + 1
-        buckets = ({} if before is None else before.buckets) | changed
-        rows = [(number, high_water, b, p) for b, p in sorted(buckets.items())]
-        entry = self.spark.createDataFrame(rows, _MANIFEST)
-        entry.coalesce(1).write.mode("errorifexists").parquet(f"{self.path}/manifest/{number:08d}")
-
-    def _content(self, df: DataFrame) -> Column:
-        """Hash of a row's columns by name, without the time at which the model ran; NULLs count as absent."""
-        names = sorted(c for c in df.columns if c not in (_AT, _BUCKET, "_loaded_at"))
-        return F.xxhash64(*[F.when(F.col(c).isNotNull(), F.concat_ws("=", F.lit(c), F.col(c).cast("string"))) for c in names])
+        if not self.exists():
+            raise ValueError(f"{self.path} has not been written")
+        return self._table().drop(_AT, _CONTENT, _BUCKET)
 
-    def merge(self, batch: DataFrame) -> bool:
-        """Merge a batch and commit a new version; False if it changes nothing."""
-        before = self.current()
+    def recover(self) -> None:
+        """Finish a copy that was broken off."""
+        if is_written(self.spark, self._prepared):
+            self._apply()
+
+    def _apply(self) -> None:
+        prepared = self._load(self._prepared)
+        writer = prepared.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer.partitionBy(_BUCKET).parquet(self._rows)
+        self._add_mark(prepared)
+        remove_folder(self.spark, self._prepared)
+
+    def _add_mark(self, rows: DataFrame) -> None:
+        rows.agg(F.max(_AT).alias("high_water")).write.mode("append").parquet(self._marks)
+
+    def _incoming(self, batch: DataFrame) -> DataFrame:
+        """One row per key, with its load time, bucket and a hash of its columns by name.
+
+        The time at which the model ran is not part of a row's content; NULLs count as absent.
+        """
         at = _wall_clock(self.load_time) if self.load_time in batch.columns else F.lit(None).cast("timestamp_ntz")
+        names = sorted(c for c in batch.columns if c not in (self.load_time, "_loaded_at"))
+        values = [F.when(F.col(c).isNotNull(), F.concat_ws("=", F.lit(c), F.col(c).cast("string"))) for c in names]
         bucket = F.pmod(F.xxhash64(self.key), F.lit(self.buckets)).cast("int")
-        rows = batch.withColumn(_AT, at).drop(self.load_time)
-        rows = keep_first(rows, [self.key], [F.col(_AT).desc_nulls_first(), self._content(rows)])
-        incoming = write_table(rows.withColumn(_BUCKET, bucket), f"{self.path}/incoming/{uuid.uuid4().hex}")
-        stats = incoming.agg(F.max(_AT).alias("newest"), F.collect_set(_BUCKET).alias("buckets")).first()
-        old = self._read_buckets(before, stats["buckets"])
-        if old is not None:
-            known = old.select(self.key, F.col(_AT).alias("old_at"), self._content(old).alias("old_content"), F.lit(True).alias("old_row"))
-            new_at, old_at = F.col(_AT), F.col("old_at")
-            wins = new_at.isNull() | (old_at.isNotNull() & (new_at >= old_at))
-            differs = (self._content(incoming) != F.col("old_content")) | ~new_at.eqNullSafe(old_at)
-            fresh = F.col("old_row").isNull() | (wins & differs)
-            incoming = incoming.join(known, self.key, "left").filter(fresh).drop("old_at", "old_content", "old_row")
-            incoming = write_table(incoming, f"{self.path}/incoming/{uuid.uuid4().hex}")
-        touched = sorted(r[0] for r in incoming.select(_BUCKET).distinct().collect())
-        if not touched:
-            return False
-        merged = incoming
-        kept = self._read_buckets(before, touched)
-        if kept is not None:
-            merged = upsert(kept.withColumn(_BUCKET, bucket), incoming, self.key)
-        folder = f"{self.path}/data/{uuid.uuid4().hex}"
+        rows = batch.withColumns({_AT: at, _CONTENT: F.xxhash64(*values), _BUCKET: bucket}).drop(self.load_time)
+        return keep_first(rows, [self.key], [F.col(_AT).desc_nulls_first(), F.col(_CONTENT)])
+
+    def _changes(self, incoming: DataFrame) -> DataFrame:
+        """Rows of the batch whose key is new, or that win over the row that is there and differ from it."""
+        known = self._load(self._rows).select(
+            self.key, F.col(_AT).alias("old_at"), F.col(_CONTENT).alias("old_content"), F.lit(True).alias("old_row")
+        )
+        new_at, old_at = F.col(_AT), F.col("old_at")
+        wins = new_at.isNull() | (old_at.isNotNull() & (new_at >= old_at))
+        differs = (F.col(_CONTENT) != F.col("old_content")) | ~new_at.eqNullSafe(old_at)
+        fresh = F.col("old_row").isNull() | (wins & differs)
+        return incoming.join(known, self.key, "left").filter(fresh).drop("old_at", "old_content", "old_row")
+
+    def _write(self, rows: DataFrame, path: str) -> None:
         # a few files per bucket, so that a bucket is not one task's work
-        layout = merged.repartition(F.col(_BUCKET), F.pmod(F.xxhash64(self.key, F.lit(1)), F.lit(4)))
-        layout.write.partitionBy(_BUCKET).parquet(folder)
-        marks = [m for m in (stats["newest"], before and before.high_water) if m is not None]
-        changed = {b: f"{folder}/{_BUCKET}={b}" for b in touched}
-        self._commit(before, changed, max(marks) if marks else None)
-        return True
+        layout = rows.repartition(F.col(_BUCKET), F.pmod(F.xxhash64(self.key, F.lit(1)), F.lit(4)))
+        layout.write.mode("overwrite").partitionBy(_BUCKET).parquet(path)
+
+    def merge(self, batch: DataFrame) -> bool:
+        """Merge a batch; False if it changes nothing."""
+        self.recover()
+        incoming = self._incoming(batch)
+        if not self.exists():
+            self._write(incoming, self._rows)
+            self._add_mark(self._load(self._rows))
+            return True
+        changes = write_table(self._changes(incoming), f"{self.path}/changes")
+        touched = self._buckets_of(changes)
+        if touched:
+            kept = self._load(self._rows).filter(F.col(_BUCKET).isin(touched))
+            self._write(upsert(kept, changes, self.key), self._prepared)
+            self._apply()
+        return bool(touched)
 
     def refresh(
         self,
@@ -177,8 +180,8 @@ class VersionedTable:
 
         The model's result carries the load time of its rows. Returns whether anything changed.
         """
-        before = self.current()
-        mark = None if before is None else before.high_water
+        self.recover()
+        mark = self.high_water()
         several = [sources] if isinstance(sources, DataFrame) else list(sources)
         return self.merge(build(*[since_watermark(s, mark, column) for s in several]))
 
@@ -187,7 +190,7 @@ def stream_upserts(
     spark: SparkSession,
     folder: str,
     schema: T.StructType,
-    table: VersionedTable,
+    table: MergedTable,
     build: Callable[[DataFrame], DataFrame],
     checkpoint: str,
     max_files_per_trigger: int | None = None,

@@ -3,10 +3,9 @@ from __future__ import annotations
 from datetime import datetime, timedelta
 
 import pytest
-from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
-from provwatch.streaming.incremental import VersionedTable, since_watermark, stream_upserts, upsert
+from provwatch.streaming.incremental import MergedTable, since_watermark, stream_upserts, upsert
 
 DAY = datetime(2024, 1, 1)
 SCHEMA = "k string, v int, _LOAD_TIMESTAMP timestamp_ntz"
@@ -32,32 +31,31 @@ def test_watermark(spark):
 
 
 def test_refresh_merges_what_is_new(spark, tmp_path):
-    table = VersionedTable(spark, str(tmp_path / "t"), "k", buckets=4)
+    table = MergedTable(spark, str(tmp_path / "t"), "k", buckets=4)
     first = batch(spark, ("a", 1, 0), ("b", 2, 1), ("n", 9, None))
     assert table.refresh(first, keep)
     assert content(table) == {"a": 1, "b": 2, "n": 9}
     assert not table.refresh(first, keep)
-    assert table.current().number == 1
     # "a" was changed without a newer load time and is older than the mark
     second = batch(spark, ("a", 100, 0), ("b", 20, 2), ("c", 30, 2))
     assert table.refresh(second, keep)
     assert content(table) == {"a": 1, "b": 20, "c": 30, "n": 9}
-    assert table.current().high_water == DAY + timedelta(days=2)
+    assert table.high_water() == DAY + timedelta(days=2)
 
 
 def test_equal_null_and_late_times(spark, tmp_path):
-    table = VersionedTable(spark, str(tmp_path / "t"), "k", buckets=4)
+    table = MergedTable(spark, str(tmp_path / "t"), "k", buckets=4)
     table.refresh(batch(spark, ("a", 1, 1)), keep)
     table.refresh(batch(spark, ("same", 2, 1), ("none", 3, None), ("later", 4, 2)), keep)
     assert content(table) == {"a": 1, "same": 2, "none": 3, "later": 4}
     table.merge(batch(spark, ("later", 40, 0), ("gap", 5, 0)))  # an older load arrives last
     assert content(table) == {"a": 1, "same": 2, "none": 3, "later": 4, "gap": 5}
     table.merge(batch(spark, ("later", 41, 2)))  # equal time: the later arrival
-    assert content(table)["later"] == 41 and table.current().high_water == DAY + timedelta(days=2)
+    assert content(table)["later"] == 41 and table.high_water() == DAY + timedelta(days=2)
 
 
 def test_several_sources_share_one_mark(spark, tmp_path):
-    table = VersionedTable(spark, str(tmp_path / "t"), "k", buckets=4)
+    table = MergedTable(spark, str(tmp_path / "t"), "k", buckets=4)
     both = lambda a, b: a.unionByName(b)
     table.refresh([batch(spark, ("a", 1, 0)), batch(spark, ("b", 2, 3))], both)
     table.refresh([batch(spark, ("x", 5, 1)), batch(spark, ("c", 3, 4))], both)
@@ -67,9 +65,9 @@ def test_several_sources_share_one_mark(spark, tmp_path):
 def test_session_time_zone_does_not_move_the_mark(spark, tmp_path):
     spark.conf.set("spark.sql.session.timeZone", "America/New_York")
     try:
-        table = VersionedTable(spark, str(tmp_path / "t"), "k", buckets=4)
+        table = MergedTable(spark, str(tmp_path / "t"), "k", buckets=4)
         table.refresh(batch(spark, ("a", 1, 0)), keep)
-        assert table.current().high_water == DAY
+        assert table.high_water() == DAY
         later = batch(spark, ("b", 2, 0)).withColumn("_LOAD_TIMESTAMP", F.expr("_LOAD_TIMESTAMP + interval 1 second"))
         assert table.refresh(later, keep)
         assert content(table) == {"a": 1, "b": 2}
@@ -77,27 +75,70 @@ def test_session_time_zone_does_not_move_the_mark(spark, tmp_path):
         spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
-def test_only_touched_buckets_are_written(spark, tmp_path):
-    table = VersionedTable(spark, str(tmp_path / "t"), "k", buckets=8)
-    table.merge(batch(spark, *[(f"k{i}", i, 0) for i in range(200)]))
-    before = table.current()
-    old = spark.read.parquet(*before.buckets.values())
-    table.merge(batch(spark, ("k5", 500, 1)))
-    after = table.current()
-    changed = [b for b in after.buckets if after.buckets[b] != before.buckets[b]]
-    assert len(before.buckets) == 8 and len(changed) == 1 and after.number == 2
-    assert old.count() == 200 and content(table)["k5"] == 500 and table.read().count() == 200
+def bucket_files(path):
+    return {b.name: sorted(f.name for f in b.glob("*.parquet")) for b in (path / "rows").glob("table_bucket=*")}
 
 
-def test_two_writers_cannot_commit_one_version(spark, tmp_path):
-    table = VersionedTable(spark, str(tmp_path / "t"), "k", buckets=4)
-    table.merge(batch(spark, ("a", 1, 0)))
-    with pytest.raises(AnalysisException):
-        table._commit(None, {}, None)  # a writer that has not seen version 1
+def test_only_touched_buckets_are_written(spark, tmp_path):
+    table = MergedTable(spark, str(tmp_path / "t"), "k", buckets=8)
+    table.merge(batch(spark, *[(f"k{i}", i, 0) for i in range(200)]))
+    before = bucket_files(tmp_path / "t")
+    assert table.merge(batch(spark, ("k5", 500, 1)))
+    after = bucket_files(tmp_path / "t")
+    assert len(before) == 8 and sum(before[b] != after[b] for b in after) == 1
+    assert content(table)["k5"] == 500 and table.read().count() == 200
+    assert not table.merge(batch(spark, ("k5", 500, 1)))
+    assert bucket_files(tmp_path / "t") == after
+
+
+@pytest.mark.parametrize("step", ["preparing", "copying", "mark", "cleaning"])
+def test_a_lost_writer_loses_no_rows(spark, tmp_path, monkeypatch, step):
+    """The writer ends while it prepares buckets, in the middle of the copy, or behind it."""
+    table = MergedTable(spark, str(tmp_path / "t"), "k", buckets=4)
+    table.merge(batch(spark, *[(f"k{i}", i, 0) for i in range(40)]))
+    expected = content(table) | {"k3": 300, "new": 1}
+
+    class Lost(Exception):
+        pass
+
+    def lost(*_):
+        raise Lost
+
+    if step == "preparing":
+        write = MergedTable._write
+
+        def torn(self, rows, path):
+            write(self, rows, path)
+            (tmp_path / "t" / "prepared" / "_SUCCESS").unlink()  # files, but no commit
+            raise Lost
+
+        monkeypatch.setattr(MergedTable, "_write", torn)
+    elif step == "copying":
+
+        def swapped(self):
+            for bucket in (tmp_path / "t" / "prepared").glob("table_bucket=*"):
+                for file in (tmp_path / "t" / "rows" / bucket.name).iterdir():
+                    file.unlink()  # the old files are gone, the new ones have not come
+            raise Lost
+
+        monkeypatch.setattr(MergedTable, "_apply", swapped)
+    elif step == "mark":
+        monkeypatch.setattr(MergedTable, "_add_mark", lost)
+    else:
+        monkeypatch.setattr("provwatch.streaming.incremental.remove_folder", lost)
+    with pytest.raises(Lost):
+        table.merge(batch(spark, ("k3", 300, 1), ("new", 1, 1)))
+    monkeypatch.undo()
+    again = MergedTable(spark, str(tmp_path / "t"), "k", buckets=4)
+    if step != "preparing":
+        assert content(again) == expected  # before anything is repaired
+    assert again.merge(batch(spark, ("k3", 300, 1), ("new", 1, 1))) == (step == "preparing")
+    assert content(again) == expected
+    assert again.high_water() == DAY + timedelta(days=1)
 
 
 def test_batch_with_duplicate_keys_keeps_the_newest(spark, tmp_path):
-    table = VersionedTable(spark, str(tmp_path / "t"), "k", buckets=4)
+    table = MergedTable(spark, str(tmp_path / "t"), "k", buckets=4)
     table.merge(batch(spark, ("a", 1, 2), ("a", 0, 1), ("b", 3, 0)))
     assert content(table) == {"a": 1, "b": 3} and table.read().count() == 2
 
@@ -106,27 +147,28 @@ def test_new_columns_are_appended(spark, tmp_path):
     target = spark.createDataFrame([("a", 1), ("b", 2)], "k string, v int")
     out = upsert(target, spark.createDataFrame([("b", "x")], "k string, note string"), "k")
     assert {tuple(r) for r in out.collect()} == {("a", 1, None), ("b", None, "x")}
-    table = VersionedTable(spark, str(tmp_path / "t"), "k", buckets=2)
+    table = MergedTable(spark, str(tmp_path / "t"), "k", buckets=2)
     table.merge(batch(spark, *[(f"k{i}", i, 0) for i in range(20)]))
     table.merge(batch(spark, ("k1", 100, 1)).withColumn("note", F.lit("new")))
     assert {r["k"]: (r["v"], r["note"]) for r in table.read().collect()}["k1"] == (100, "new")
     assert table.read().filter("note is null").count() == 19
 
 
-def test_reading_an_uncommitted_table_fails(spark, tmp_path):
-    with pytest.raises(ValueError, match="no version"):
-        VersionedTable(spark, str(tmp_path / "none"), "k").read()
+def test_reading_a_missing_table_fails(spark, tmp_path):
+    with pytest.raises(ValueError, match="not been written"):
+        MergedTable(spark, str(tmp_path / "none"), "k").read()
 
 
 def test_stream_picks_up_files_once_and_survives_a_new_checkpoint(spark, tmp_path):
     landing, state = str(tmp_path / "in"), str(tmp_path / "state")
-    table = VersionedTable(spark, str(tmp_path / "t"), "k", buckets=4)
+    table = MergedTable(spark, str(tmp_path / "t"), "k", buckets=4)
     one = batch(spark, ("a", 1, 0), ("b", 2, 0))
     one.coalesce(1).write.mode("append").parquet(landing)
     stream_upserts(spark, landing, one.schema, table, keep, state)
     assert content(table) == {"a": 1, "b": 2}
+    before = bucket_files(tmp_path / "t")
     stream_upserts(spark, landing, one.schema, table, keep, state)
-    assert table.current().number == 1
+    assert bucket_files(tmp_path / "t") == before
     batch(spark, ("b", 20, 1), ("c", 3, 1)).coalesce(1).write.mode("append").parquet(landing)
     stream_upserts(spark, landing, one.schema, table, keep, state)
     assert content(table) == {"a": 1, "b": 20, "c": 3}

@@ -49,7 +49,7 @@ from provwatch.plans.summaries import RECIPIENT_TIERS
 from provwatch.sources import bronze, readers, sinks
 from provwatch.sources.schemas import HEADER_EXCEPTIONS, bronze_columns
 from provwatch.streaming.incremental import (
-    VersionedTable,
+    MergedTable,
     append_new_columns,
     latest_part_d_rows,
     stream_upserts,
@@ -1248,7 +1248,7 @@ def _deliveries(x: Inputs) -> tuple[DataFrame, DataFrame]:
 
 def _two_refreshes(x: Inputs) -> DataFrame:
     first, second = _deliveries(x)
-    table = VersionedTable(x.spark, x.scratch("incremental"), "PRESCRIPTION_ID")
+    table = MergedTable(x.spark, x.scratch("incremental"), "PRESCRIPTION_ID")
     table.refresh(first, _prescriptions(x))
     table.refresh(first.unionByName(second), _prescriptions(x))
     return table.read()
@@ -1284,7 +1284,7 @@ add(
 
 def _streamed(x: Inputs) -> DataFrame:
     """The deliveries arrive as files, picked up by the stream in two runs."""
-    table = VersionedTable(x.spark, x.scratch("streamed"), "PRESCRIPTION_ID")
+    table = MergedTable(x.spark, x.scratch("streamed"), "PRESCRIPTION_ID")
     landing, state = x.scratch("stream"), x.scratch("stream-state")
     for delivery in _deliveries(x):
         delivery.write.mode("append").parquet(landing)
@@ -1303,7 +1303,7 @@ def _preliminary(df: DataFrame, key: str, changed: str) -> DataFrame:
 
 def _incremental(x: Inputs, name: str, sources: tuple[str, ...], key: str, changed: dict[str, tuple[str, str]], build) -> DataFrame:
     """A first load of preliminary rows, then a second with all final ones: replaced and new rows of several sources."""
-    table = VersionedTable(x.spark, x.scratch(name), key)
+    table = MergedTable(x.spark, x.scratch(name), key)
     model = lambda *parts: build(*parts, keep_load_time=True).drop("_loaded_at")
     final = [x.source(s) for s in sources]
     first = [_preliminary(df, *changed[s]) for s, df in zip(sources, final, strict=True)]
@@ -1341,7 +1341,7 @@ def _orders(x: Inputs, day: str | None, status: str | None = None) -> DataFrame:
 
 def _late(x: Inputs) -> DataFrame:
     """Rows of an older load that arrive after newer ones: they fill gaps and replace nothing."""
-    table = VersionedTable(x.spark, x.scratch("late"), "o_orderkey", buckets=8)
+    table = MergedTable(x.spark, x.scratch("late"), "o_orderkey", buckets=8)
     table.merge(_orders(x, "2024-01-05").filter(F.col("o_orderstatus") == "F"))
     table.merge(_orders(x, "2024-01-01", "OLD"))
     return table.read()
@@ -1349,7 +1349,7 @@ def _late(x: Inputs) -> DataFrame:
 
 def _null_and_equal(x: Inputs) -> DataFrame:
     """A second delivery with the load time of the mark, and rows without any."""
-    table = VersionedTable(x.spark, x.scratch("equal"), "o_orderkey", buckets=8)
+    table = MergedTable(x.spark, x.scratch("equal"), "o_orderkey", buckets=8)
     third = F.col("o_orderkey") % 3
     first = _orders(x, "2024-01-01").filter(third == 0)
     table.refresh(first, lambda df: df)
@@ -1360,7 +1360,7 @@ def _null_and_equal(x: Inputs) -> DataFrame:
 
 def _reset(x: Inputs) -> DataFrame:
     """A stream that begins again with an empty checkpoint, after more files have arrived."""
-    table = VersionedTable(x.spark, x.scratch("reset"), "o_orderkey", buckets=8)
+    table = MergedTable(x.spark, x.scratch("reset"), "o_orderkey", buckets=8)
     landing, odd = x.scratch("reset-in"), F.col("o_orderkey") % 2
     for part in (0, 1):
         rows = _orders(x, f"2024-01-0{part + 1}").filter(odd == part)
