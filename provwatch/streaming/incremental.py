@@ -16,16 +16,16 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from provwatch.operators.joins import anti_join
-from provwatch.operators.windows import keep_first, keep_latest
+from provwatch.operators.windows import keep_first, keep_latest, rank_in_group
 from provwatch.sources.schemas import LOAD_TIMESTAMP
 from provwatch.sources.sinks import is_written, remove_folder, write_table
 
-_AT, _CONTENT, _BUCKET = "row_load_time", "row_content", "table_bucket"
+_AT, _CONTENT, _BUCKET, _OLD = "row_load_time", "row_content", "table_bucket", "row_is_old"
 _MARK = T.StructType([T.StructField("high_water", T.TimestampNTZType())])
 
 
@@ -69,6 +69,10 @@ def latest_part_d_rows(part_d: DataFrame) -> DataFrame:
     )
 
 
+def _write_buckets(rows: DataFrame, path: str, **options: str) -> None:
+    rows.write.mode("overwrite").options(**options).partitionBy(_BUCKET).parquet(path)
+
+
 class MergedTable:
     """A table with one row per ``key``, in ``buckets`` partitions; choose about one bucket per few GB.
 
@@ -118,8 +122,7 @@ class MergedTable:
 
     def _apply(self) -> None:
         prepared = self._load(self._prepared)
-        writer = prepared.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        writer.partitionBy(_BUCKET).parquet(self._rows)
+        _write_buckets(prepared, self._rows, partitionOverwriteMode="dynamic")
         self._add_mark(prepared)
         remove_folder(self.spark, self._prepared)
 
@@ -127,7 +130,7 @@ class MergedTable:
         rows.agg(F.max(_AT).alias("high_water")).write.mode("append").parquet(self._marks)
 
     def _incoming(self, batch: DataFrame) -> DataFrame:
-        """One row per key, with its load time, bucket and a hash of its columns by name.
+        """The batch with each row's load time, bucket and a hash of its columns by name.
 
         The time at which the model ran is not part of a row's content; NULLs count as absent.
         """
@@ -135,38 +138,42 @@ class MergedTable:
         names = sorted(c for c in batch.columns if c not in (self.load_time, "_loaded_at"))
         values = [F.when(F.col(c).isNotNull(), F.concat_ws("=", F.lit(c), F.col(c).cast("string"))) for c in names]
         bucket = F.pmod(F.xxhash64(self.key), F.lit(self.buckets)).cast("int")
-        rows = batch.withColumns({_AT: at, _CONTENT: F.xxhash64(*values), _BUCKET: bucket}).drop(self.load_time)
-        return keep_first(rows, [self.key], [F.col(_AT).desc_nulls_first(), F.col(_CONTENT)])
+        return batch.withColumns({_AT: at, _CONTENT: F.xxhash64(*values), _BUCKET: bucket}).drop(self.load_time)
+
+    def _first(self, rows: DataFrame, *order: Column) -> DataFrame:
+        """One row per key. Rows are dealt by bucket once: that serves the window and the write, too."""
+        return keep_first(rows.repartition(_BUCKET), [_BUCKET, self.key], order)
 
     def _changes(self, incoming: DataFrame) -> DataFrame:
         """Rows of the batch whose key is new, or that win over the row that is there and differ from it."""
-        known = self._load(self._rows).select(
-            self.key, F.col(_AT).alias("old_at"), F.col(_CONTENT).alias("old_content"), F.lit(True).alias("old_row")
-        )
-        new_at, old_at = F.col(_AT), F.col("old_at")
+        known = self._load(self._rows).select(self.key, _BUCKET, _AT, _CONTENT, F.lit(True).alias(_OLD))
+        rows = append_new_columns(incoming.withColumn(_OLD, F.lit(False)), known).repartition(_BUCKET)
+        order = [F.col(_OLD), F.col(_AT).desc_nulls_first(), F.col(_CONTENT)]  # the batch's best row, ..., the known one
+        whole = Window.partitionBy(_BUCKET, self.key).orderBy(*order)
+        whole = whole.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+        last = F.last(F.struct(_OLD, _AT, _CONTENT)).over(whole).alias("last")
+        rows = rank_in_group(rows.select("*", last), [_BUCKET, self.key], order, 1, "place")
+        new_at, old_at = F.col(_AT), F.col(f"last.{_AT}")
         wins = new_at.isNull() | (old_at.isNotNull() & (new_at >= old_at))
-        differs = (F.col(_CONTENT) != F.col("old_content")) | ~new_at.eqNullSafe(old_at)
-        fresh = F.col("old_row").isNull() | (wins & differs)
-        return incoming.join(known, self.key, "left").filter(fresh).drop("old_at", "old_content", "old_row")
-
-    def _write(self, rows: DataFrame, path: str) -> None:
-        # a few files per bucket, so that a bucket is not one task's work
-        layout = rows.repartition(F.col(_BUCKET), F.pmod(F.xxhash64(self.key, F.lit(1)), F.lit(4)))
-        layout.write.mode("overwrite").partitionBy(_BUCKET).parquet(path)
+        differs = (F.col(_CONTENT) != F.col(f"last.{_CONTENT}")) | ~new_at.eqNullSafe(old_at)
+        fresh = ~F.col(_OLD) & (~F.col(f"last.{_OLD}") | (wins & differs))
+        return rows.filter(fresh).drop(_OLD, "last", "place")
 
     def merge(self, batch: DataFrame) -> bool:
         """Merge a batch; False if it changes nothing."""
         self.recover()
         incoming = self._incoming(batch)
+        newest = [F.col(_AT).desc_nulls_first(), F.col(_CONTENT)]
         if not self.exists():
-            self._write(incoming, self._rows)
+            _write_buckets(self._first(incoming, *newest), self._rows)
             self._add_mark(self._load(self._rows))
             return True
         changes = write_table(self._changes(incoming), f"{self.path}/changes")
         touched = self._buckets_of(changes)
         if touched:
-            kept = self._load(self._rows).filter(F.col(_BUCKET).isin(touched))
-            self._write(upsert(kept, changes, self.key), self._prepared)
+            kept = self._load(self._rows).filter(F.col(_BUCKET).isin(touched)).withColumn(_OLD, F.lit(True))
+            both = append_new_columns(kept, changes.withColumn(_OLD, F.lit(False)))
+            _write_buckets(self._first(both, F.col(_OLD)).drop(_OLD), self._prepared)
             self._apply()
         return bool(touched)
 

@@ -5,6 +5,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
+from provwatch.streaming import incremental
 from provwatch.streaming.incremental import MergedTable, since_watermark, stream_upserts, upsert
 
 DAY = datetime(2024, 1, 1)
@@ -105,14 +106,14 @@ def test_a_lost_writer_loses_no_rows(spark, tmp_path, monkeypatch, step):
         raise Lost
 
     if step == "preparing":
-        write = MergedTable._write
+        write = incremental._write_buckets
 
-        def torn(self, rows, path):
-            write(self, rows, path)
+        def torn(rows, path):
+            write(rows, path)
             (tmp_path / "t" / "prepared" / "_SUCCESS").unlink()  # files, but no commit
             raise Lost
 
-        monkeypatch.setattr(MergedTable, "_write", torn)
+        monkeypatch.setattr(incremental, "_write_buckets", torn)
     elif step == "copying":
 
         def swapped(self):
