@@ -9,6 +9,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from provwatch.sources.layout import z_value
 from provwatch.sources.readers import read_csv_strings
 
 
@@ -82,14 +83,46 @@ def write_versioned(df: DataFrame, directory: str, name: str, version: str, file
 def write_clustered(
     df: DataFrame, path: str, columns: Sequence[str], partitions: int | None = None, spread: Sequence[str] = ()
 ) -> DataFrame:
-    """Write sorted by ``columns`` so that row groups can be skipped by their min/max statistics.
+    """Write in Z-order of ``columns``, so that a search by any of them can skip row groups by their statistics.
 
-    ``spread`` columns extend the range key: a hot key is then cut into several ranges and files.
+    The plan runs once: it is written beside the table as it comes, and ordered from there. ``spread`` columns extend
+    the range key: a hot value is then cut into several ranges and files.
     """
-    keys = [F.col(c) for c in columns]
-    ranges = [*keys, F.xxhash64(*spread)] if spread else keys
-    layout = df.repartitionByRange(partitions, *ranges) if partitions else df.repartitionByRange(*ranges)
-    return write_table(layout.sortWithinPartitions(*keys), path)
+    draft = write_table(df, f"{path}-draft")
+    ordered = draft.withColumn("__z", z_value(draft, columns))
+    ranges = [F.col("__z"), F.xxhash64(*spread)] if spread else [F.col("__z")]
+    layout = ordered.repartitionByRange(partitions, *ranges) if partitions else ordered.repartitionByRange(*ranges)
+    table = write_table(layout.sortWithinPartitions("__z", *columns).drop("__z"), path)
+    remove_folder(df.sparkSession, f"{path}-draft")
+    return table
+
+
+def next_version(spark: SparkSession, path: str) -> str:
+    """A folder below ``path`` that is not used yet and sorts behind all others."""
+    used = _versions(spark, path)
+    return f"{path}/{int(used[-1].rsplit('/', 1)[-1]) + 1 if used else 1:08d}"
+
+
+def current_version(spark: SparkSession, path: str) -> str | None:
+    """The newest folder below ``path`` whose write was committed."""
+    written = [v for v in _versions(spark, path) if is_written(spark, v)]
+    return written[-1] if written else None
+
+
+def drop_old_versions(spark: SparkSession, path: str, keep: int = 2) -> None:
+    """Remove all but the newest ``keep`` committed folders, and what lost writers have left before them."""
+    versions = _versions(spark, path)
+    written = [v for v in versions if is_written(spark, v)]
+    for version in [v for v in versions if len(written) >= keep and v < written[-keep]]:
+        remove_folder(spark, version)
+
+
+def _versions(spark: SparkSession, path: str) -> list[str]:
+    files, place = _file_system(spark, path)
+    if not files.exists(place):
+        return []
+    names = [status.getPath().getName() for status in files.listStatus(place)]
+    return sorted(f"{path}/{n}" for n in names if n.isdigit())
 
 
 def export_csv(df: DataFrame, path: str) -> None:

@@ -159,15 +159,20 @@ class MergedTable:
         fresh = ~F.col(_OLD) & (~F.col(f"last.{_OLD}") | (wins & differs))
         return rows.filter(fresh).drop(_OLD, "last", "place")
 
+    def replace(self, rows: DataFrame) -> None:
+        """The whole table anew. It is missing until the write is done."""
+        remove_folder(self.spark, self._prepared)
+        newest = [F.col(_AT).desc_nulls_first(), F.col(_CONTENT)]
+        _write_buckets(self._first(self._incoming(rows), *newest), self._rows)
+        self._add_mark(self._load(self._rows))
+
     def merge(self, batch: DataFrame) -> bool:
         """Merge a batch; False if it changes nothing."""
         self.recover()
-        incoming = self._incoming(batch)
-        newest = [F.col(_AT).desc_nulls_first(), F.col(_CONTENT)]
         if not self.exists():
-            _write_buckets(self._first(incoming, *newest), self._rows)
-            self._add_mark(self._load(self._rows))
+            self.replace(batch)
             return True
+        incoming = self._incoming(batch)
         changes = write_table(self._changes(incoming), f"{self.path}/changes")
         touched = self._buckets_of(changes)
         if touched:
