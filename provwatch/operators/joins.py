@@ -13,8 +13,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_SALTS = 16
-_SALT = "__salt"
+HOT_SHARE = 1000  # a key with at least one row in so many is hot
+_TRACKED = 8192  # entries of the sketch: it misses no key with one row in 6,000
+_SALT, _HASH, _PARTS = "__salt", "__hash", "__parts"
 
 
 def _as_list(keys: str | Sequence[str]) -> list[str]:
@@ -44,24 +45,46 @@ def star_join(dim: DataFrame, summaries: Sequence[DataFrame], keys: str | Sequen
     return reduce(lambda left, right: left_join(left, right, keys), summaries, dim)
 
 
+def hot_keys(df: DataFrame, keys: Sequence[str]) -> list[tuple[int, int]]:
+    """Hashes of the keys that hold at least one row in ``HOT_SHARE``, with how many such shares each holds.
+
+    One pass over the key columns with a heavy-hitter sketch, which each task fills for its own rows; at most
+    ``HOT_SHARE`` keys come back. Counts of the sketch are close, not exact: they decide how rows are dealt, not what
+    they join. NULL counts as a key, since rows without one are dealt by a hash, too.
+    """
+    rows = df.select(F.xxhash64(*keys).alias(_HASH))
+    sketch = F.expr(f"approx_top_k({_HASH}, {HOT_SHARE}, {_TRACKED})")
+    found = rows.agg(sketch.alias("top"), F.count("*").alias("n")).first()
+    shares = ((item["item"], item["count"] * HOT_SHARE // max(found["n"], 1)) for item in found["top"] or [])
+    return [(key, share + 1) for key, share in shares if share >= 1]
+
+
 def salted_left_join(
     df: DataFrame,
     lookup: DataFrame,
     keys: str | Sequence[str],
     spread: Sequence[str],
-    salts: int = DEFAULT_SALTS,
+    hot: Sequence[tuple[int, int]] | None = None,
 ) -> DataFrame:
     """Left join a narrow lookup whose keys may be very frequent in ``df``.
 
-    Every lookup row is repeated once per salt and every row of ``df`` takes one salt from a hash of its
-    ``spread`` columns, so one hot key is shared by ``salts`` tasks. The salt comes from row content, so
-    a task that is run again after losing an executor assigns the same one. NULL keys match NULL keys
-    neither here nor in SQL.
+    The hot keys are measured (``hot_keys``, or given as ``hot``). Without any this is a plain join. Rows of a hot key
+    are dealt to as many parts as its share asks, by a hash of their ``spread`` columns, and only the lookup rows of
+    hot keys are repeated, once per part: two thousand copies at most. A part comes from row content, so a task that is
+    run again after losing an executor assigns the same one. NULL keys match NULL keys neither here nor in SQL.
     """
     names = _as_list(keys)
-    salted = df.withColumn(_SALT, F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int"))
-    copies = lookup.withColumn(_SALT, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return salted.join(copies, [*names, _SALT], "left").drop(_SALT)
+    hot = hot_keys(df, names) if hot is None else list(hot)
+    if not hot:
+        return left_join(df, lookup, names)
+    # at most HOT_SHARE rows
+    parts = F.broadcast(df.sparkSession.createDataFrame(hot, f"{_HASH} long, {_PARTS} int"))
+    kinds = {f.name: f.dataType for f in df.schema.fields}
+    part = F.pmod(F.xxhash64(*spread), F.coalesce(_PARTS, F.lit(1))).cast("int")
+    dealt = df.withColumn(_HASH, F.xxhash64(*names)).join(parts, _HASH, "left").withColumn(_SALT, part)
+    keyed = lookup.withColumn(_HASH, F.xxhash64(*(F.col(n).cast(kinds[n]) for n in names))).join(parts, _HASH, "left")
+    copies = keyed.withColumn(_SALT, F.explode(F.sequence(F.lit(0), F.coalesce(_PARTS, F.lit(1)) - 1)))
+    return dealt.drop(_HASH, _PARTS).join(copies.drop(_HASH, _PARTS), [*names, _SALT], "left").drop(_SALT)
 
 
 def distinct_keys(df: DataFrame, key: str) -> DataFrame:
@@ -75,15 +98,14 @@ def flag_member(
     key: str,
     flag: str,
     spread: Sequence[str],
-    salts: int = DEFAULT_SALTS,
 ) -> DataFrame:
     """Add a boolean column telling whether the key occurs in ``members``.
 
     Members are reduced to distinct keys first, so rows are never multiplied. Blank keys can match
-    nothing, but they still pass through the join: the salt spreads them like any other hot key.
+    nothing, but they still pass through the join: they are dealt to many tasks like any other hot key.
     """
     marked = distinct_keys(members, key).withColumn(flag, F.lit(True))
-    joined = salted_left_join(df, marked, key, spread, salts)
+    joined = salted_left_join(df, marked, key, spread)
     return joined.withColumn(flag, F.coalesce(F.col(flag), F.lit(False)))
 
 

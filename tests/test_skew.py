@@ -100,20 +100,44 @@ def test_flag_member(request, spark, shuffled):
     assert flagged.filter(F.col("f").isNull()).isEmpty()
 
 
-def test_salt_spreads_a_hot_key(no_broadcast):
+def test_a_hot_key_is_spread_by_its_share(no_broadcast):
     spark = no_broadcast
-    facts = spark.range(10000).select("id", F.lit("hot").alias("k"))
-    lookup = spark.createDataFrame([("hot", 1)], "k string, v int")
-    joined = joins.salted_left_join(facts, lookup, "k", ["id"], salts=8)
-    assert joined.filter("v = 1").count() == 10000
+    facts = spark.range(10000).select("id", F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("k"))
+    lookup = spark.createDataFrame([("hot", 1), ("cold", 2)], "k string, v int")
+    (_, parts), = joins.hot_keys(facts, ["k"])
+    assert parts in range(330, 340)
+    joined = joins.salted_left_join(facts, lookup, "k", ["id"])
+    assert joined.filter("v = 1").count() == 3334 and joined.count() == 10000
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" in plan
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
-        tasks = joined.groupBy(F.spark_partition_id()).count().count()
+        tasks = joined.filter("k = 'hot'").groupBy(F.spark_partition_id()).count().count()
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
     assert tasks > 1
 
 
+def test_nothing_is_copied_for_even_keys(no_broadcast):
+    spark = no_broadcast
+    facts = spark.range(20000).select("id", (F.col("id") % 5000).cast("string").alias("k"), F.lit("x").alias("__mark"))
+    lookup = spark.range(7000).select(F.col("id").cast("string").alias("k"), (F.col("id") * 2).alias("v"))
+    assert joins.hot_keys(facts, ["k"]) == []
+    joined = joins.salted_left_join(facts, lookup, "k", ["id"])
+    assert "Generate" not in joined._jdf.queryExecution().executedPlan().toString()
+    assert joined.filter("v = 2 * (id % 5000)").count() == 20000
+
+
+def test_hot_null_and_several_keys(spark, rows):
+    facts = spark.range(3000).select("id", F.when(F.col("id") % 3 == 0, F.lit(7)).cast("int").alias("a"), F.lit("x").alias("b"))
+    lookup = spark.createDataFrame([(7, "x", "yes"), (None, "x", "never"), (8, "x", "no")], "a long, b string, v string")
+    assert len(joins.hot_keys(facts, ["a", "b"])) == 2
+    joined = joins.salted_left_join(facts, lookup, ["a", "b"], ["id"])
+    assert joined.columns == ["a", "b", "id", "v"]
+    assert rows(joined.groupBy("v").count()) == [("yes", 1000), (None, 2000)]
+    assert joins.salted_left_join(facts.limit(0), lookup, ["a", "b"], ["id"]).count() == 0
+
+
 def test_group_limit_runs_before_the_shuffle(spark, skewed):
     first = windows.keep_latest(skewed, ["g"], F.col("v").desc_nulls_last())
     plan = first._jdf.queryExecution().executedPlan().toString()
