@@ -6,6 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def count_where(condition: Column) -> Column:
@@ -74,20 +75,24 @@ def hhi_of_weights(weight: Column) -> Column:
     return F.try_divide(squares * F.lit(10000.0), total * total)
 
 
-def histogram(df: DataFrame, column: str, bins: int = 50, scale: int = 2) -> DataFrame:
+def histogram(df: DataFrame, column: str, bins: int = 50) -> DataFrame:
     """Counts in equal-width bins between the smallest and largest value; empty bins are left out.
 
-    The value is scaled to an integer (``scale`` fraction digits), so bin limits are exact. The limits
-    come from a one-row aggregate used as a scalar subquery.
+    Integers and decimals are counted in units of their own last digit, so that bin limits are exact; floating-point
+    values are taken as they are. The limits come from a one-row aggregate used as a scalar subquery.
     """
-    factor = 10**scale
-    values = df.select((F.col(column) * F.lit(factor)).cast("bigint").alias("__v")).filter(
-        F.col("__v").isNotNull()
-    )
+    kind = df.schema[column].dataType
+    digits = kind.scale if isinstance(kind, T.DecimalType) else 0
+    factor = 10**digits
+    floating = isinstance(kind, (T.DoubleType, T.FloatType))
+    value = F.col(column).cast("double") if floating else (F.col(column) * F.lit(factor)).cast("decimal(38,0)")
+    values = df.select(value.alias("__v")).filter(F.col("__v").isNotNull())
+    if floating:
+        values = values.filter(~F.isnan("__v"))
     limits = values.agg(F.min("__v").alias("lo"), F.max("__v").alias("hi"))
     low, high = limits.select("lo").scalar(), limits.select("hi").scalar()
     bounded = values.select("__v", low.alias("__lo"), high.alias("__hi"))
-    position = F.expr(f"(__v - __lo) * {bins} div (__hi - __lo)")
+    position = F.expr(f"cast(floor((__v - __lo) * {bins} / (__hi - __lo)) as bigint)" if floating else f"(__v - __lo) * {bins} div (__hi - __lo)")
     index = F.when(F.col("__hi") == F.col("__lo"), F.lit(1)).otherwise(
         F.least(position, F.lit(bins - 1)) + F.lit(1)
     )

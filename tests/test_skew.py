@@ -167,7 +167,13 @@ def test_hhi(spark):
 
 def test_histogram_edges(spark):
     df = spark.createDataFrame([(0,), (0,), (10,), (25,), (50,), (None,)], "v int")
-    got = {r["BIN"]: r["COUNT"] for r in aggregates.histogram(df, "v", 5, 0).collect()}
+    got = {r["BIN"]: r["COUNT"] for r in aggregates.histogram(df, "v", 5).collect()}
     assert got == {1: 2, 2: 1, 3: 1, 5: 1}
     flat = aggregates.histogram(spark.createDataFrame([(7,), (7,)], "v int"), "v").collect()
     assert [(r["BIN"], r["COUNT"]) for r in flat] == [(1, 2)]
+    # values that differ in the third digit only are told apart
+    fine = spark.createDataFrame([("1.001",), ("1.002",), ("1.003",), (None,)], "v string")
+    for column in (F.col("v").cast("decimal(10,3)"), F.col("v").cast("double")):
+        got = aggregates.histogram(fine.select(column.alias("v")), "v", 2).orderBy("BIN").collect()
+        assert [(r["BIN"], r["COUNT"]) for r in got] == [(1, 1), (2, 2)]
+        assert (got[0]["BIN_START"], got[1]["BIN_END"]) == (1.001, 1.003)

@@ -487,7 +487,7 @@ CTES["m_ml"] = f"""
     left join m_diversity d on d.NPI = g.NPI
 """
 
-_IDENTIFIER = re.compile(r"\b(?:src|m|o)_\w+\b")
+_IDENTIFIER = re.compile(r"\b(?:src|m|o|f)_\w+\b")
 
 
 def compose(select: str) -> str:

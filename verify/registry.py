@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from provwatch.operators import aggregates, filters, joins, ordering, ranking, windows
+from provwatch.operators import aggregates, filters, joins, ordering, ranking, scans, windows
 from provwatch.functions import (
     clean,
     concat_strict,
@@ -30,6 +30,7 @@ from provwatch.functions import (
     try_money,
     try_number,
 )
+from provwatch.functions.categories import order_index
 from provwatch.plans import quality, serving
 from provwatch.plans.facilities import build_facilities, union_facilities
 from provwatch.plans.hospital_spending import build_hospital_spending
@@ -46,7 +47,7 @@ from provwatch.plans.payments import PAYMENT_TIERS
 from provwatch.plans.lake import MODELS, Lake
 from provwatch.plans.prescriptions import build_prescriptions
 from provwatch.plans.summaries import RECIPIENT_TIERS
-from provwatch.sources import bronze, readers, sinks
+from provwatch.sources import bronze, layout, readers, sinks
 from provwatch.sources.schemas import HEADER_EXCEPTIONS, bronze_columns
 from provwatch.streaming.incremental import (
     MergedTable,
@@ -240,6 +241,25 @@ add(
 )
 add("provider_ml_features", _model("provider_ml_features"), "select * from m_ml")
 
+
+def _given_times(x: Inputs) -> DataFrame:
+    """Run date and load time given by the caller, over all alerts and all spending rows."""
+    at = F.lit("2024-05-06 07:08:09").cast("timestamp_ntz")
+    inputs = [x.lake[i] for i in MODELS["high_risk_alerts"].inputs]
+    alerts = MODELS["high_risk_alerts"].build(*inputs, alert_date=F.lit("2024-02-29").cast("date"), loaded_at=at)
+    spending = MODELS["hospital_spending"].build(x.source("spending"), loaded_at=at)
+    return alerts.select(F.col("ALERT_ID").alias("ID"), F.col("ALERT_DATE").alias("DAY"), F.col("_loaded_at").alias("LOADED")).unionByName(
+        spending.select(F.col("SPENDING_ID").alias("ID"), F.lit(None).cast("date").alias("DAY"), F.col("_loaded_at").alias("LOADED"))
+    )
+
+
+add(
+    "given_run_times",
+    _given_times,
+    f"""select ALERT_ID as ID, '2024-02-29' as DAY, '2024-05-06 07:08:09' as LOADED from (select {ALERTS} from m_alerts)
+        union all select SPENDING_ID, null, '2024-05-06 07:08:09' from (select {SPENDING} from m_spending)""",
+)
+
 _PEER = [f"PEER_{s}_{n}" for s in ("AVG", "STDDEV") for n in o.MEASURES]
 _MEDIANS = ["PEER_MEDIAN_PAYMENT", "PEER_MEDIAN_RX_COST"]
 
@@ -707,6 +727,74 @@ add(
     ),
 )
 
+# The same checks over tables with faults: which rows get which follows from the last character of the key.
+_FAULT = "(ascii(right({key}, 1)) % 5)"
+
+
+def _faults(table: str) -> tuple[str, dict[str, str]]:
+    """The rows to repeat, and the columns to replace, as SQL that both engines read alike."""
+    key = quality.UNIQUE[table]
+    fault, cases = _FAULT.format(key=key), {}
+    for column in quality.NOT_NULL[table].split():
+        if column != key:
+            cases.setdefault(column, []).append(f"when {fault} = 2 then null")
+    for t, column in quality.ACCEPTED:
+        if t == table:
+            cases.setdefault(column, []).append(f"when {fault} = 3 then 'NOT A VALUE'")
+    for (t, column), (low, high) in quality.RANGES.items():
+        if t == table:
+            cases.setdefault(column, []).append(f"when {fault} = 4 then {low - 1}")
+            if high is not None:
+                cases[column].append(f"when {fault} = 0 then {high + 1}")
+    if table in {child for child, _, _ in quality.RELATIONSHIPS}:
+        cases.setdefault(key, []).append(f"when {fault} = 0 then concat({key}, '?')")
+    return f"{fault} = 1", {c: f"case {' '.join(w)} else {c} end" for c, w in cases.items()}
+
+
+def _faulty(x: Inputs) -> dict[str, DataFrame]:
+    tables = {}
+    for table in quality.UNIQUE:
+        repeated, columns = _faults(table)
+        rows = x.lake[table]
+        broken = rows.withColumns({c: F.expr(e).cast(rows.schema[c].dataType) for c, e in columns.items()})
+        tables[table] = broken.unionByName(rows.filter(repeated))
+    return tables
+
+
+for _name in quality.UNIQUE:
+    _repeated, _columns = _faults(_name)
+    _replaced = ", ".join(f"{e} as {c}" for c, e in _columns.items())
+    o.CTES[f"f_{_name}"] = f"""select {f"* replace ({_replaced})" if _replaced else "*"} from o_{_name}
+        union all select * from o_{_name} where {_repeated}"""
+
+
+def _over_faults(sql: str) -> str:
+    return sql.replace("from o_", "from f_")
+
+
+_FAULTY_INVARIANTS = {
+    "alerts_have_provider": """select count(*) from f_high_risk_alerts a
+        where not exists (select 1 from f_provider_360 p where p.NPI = a.NPI)""",
+    "critical_is_excluded": """select count(*) from f_fraud_risk_score
+        where RISK_TIER = 'CRITICAL' and not IS_EXCLUDED and FRAUD_RISK_SCORE >= 70""",
+    "exposure_adds_up": """select count(*) from f_provider_360 where round(TOTAL_FINANCIAL_EXPOSURE * 100)
+        <> round(TOTAL_PAYMENT_AMOUNT * 100) + round(TOTAL_PRESCRIPTION_COST * 100)""",
+    "no_negative_amounts": """select count(*) from f_provider_360
+        where least(TOTAL_PAYMENT_AMOUNT, TOTAL_PRESCRIPTION_COST, TOTAL_FINANCIAL_EXPOSURE) < 0""",
+}
+add(
+    "dq_faulty_report",
+    lambda x: quality.run_expectations(_faulty(x)),
+    " union all ".join(
+        [_over_faults(_row_checks_sql(k)) for k in ("not_null", "accepted", "range")]
+        + [_over_faults(_UNIQUE_SQL), _over_faults(_RELATIONSHIP_SQL)]
+        + [
+            f"select cast(null as varchar), '{n}', 'invariant', cast(({q}) as bigint)"
+            for n, q in _FAULTY_INVARIANTS.items()
+        ]
+    ),
+)
+
 # --- sources and sinks ------------------------------------------------------------------------------
 
 
@@ -724,28 +812,18 @@ add(
     """select cast(s_suppkey as integer) as s_suppkey, s_name, s_nationkey, s_acctbal, cast(s_suppkey as integer) as code
         from supplier""",
 )
-_OWNERSHIP_TEXT = ", ".join(
-    f"coalesce({c}, '') as {c}"
-    for c in ("Record_ID", "Physician_NPI", "Physician_Last_Name", o._PAYER, "Total_Amount_Invested_USDollars")
-)
-_OWNERSHIP_COLUMNS = ["Record_ID", "Physician_NPI", "Physician_Last_Name", o._PAYER, "Total_Amount_Invested_USDollars"]
+_AS_TEXT = "coalesce(cast(columns(*) as varchar), '')"  # every column, missing fields as empty text
 add(
     "csv_string_scan",
-    lambda x: readers.read_csv_strings(
-        x.spark, _csv_folder(x, x.source("open_payments_ownership").select(*_OWNERSHIP_COLUMNS), "csv")
-    ),
-    f"select {_OWNERSHIP_TEXT} from src_open_payments_ownership",
+    lambda x: readers.read_csv_strings(x.spark, _csv_folder(x, x.source("open_payments_ownership"), "csv")),
+    f"select {_AS_TEXT} from src_open_payments_ownership",
 )
 add(
     "csv_roundtrip",
     lambda x: sinks.csv_to_parquet(
-        x.spark,
-        _csv_folder(x, x.source("open_payments_general"), "csv"),
-        x.scratch("parquet"),
-        max_records_per_file=50_000,
-    ).select("Record_ID", "Covered_Recipient_NPI", "Covered_Recipient_Last_Name", "Total_Amount_of_Payment_USDollars"),
-    """select Record_ID, Covered_Recipient_NPI, coalesce(Covered_Recipient_Last_Name, '') as Covered_Recipient_Last_Name,
-        Total_Amount_of_Payment_USDollars from src_open_payments_general""",
+        x.spark, _csv_folder(x, x.source("open_payments_general"), "csv"), x.scratch("parquet"), max_records_per_file=50_000
+    ),
+    f"select {_AS_TEXT} from src_open_payments_general",
 )
 
 
@@ -821,26 +899,29 @@ def _aligned(x: Inputs) -> DataFrame:
     sinks.write_table(x.source("open_payments_general"), general)
     source = x.source("open_payments_research")
     landed = sinks.write_table(source.toDF(*[c.upper() for c in source.columns]), research)
-    return bronze.align_by_name(landed, readers.infer_bronze(x.spark, general)).select(
-        "Record_ID", "Covered_Recipient_NPI", "Nature_of_Payment_or_Transfer_of_Value", "Program_Year"
-    )
+    return bronze.align_by_name(landed, readers.infer_bronze(x.spark, general))
 
 
+# Every column of general payments, by name, and no other.
 add(
     "aligned_by_name",
     _aligned,
-    """select Record_ID, Covered_Recipient_NPI, cast(null as varchar) as Nature_of_Payment_or_Transfer_of_Value,
-        Program_Year from src_open_payments_research""",
+    """select * exclude (ClinicalTrials_Gov_Identifier, Name_of_Study) from (
+        select * from src_open_payments_general where false union all by name select * from src_open_payments_research)""",
 )
 
 
 def _refreshed(x: Inputs) -> DataFrame:
     path = x.scratch("refresh")
     sinks.write_table(x.source("ltch"), path)
-    return sinks.write_table(x.source("home_health").select("CMS_CERTIFICATION_NUMBER", "PROVIDER_NAME"), path)
+    return sinks.write_table(x.source("home_health"), path)
 
 
-add("full_refresh", _refreshed, "select CMS_CERTIFICATION_NUMBER, PROVIDER_NAME from src_home_health")
+add(
+    "full_refresh",
+    _refreshed,
+    "select * replace (cast(cast(_LOAD_TIMESTAMP as timestamp) as varchar) as _LOAD_TIMESTAMP) from src_home_health",
+)
 add(
     "staged_providers",
     lambda x: x.lake.source("nppes_provider").select("NPI", "ENTITY_TYPE_CODE", "IS_ACTIVE"),
@@ -855,18 +936,45 @@ add(
     "clustered_payments",
     lambda x: sinks.write_clustered(
         x.payments, x.scratch("clustered"), ["STATE", "NPI", "PAYMENT_CATEGORY"], spread=["PAYMENT_ID"]
-    ).select("PAYMENT_ID", "STATE", "NPI", "PAYMENT_CATEGORY", "PAYMENT_AMOUNT"),
-    f"select PAYMENT_ID, STATE, NPI, PAYMENT_CATEGORY, {usd('amount_c:PAYMENT_AMOUNT')} from m_payments",
+    ),
+    f"select {PAYMENTS} from m_payments",
 )
+
+
+def _layout(x: Inputs) -> DataFrame:
+    """Searches of the clustered payments by each of its three columns: the value, and whether most row groups are skipped.
+
+    A third of all payments have the rarest category, so no layout skips more than two thirds for it.
+    """
+    table = sinks.write_clustered(
+        x.payments, x.scratch("layout"), ["STATE", "NPI", "PAYMENT_CATEGORY"], partitions=64, spread=["PAYMENT_ID"]
+    )
+    known = table.filter("STATE is not null and NPI is not null and PAYMENT_CATEGORY is not null")
+    rare = known.groupBy("PAYMENT_CATEGORY").agg(F.count("*").alias("n")).agg(F.min_by("PAYMENT_CATEGORY", F.struct("n", "PAYMENT_CATEGORY")))
+    limits = known.agg(F.min("STATE"), F.max("NPI")).first()
+    wanted = dict(zip(("STATE", "NPI", "PAYMENT_CATEGORY"), (*limits, rare.first()[0]), strict=True))
+    groups = layout.groups_read(table, wanted)
+    value = F.create_map(*[F.lit(v) for pair in wanted.items() for v in pair])[F.col("COLUMN")]
+    return groups.select(F.col("COLUMN").alias("SEARCHED"), value.alias("VALUE"), (F.col("READ") * 5 < F.col("GROUPS") * 2).alias("SKIPS_MOST"))
+
+
+_KNOWN_PAYMENTS = "m_payments where STATE is not null and NPI is not null and PAYMENT_CATEGORY is not null"
 add(
-    "exported_alerts",
-    lambda x: readers.read_csv_strings(
-        x.spark,
-        _csv_folder(x, x.high_risk_alerts.select("ALERT_ID", "PROVIDER_NAME", "ALERT_DESCRIPTION", "RISK_SCORE"), "csv"),
-    ),
-    """select ALERT_ID, coalesce(PROVIDER_NAME, '') as PROVIDER_NAME, coalesce(ALERT_DESCRIPTION, '') as ALERT_DESCRIPTION,
-        cast(RISK_SCORE as varchar) as RISK_SCORE from m_alerts""",
+    "clustered_layout",
+    _layout,
+    f"""select 'STATE' as SEARCHED, min(STATE) as VALUE, true as SKIPS_MOST from {_KNOWN_PAYMENTS}
+        union all select 'NPI', max(NPI), true from {_KNOWN_PAYMENTS}
+        union all (select 'PAYMENT_CATEGORY', PAYMENT_CATEGORY, true from {_KNOWN_PAYMENTS}
+            group by PAYMENT_CATEGORY order by count(*), PAYMENT_CATEGORY limit 1)""",
 )
+def _exported(x: Inputs) -> DataFrame:
+    """Alerts written as CSV, read as text, and brought back to their types by name."""
+    alerts = x.high_risk_alerts.drop("ALERT_DATE", "_loaded_at")
+    text = readers.read_csv_strings(x.spark, _csv_folder(x, alerts, "csv"), missing=None)
+    return bronze.align_by_name(text, alerts.schema)
+
+
+add("exported_alerts", _exported, f"select {ALERTS} from m_alerts")
 _COUNTED = tuple(sorted({i for m in MODELS.values() for i in m.inputs} - set(MODELS)))
 add(
     "load_metrics",
@@ -875,19 +983,24 @@ add(
             bronze.load_metrics(x.source(s), required=s).withColumn("SOURCE", F.lit(s))
             for s in _COUNTED
         ]
-    ).select("SOURCE", "ROW_COUNT"),
-    " union all ".join(f"select '{s}' as SOURCE, count(*) as ROW_COUNT from src_{s}" for s in _COUNTED),
+    ),
+    " union all ".join(
+        f"select '{s}' as SOURCE, count(*) as ROW_COUNT, cast(len(any_value(json_keys(to_json(t)))) + {int(s == 'leie')} as integer)"
+        f" as COLUMN_COUNT from src_{s} t"  # exclusions get an empty load time in Spark
+        for s in _COUNTED
+    ),
 )
 
 # --- operators --------------------------------------------------------------------------------------
 
 add(
     "facility_union",
-    lambda x: union_facilities(*[x.source(s) for s in ("hospice", "home_health", "ltch", "nursing_home")]).select(
-        "FACILITY_TYPE", "CCN", "NAME", "COUNTY", "CMS_REGION", "OWNERSHIP_TYPE", "OVERALL_RATING", "NUMBER_OF_BEDS"
-    ),
-    """select FACILITY_TYPE, CCN, NAME, COUNTY, CMS_REGION, OWNERSHIP_TYPE, rating as OVERALL_RATING, beds as NUMBER_OF_BEDS
-        from m_facility_rows""",
+    lambda x: union_facilities(*[x.source(s) for s in ("hospice", "home_health", "ltch", "nursing_home")]),
+    f"""select FACILITY_TYPE, CCN, NAME, ADDRESS_LINE_1, ADDRESS_LINE_2, CITY, STATE, ZIP_CODE, COUNTY, PHONE, CMS_REGION,
+        OWNERSHIP_TYPE, cast({o.day("opened", "%Y-%m-%d")} as varchar) as CERTIFICATION_DATE, rating as OVERALL_RATING,
+        inspection as HEALTH_INSPECTION_RATING, staffing as STAFFING_RATING, beds as NUMBER_OF_BEDS,
+        residents as NUMBER_OF_RESIDENTS, cast(cast(loaded as timestamp) as varchar) as _LOAD_TIMESTAMP
+        from m_facility_rows where CCN is not null""",
 )
 add(
     "renamed_orders",
@@ -1052,8 +1165,11 @@ add(
 )
 add(
     "price_histogram",
-    lambda x: aggregates.histogram(x.raw("orders").withColumn("price", F.floor("o_totalprice")), "price", 50, 0),
-    f"select * from ({_histogram_sql('select cast(floor(o_totalprice) as bigint) as v from orders', 1)})",
+    lambda x: aggregates.histogram(x.raw("orders"), "o_totalprice", 50),
+    """with lim as (select min(o_totalprice) as lo, max(o_totalprice) as hi from orders),
+        b as (select lo, hi, cast(least(floor((o_totalprice - lo) * 50 / (hi - lo)), 49) + 1 as integer) as b from orders, lim)
+        select b as BIN, lo + (b - 1) * ((hi - lo) / 50e0) as BIN_START, lo + b * ((hi - lo) / 50e0) as BIN_END,
+            count(*) as COUNT from b group by all""",
 )
 add(
     "summary_rollup",
@@ -1144,12 +1260,50 @@ add(
     """select o_orderkey, o_orderpriority, o_totalprice from orders
         order by o_orderpriority, o_totalprice desc nulls last, o_orderkey limit 100""",
 )
+
+
+def _positions(x: Inputs, df: DataFrame, order: list) -> DataFrame:
+    """With each row's place in the order, from 1."""
+    return scans.numbered(df, order, x.scratch("numbered"), "POSITION").withColumn("POSITION", F.col("POSITION") + 1)
+
+
+add(
+    "alerts_in_order",
+    lambda x: _positions(
+        x,
+        x.high_risk_alerts.select("ALERT_ID", "PRIORITY_RANK", "RISK_SCORE"),
+        [F.col("PRIORITY_RANK"), F.col("RISK_SCORE").desc_nulls_first(), F.col("ALERT_ID")],
+    ),
+    f"""select ALERT_ID, PRIORITY_RANK, RISK_SCORE,
+        row_number() over (order by PRIORITY_RANK, RISK_SCORE desc nulls first, ALERT_ID) as POSITION
+        from (select {ALERTS} from m_alerts)""",
+)
+add(
+    "running_exposure",
+    lambda x: scans.running(
+        _positions(
+            x,
+            x.provider_360.select("STATE", "NPI", F.col("TOTAL_FINANCIAL_EXPOSURE").alias("EXPOSURE")),
+            [F.col("STATE").asc_nulls_first(), F.col("NPI")],
+        ),
+        "POSITION",
+        {"RUNNING_EXPOSURE": ("sum", F.col("EXPOSURE").cast("decimal(38,2)"))},
+        size=256,
+    ),
+    """select STATE, NPI, exposure_c / 100e0 as EXPOSURE, row_number() over w as POSITION,
+        cast(sum(exposure_c) over w as double) / 100e0 as RUNNING_EXPOSURE
+        from m_360 window w as (order by STATE nulls first, NPI rows between unbounded preceding and current row)""",
+)
 _RECIPIENT_TIERS = [name for _, name in RECIPIENT_TIERS] + ["MINOR_RECIPIENT"]
 add(
     "tiers_in_order",
-    lambda x: ordering.order_by_category(
-        x.provider_360.groupBy("RECIPIENT_TIER").agg(F.count("*").alias("COUNT")), "RECIPIENT_TIER", _RECIPIENT_TIERS
-    ).withColumn("POSITION", F.monotonically_increasing_id() + 1),
+    lambda x: _positions(
+        x,
+        ordering.order_by_category(
+            x.provider_360.groupBy("RECIPIENT_TIER").agg(F.count("*").alias("COUNT")), "RECIPIENT_TIER", _RECIPIENT_TIERS
+        ),
+        [order_index(F.col("RECIPIENT_TIER"), _RECIPIENT_TIERS)],
+    ),
     f"""select RECIPIENT_TIER, count(*) as COUNT,
         row_number() over (order by list_position({_RECIPIENT_TIERS}, RECIPIENT_TIER)) as POSITION from m_360
         where RECIPIENT_TIER in (select unnest({_RECIPIENT_TIERS})) group by RECIPIENT_TIER""",
@@ -1332,6 +1486,20 @@ add(
 )
 
 
+def _second_lake(x: Inputs) -> DataFrame:
+    """A lake that got a first load of each source, refreshed by another lake over its folder and read by a third."""
+    folder = x.scratch("second-lake")
+    sources = fixture_sources(x.spark, x.folder)
+    first = {"spending": lambda: _preliminary(x.source("spending"), "FACILITY_ID", "FACILITY_NAME")}
+    Lake(x.spark, sources | first, folder).refresh("hospital_spending")
+    both = {"spending": lambda: first["spending"]().unionByName(x.source("spending"))}
+    Lake(x.spark, sources | both, folder).refresh("hospital_spending")
+    return Lake(x.spark, {}, folder)["hospital_spending"]
+
+
+add("lake_of_another_session", _second_lake, f"select {SPENDING} from m_spending")
+
+
 def _orders(x: Inputs, day: str | None, status: str | None = None) -> DataFrame:
     changed = F.col("o_orderstatus") if status is None else F.lit(status)
     return x.raw("orders").select(
