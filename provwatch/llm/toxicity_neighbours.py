@@ -20,6 +20,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -32,6 +33,7 @@ MARKING = 8.0  # weight of a marking word against another of equal idf
 NEIGHBOURS = 15
 _MIN_G2 = 24.0  # likelihood ratio; about one in a million words passes by chance
 _BLOCK = 64
+_LEADING = 8  # heaviest terms that decide which examples share a block
 _KNOWN_VECTORS = 100_000
 
 
@@ -68,8 +70,9 @@ def _counts(block: Block, vocabulary: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return pairs // len(vocabulary), pairs % len(vocabulary), tf
 
 
-def _frequencies(vocabulary: np.ndarray):
+def _frequencies(shared: Broadcast):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocabulary = shared.value
         df, n = np.zeros(len(vocabulary), np.int64), 0
         for batch in batches:
             n += batch.num_rows
@@ -81,19 +84,19 @@ def _frequencies(vocabulary: np.ndarray):
     return run
 
 
-def _vectors(vocabulary: np.ndarray):
+def _vectors(shared: Broadcast):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocabulary = shared.value
         for batch in batches:
             for block in blocks(batch.column("text")):
                 row, term, tf = _counts(block, vocabulary)
                 n = block.last - block.first
-                cuts = np.searchsorted(row, np.arange(n + 1))
-                spans = list(zip(cuts[:-1], cuts[1:], strict=True))
+                cuts = pa.array(np.searchsorted(row, np.arange(n + 1)), pa.int32())
                 yield pa.RecordBatch.from_arrays(
                     [
                         *(batch.column(c).slice(block.first, n) for c in ("doc_id", "toxic")),
-                        pa.array([term[a:b] for a, b in spans], pa.list_(pa.int64())),
-                        pa.array([tf[a:b] for a, b in spans], pa.list_(pa.int64())),
+                        pa.ListArray.from_arrays(cuts, pa.array(term, pa.int32())),
+                        pa.ListArray.from_arrays(cuts, pa.array(tf, pa.int32())),
                     ],
                     names=["doc_id", "toxic", "terms", "tf"],
                 )
@@ -112,7 +115,10 @@ class BlockMaxIndex:
     """Distinct example vectors, in blocks of similar ones, with each term's largest weight per block."""
 
     idf: np.ndarray
-    vectors: list[tuple[np.ndarray, np.ndarray]]  # term numbers and unit weights
+    firsts: np.ndarray  # where each vector begins in the next two
+    terms: np.ndarray  # term numbers
+    units: np.ndarray  # and unit weights, vector after vector
+    digests: dict[bytes, int]  # the number of each vector
     labels: np.ndarray  # weight of clean and toxic examples per vector
     evidence: list[list[tuple[int, int]]]  # up to three (doc_id, toxic) per vector
     cells: np.ndarray  # per term, where its blocks begin
@@ -128,35 +134,55 @@ class BlockMaxIndex:
         norm = math.sqrt(float(w @ w))
         return (terms, w / norm) if norm > 0 else (terms[:0], w[:0])
 
+    @staticmethod
+    def digest(terms: np.ndarray, tf: np.ndarray) -> bytes:
+        return hashlib.blake2b(np.concatenate([terms, tf]).astype(np.int64).tobytes(), digest_size=16).digest()
+
     @classmethod
-    def build(cls, examples: list[tuple[int, int, list[int], list[int]]], idf: np.ndarray, weight: dict[int, float]):
-        """From (doc_id, toxic, terms, tf); vectors without terms are left out."""
-        merged: dict[tuple, list] = {}
-        for doc_id, toxic, terms, tf in examples:
-            t, w = cls.unit(np.array(terms, np.int64), np.array(tf, np.int64), idf)
+    def build(cls, ids: np.ndarray, toxic: np.ndarray, firsts: np.ndarray, terms: np.ndarray, tf: np.ndarray, idf: np.ndarray, weight: dict[int, float]):
+        """From examples in arrays: terms and tf of example i lie from firsts[i] on. Those without terms are left out."""
+        merged: dict[bytes, list] = {}
+        for i in np.lexsort((toxic, ids)).tolist():
+            mine = slice(firsts[i], firsts[i + 1])
+            t, w = cls.unit(terms[mine], tf[mine], idf)
             if len(t):
-                heavy = t[np.argsort(-w, kind="stable")]
-                entry = merged.setdefault((tuple(heavy.tolist()), w.tobytes()), [t, w, [0.0, 0.0], []])
-                entry[2][toxic] += weight[toxic]
-                entry[3].append((doc_id, toxic))
+                heavy = t[np.argsort(-w, kind="stable")[:_LEADING]]
+                entry = merged.setdefault(cls.digest(t, tf[mine]), [tuple(heavy.tolist()), i, [0.0, 0.0], []])
+                entry[2][toxic[i]] += weight[int(toxic[i])]
+                if len(entry[3]) < 3:
+                    entry[3].append((int(ids[i]), int(toxic[i])))
         # sorted by their heaviest terms, so that a block's examples share terms and bounds are tight
-        rows = [merged[k] for k in sorted(merged)]
-        terms = np.concatenate([r[0] for r in rows]) if rows else np.zeros(0, np.int64)
-        weights = np.concatenate([r[1] for r in rows]) if rows else np.zeros(0)
-        numbers = np.repeat(np.arange(len(rows), dtype=np.int32), [len(r[0]) for r in rows])
+        order = sorted(merged, key=lambda d: (merged[d][0], d))
+        rows = [merged[d] for d in order]
+        sizes = np.array([firsts[r[1] + 1] - firsts[r[1]] for r in rows], np.int64)
+        starts_of = np.concatenate([[0], np.cumsum(sizes)])
+        all_terms, units = np.zeros(starts_of[-1], np.int32), np.zeros(starts_of[-1])
+        for k, r in enumerate(rows):
+            mine = slice(firsts[r[1]], firsts[r[1] + 1])
+            all_terms[starts_of[k] : starts_of[k + 1]], units[starts_of[k] : starts_of[k + 1]] = cls.unit(terms[mine], tf[mine], idf)
+        numbers = np.repeat(np.arange(len(rows), dtype=np.int32), sizes)
         n_blocks = max(1, -(-len(rows) // _BLOCK))
-        cells, of = np.unique(terms * n_blocks + numbers // _BLOCK, return_inverse=True)
+        cells, of = np.unique(all_terms.astype(np.int64) * n_blocks + numbers // _BLOCK, return_inverse=True)
         maxima = np.zeros(len(cells))
-        np.maximum.at(maxima, of, weights)
+        np.maximum.at(maxima, of, units)
         cell_starts, cell_blocks = np.searchsorted(cells // n_blocks, np.arange(len(idf) + 1)), (cells % n_blocks).astype(np.int32)
-        order = np.argsort(terms, kind="stable")
-        starts = np.searchsorted(terms[order], np.arange(len(idf) + 1))
+        by_term = np.argsort(all_terms, kind="stable")
+        starts = np.searchsorted(all_terms[by_term], np.arange(len(idf) + 1))
         labels = np.array([r[2] for r in rows]).reshape(-1, 2)
-        return cls(idf, [(r[0], r[1]) for r in rows], labels, [sorted(r[3])[:3] for r in rows], cell_starts, cell_blocks, maxima, starts, numbers[order], weights[order])
+        evidence, digests = [r[3] for r in rows], {d: k for k, d in enumerate(order)}
+        postings = numbers[by_term], units[by_term]
+        return cls(idf, starts_of, all_terms, units, digests, labels, evidence, cell_starts, cell_blocks, maxima, starts, *postings)
+
+    def __len__(self) -> int:
+        return len(self.labels)
+
+    def vector(self, i: int) -> tuple[np.ndarray, np.ndarray]:
+        mine = slice(self.firsts[i], self.firsts[i + 1])
+        return self.terms[mine], self.units[mine]
 
     def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """The k vectors of largest cosine, exactly: numbers and cosines, best first, ties to smaller numbers."""
-        n = len(self.vectors)
+        n = len(self)
         at, sizes = _ranges(self.cells, terms)
         by_block = np.zeros((len(terms), -(-n // _BLOCK)))
         by_block[np.repeat(np.arange(len(terms)), sizes), self.cell_blocks[at]] = self.maxima[at] * np.repeat(weights, sizes)
@@ -176,7 +202,7 @@ class BlockMaxIndex:
                 asked[terms] = weights
                 scores = np.zeros(n)
                 for i in open_:
-                    t, w = self.vectors[i]
+                    t, w = self.vector(i)
                     scores[i] = asked[t] @ w
         found = np.flatnonzero(scores > 0)
         if len(found) > k:
@@ -187,7 +213,7 @@ class BlockMaxIndex:
     def _sums(self, terms: np.ndarray, weights: np.ndarray) -> np.ndarray:
         """Products with the given terms, summed per vector."""
         at, sizes = _ranges(self.starts, terms)
-        return np.bincount(self.rows[at], self.weights[at] * np.repeat(weights, sizes), len(self.vectors))
+        return np.bincount(self.rows[at], self.weights[at] * np.repeat(weights, sizes), len(self))
 
     def vote(self, near: np.ndarray, cosine: np.ndarray, without: tuple[int, int, float] | None = None) -> float | None:
         """Weighted share of toxic among the neighbours; ``without`` takes one example (vector, label, weight) out."""
@@ -223,8 +249,10 @@ def _isotonic(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[np.ndarray,
 
 @dataclass
 class Model:
-    vocabulary: np.ndarray
-    index: BlockMaxIndex | None
+    """Words and examples are broadcast once; what is fitted on them travels with the task."""
+
+    vocabulary: Broadcast
+    index: Broadcast | None
     edges: np.ndarray
     values: np.ndarray
     unmarked: float  # probability for texts without neighbours
@@ -233,16 +261,40 @@ class Model:
         """Score and evidence (doc_id, toxic, cosine) of one text."""
         if self.index is None or not len(terms):
             return self.unmarked, []
-        t, w = BlockMaxIndex.unit(terms, tf, self.index.idf)
-        near, cosine = self.index.nearest(t, w, NEIGHBOURS)
-        vote = self.index.vote(near, cosine)
+        index = self.index.value
+        t, w = BlockMaxIndex.unit(terms, tf, index.idf)
+        near, cosine = index.nearest(t, w, NEIGHBOURS)
+        vote = index.vote(near, cosine)
         if vote is None or not len(self.edges):
             return self.unmarked, []
         at = max(int(np.searchsorted(self.edges, vote, "right")) - 1, 0)
-        shown = [(d, x, float(c)) for i, c in zip(near, cosine, strict=True) for d, x in self.index.evidence[i]]
+        shown = [(d, x, float(c)) for i, c in zip(near, cosine, strict=True) for d, x in index.evidence[i]]
         return float(self.values[at]), shown[:3]
 
 
+def _votes(index: Broadcast, vocabulary: Broadcast, weight: dict[int, float]):
+    """The vote for each example, without the example itself; none if its words or neighbours are none."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tool: BlockMaxIndex = index.value
+        for batch in batches:
+            toxic = batch.column("toxic").to_numpy(zero_copy_only=False)
+            for block in blocks(batch.column("text")):
+                row, term, tf = _counts(block, vocabulary.value)
+                cuts = np.searchsorted(row, np.arange(block.last - block.first + 1))
+                votes, labels = [], []
+                for label, a, b in zip(toxic[block.first : block.last].tolist(), cuts[:-1], cuts[1:], strict=True):
+                    t, w = BlockMaxIndex.unit(term[a:b], tf[a:b], tool.idf)
+                    own = tool.digests.get(BlockMaxIndex.digest(t, tf[a:b])) if len(t) else None
+                    vote = None if own is None else tool.vote(*tool.nearest(t, w, NEIGHBOURS), (own, label, weight[label]))
+                    if vote is not None:
+                        votes.append(vote)
+                        labels.append(label)
+                yield pa.RecordBatch.from_arrays([pa.array(votes, pa.float64()), pa.array(labels, pa.int32())], names=["vote", "toxic"])
+
+    return run
+
+
 def fit(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES) -> Model:
     """Learn from ``labels`` (doc_id, toxic 0/1) of ``docs``; other labels and null ones teach nothing.
 
@@ -270,41 +322,37 @@ def fit(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES) -> Model:
     f1, f0 = (both - a - b) * (n1 / both), (both - a - b) * (n0 / both)
     g2 = 2 * (part(a, e1) + part(b, e0) + part(n1 - a, f1) + part(n0 - b, f0))
     marks = (F.col("g2") >= _MIN_G2) & (a * n0 > b * n1)
-    # the words of a bounded number of examples
-    known_words = found.withColumn("g2", g2).select("term", F.coalesce(marks, F.lit(False)).alias("marks")).orderBy("term").toPandas()
-    vocabulary = known_words["term"].to_numpy(np.int64)
-    strength = np.where(known_words["marks"].to_numpy(bool), MARKING, 1.0)
-    df = docs.select("text").mapInArrow(_frequencies(vocabulary), "term long, df long").groupBy("term").agg(F.sum("df").alias("df"))
-    df = dict(df.toPandas().itertuples(index=False, name=None))  # one row a vocabulary word
-    total = df.get(-1, 0)
-    idf = strength * np.array([math.log((total + 1) / max(df.get(i, 1), 1)) for i in range(len(vocabulary))])
+    # the words of a bounded number of examples, as columns
+    known_words = found.withColumn("g2", g2).select("term", F.coalesce(marks, F.lit(False)).alias("marks")).orderBy("term").toArrow()
+    vocabulary = known_words["term"].to_numpy()
+    idf = np.where(known_words["marks"].to_numpy(), MARKING, 1.0)
+    words_ = spark.sparkContext.broadcast(vocabulary)
+    df = docs.select("text").mapInArrow(_frequencies(words_), "term long, df long").groupBy("term").agg(F.sum("df").alias("df"))
+    df = df.toArrow()  # one row a vocabulary word
+    counts = np.ones(len(vocabulary) + 1, np.int64)
+    counts[df["term"].to_numpy()] = df["df"].to_numpy()  # the last one, -1, is the number of documents
+    total = int(counts[-1]) if len(df) else 0
+    idf *= np.log((total + 1) / counts[:-1])
     # weights undo the even choice of the two labels
     weight = {x: size.get(x, 0) / totals[x] if totals.get(x) else 1.0 for x in (0, 1)}
-    rows = sample.mapInArrow(_vectors(vocabulary), "doc_id long, toxic int, terms array<long>, tf array<long>").collect()
-    rows = sorted((r["doc_id"], r["toxic"], r["terms"], r["tf"]) for r in rows)
-    bare = [weight[r[1]] * np.array([1 - r[1], r[1]]) for r in rows if not r[2]]
-    bare_sum = np.sum(bare, axis=0) if bare else np.zeros(2)
-    unmarked = float((bare_sum[1] + 0.01) / (bare_sum.sum() + 0.1)) if bare else 0.1
-    if not any(r[2] for r in rows):
-        return Model(vocabulary, None, np.zeros(0), np.zeros(0), min(unmarked, 1.0))
-    index = BlockMaxIndex.build(rows, idf, weight)
-    number = {(t.tobytes(), w.tobytes()): i for i, (t, w) in enumerate(index.vectors)}
-    votes, truth, mass = [], [], []
-    known: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-    for _, toxic, terms, tf in rows:
-        t, w = BlockMaxIndex.unit(np.array(terms, np.int64), np.array(tf, np.int64), idf)
-        own = number.get((t.tobytes(), w.tobytes()))
-        if own is None:
-            continue
-        if own not in known:
-            known[own] = index.nearest(t, w, NEIGHBOURS)
-        vote = index.vote(*known[own], (own, toxic, weight[toxic]))
-        if vote is not None:
-            votes.append(vote)
-            truth.append(toxic)
-            mass.append(weight[toxic])
-    edges, values = _isotonic(np.array(votes), np.array(truth, float), np.array(mass))
-    return Model(vocabulary, index, edges, values, min(unmarked, 1.0))
+    rows = sample.mapInArrow(_vectors(words_), "doc_id long, toxic int, terms array<int>, tf array<int>").toArrow().combine_chunks()
+    toxic = rows["toxic"].to_numpy()
+    lists = rows["terms"].combine_chunks() if len(rows) else pa.array([], pa.list_(pa.int32()))
+    firsts = np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy())]).astype(np.int64)
+    bare = toxic[np.diff(firsts) == 0]
+    mass = np.array([weight[0] * (bare == 0).sum(), weight[1] * (bare == 1).sum()])
+    unmarked = float((mass[1] + 0.01) / (mass.sum() + 0.1)) if len(bare) else 0.1
+    if not firsts[-1]:
+        return Model(words_, None, np.zeros(0), np.zeros(0), min(unmarked, 1.0))
+    tf = rows["tf"].combine_chunks().flatten().to_numpy()
+    index = BlockMaxIndex.build(rows["doc_id"].to_numpy(), toxic, firsts, lists.flatten().to_numpy(), tf, idf, weight)
+    del rows, lists, tf, known_words, df
+    shared = spark.sparkContext.broadcast(index)
+    del index
+    votes = sample.mapInArrow(_votes(shared, words_, weight), "vote double, toxic int").toArrow()
+    truth = votes["toxic"].to_numpy()
+    edges, values = _isotonic(votes["vote"].to_numpy(), truth.astype(float), np.where(truth == 1, weight[1], weight[0]))
+    return Model(words_, shared, edges, values, min(unmarked, 1.0))
 
 
 _EVIDENCE = pa.list_(pa.struct([("doc_id", pa.int64()), ("toxic", pa.int32()), ("cosine", pa.float64())]))
@@ -318,14 +366,13 @@ def score_texts(docs: DataFrame, model: Model, threshold: float = 0.7) -> DataFr
     """
     docs = docs.drop("score", "predicted", "evidence")
     names = docs.columns
-    shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tool: Model = shared.value
+        tool = model
         known: dict[bytes, tuple] = {}
         for batch in batches:
             for block in blocks(batch.column(names.index("text"))):
-                row, term, tf = _counts(block, tool.vocabulary)
+                row, term, tf = _counts(block, tool.vocabulary.value)
                 n = block.last - block.first
                 cuts = np.searchsorted(row, np.arange(n + 1))
                 scores, shown = [], []

@@ -135,13 +135,17 @@ def test_nothing_to_learn_from(awkward, nothing, model):
 def test_block_search_equals_full_search():
     rng = np.random.default_rng(2)
     idf = rng.uniform(0.5, 4, 40)
-    examples = []
-    for i in range(900):
-        terms = np.sort(rng.choice(40, rng.integers(1, 6), replace=False))
-        examples.append((i, int(rng.random() < 0.3), terms.tolist(), rng.integers(1, 4, len(terms)).tolist()))
-    index = toxicity_neighbours.BlockMaxIndex.build(examples, idf, {0: 1.0, 1: 1.0})
-    dense = np.zeros((len(index.vectors), 40))
-    for i, (t, w) in enumerate(index.vectors):
+    terms = [np.sort(rng.choice(40, rng.integers(0, 6), replace=False)) for _ in range(900)]
+    tf = [rng.integers(1, 4, len(t)) for t in terms]
+    firsts = np.concatenate([[0], np.cumsum([len(t) for t in terms])])
+    toxic = (rng.random(900) < 0.3).astype(int)
+    index = toxicity_neighbours.BlockMaxIndex.build(
+        np.arange(900), toxic, firsts, np.concatenate(terms), np.concatenate(tf), idf, {0: 1.0, 1: 1.0}
+    )
+    assert index.labels.sum() == sum(len(t) > 0 for t in terms)
+    dense = np.zeros((len(index), 40))
+    for i in range(len(index)):
+        t, w = index.vector(i)
         dense[i, t] = w
     for _ in range(200):
         terms = np.sort(rng.choice(40, rng.integers(1, 5), replace=False))
