@@ -23,8 +23,24 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return toxicity_neighbours.score_texts(docs, model, threshold=0.7).where("predicted = 0").select(*docs.columns)
 
 
+def _single_rows(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    """Without rows that repeat doc_id and text; only rows of repeated ids are shuffled."""
+    ids = docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id")
+    ids = saved(ids, f"{work_folder(spark, 'repeated')}/ids")
+    if ids.isEmpty():
+        return docs
+    ids = sent_if_small(ids)
+    repeated = docs.join(ids, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
+    return docs.join(ids, "doc_id", "left_anti").unionByName(repeated)
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies (five words, similarity 0.8): the one of smallest doc_id."""
+    """One document of each group of near copies (five words, similarity 0.8): the one of smallest doc_id.
+
+    Of rows that repeat a doc_id with its text one stays, too, or later stages would take them for copies. Rows without
+    doc_id stay; null and empty texts are no copies of anything.
+    """
+    docs = _single_rows(spark, docs)
     groups = bottom_k_dedup.near_duplicates(docs, shingle=5, percent=80)
     copies = groups.where("not kept and doc_id is not null").select("doc_id").distinct()
     copies = saved(copies, f"{work_folder(spark, 'copies')}/ids")
