@@ -1,7 +1,9 @@
 """Nearest neighbours by cosine with multi-index hashing.
 
 Vectors get binary codes: centred, rotated by ``ROTATIONS`` learned rotations (iterative quantisation, fitted on a
-bounded sample) and cut at zero. A code is split into one-byte substrings, and each substring has its own index. If
+bounded sample) and cut at zero. Hyperplanes through the middle of the table hardly cut a dense cluster away from it, so
+each dense region of the sample gets rotations centred on itself; their bits are part of every code, and of two codes
+within the region they are what differs. A code is split into one-byte substrings, and each substring has its own index. If
 two codes of m substrings differ in at most r = m * t + a bits, then some of the first a + 1 substrings differ in at
 most t bits or some of the others in at most t - 1 (pigeonhole), so probing each index within that radius retrieves
 every code within r. What is retrieved is checked by its whole Hamming distance, and the vectors of the codes within r
@@ -21,7 +23,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -30,6 +32,9 @@ from provwatch.sources.sinks import work_folder
 
 ROTATIONS = 4
 SAMPLE = 4_000
+CELLS = 32  # of the sample, among which dense ones are looked for
+CENTRES = 8  # dense regions with rotations of their own, those of most rows
+_DENSE = 0.5  # a dense cell's share of the sample's mean squared distance to the middle, at most
 CODES = 384
 CELL_ROWS = 100_000  # index entries that are compared in one group
 _SHELF = 16  # substring values of one index that share a group
@@ -43,25 +48,61 @@ def _matrix(codes: pd.Series) -> np.ndarray:
     return np.frombuffer(b"".join(c.ljust(width, b"\0") for c in codes), np.uint8).reshape(len(codes), width)
 
 
+def _unit(vectors: np.ndarray) -> np.ndarray:
+    return vectors / np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-300)
+
+
+def dense_regions(x: np.ndarray) -> list[np.ndarray]:
+    """Rows of each dense region of a sample of unit vectors, largest first; evenly spread vectors have none.
+
+    The sample is cut into cells by k-means. Cells whose rows lie close to their centre are dense, and dense cells
+    whose centres are no further apart than their rows are one region.
+    """
+    if len(x) < 2 * CELLS:
+        return []
+    apart = lambda centres: ((x**2).sum(1)[:, None] - 2 * x @ centres.T + (centres**2).sum(1)).clip(0)
+    centres = x[np.random.default_rng(1).choice(len(x), CELLS, replace=False)]
+    for _ in range(10):
+        cell = apart(centres).argmin(1)
+        centres = np.array([x[cell == i].mean(0) if (cell == i).any() else centres[i] for i in range(CELLS)])
+    far = apart(centres)
+    cell = far.argmin(1)
+    sizes = np.bincount(cell, minlength=CELLS)
+    within = np.bincount(cell, far.min(1), CELLS) / np.maximum(sizes, 1)
+    limit = _DENSE * ((x - x.mean(0)) ** 2).sum(1).mean()
+    regions: list[list[int]] = []
+    for i in np.argsort(-sizes, kind="stable"):
+        if within[i] < limit and sizes[i] >= len(x) // (2 * CELLS):
+            near = [g for g in regions if min(((centres[i] - centres[j]) ** 2).sum() for j in g) < 2 * within[i]]
+            regions = [g for g in regions if g not in near] + [[i, *(j for g in near for j in g)]]
+    found = [np.flatnonzero(np.isin(cell, g)) for g in regions]
+    return sorted(found, key=lambda rows: (-len(rows), rows[0]))[:CENTRES]
+
+
 class Coder:
-    """Learned rotations and thresholds; ``codes`` gives one row of bytes per vector."""
+    """Learned rotations and thresholds, of the whole sample and of its dense regions; ``codes`` gives bytes per vector."""
 
     def __init__(self, sample: np.ndarray, rotations: int = ROTATIONS):
-        x = sample / np.maximum(np.linalg.norm(sample, axis=1, keepdims=True), 1e-300)
-        self.mean = x.mean(0) if len(x) else np.zeros(sample.shape[1])
-        y = x - self.mean
-        d = sample.shape[1]
-        self.turns = []
+        x = _unit(sample)
+        self.frames = [self._frame(part, rotations) for part in (x, *(x[rows] for rows in dense_regions(x)))]
+        self.bits = len(self.frames) * rotations * sample.shape[1]
+
+    @staticmethod
+    def _frame(x: np.ndarray, rotations: int) -> tuple[np.ndarray, list[np.ndarray]]:
+        d = x.shape[1]
+        mean = x.mean(0) if len(x) else np.zeros(d)
+        y, turns = x - mean, []
         for seed in range(rotations):
             turn = np.linalg.qr(np.random.default_rng(seed).normal(size=(d, d)))[0]
             for _ in range(20 if len(x) > d else 0):
                 u, _, v = np.linalg.svd(np.where(y @ turn >= 0, 1.0, -1.0).T @ y)
                 turn = (u @ v).T
-            self.turns.append(turn)
+            turns.append(turn)
+        return mean, turns
 
     def codes(self, vectors: np.ndarray) -> np.ndarray:
-        x = vectors / np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-300) - self.mean
-        return np.packbits(np.hstack([x @ turn >= 0 for turn in self.turns]), axis=1)
+        x = _unit(vectors)
+        return np.packbits(np.hstack([(x - mean) @ turn >= 0 for mean, turns in self.frames for turn in turns]), axis=1)
 
 
 def distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -199,17 +240,24 @@ def _compare(table: np.ndarray, salts: int):
     return run
 
 
+def _scaled(vector: Column) -> Column:
+    """Very large or small vectors divided by their largest component, or squares would overflow or vanish."""
+    largest = F.array_max(F.transform(vector, F.abs))
+    extreme = (largest > 1e100) | (largest < 1e-100)
+    return F.when(extreme, F.transform(vector, lambda x: x / largest)).otherwise(vector)
+
+
 def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5, codes: int = CODES) -> DataFrame:
     """The k nearest rows of ``vectors`` (vec_id, embedding) for each row of ``queries`` (vec_id, embedding).
 
     Returns query_id, rank (from 1), vec_id and score (cosine, double precision), nearest first, ties to the smaller
     vec_id. A query's own row (equal vec_id) is no candidate. Rows take no part if their vec_id or vector is null or
-    the vector is empty, has a null or non-finite component or length 0, or has not the most frequent dimension. A
-    query with fewer than k candidates gets all of them; one without any, no row. Rows that repeat vec_id and vector
-    count once. Vectors equal to each other are all returned as far as k allows. Further columns are ignored.
+    the vector is empty, has a null or non-finite component or length 0. Vectors are compared with those of their own
+    dimension, each dimension in an index of its own. A query with fewer than k candidates gets all of them; one without
+    any, no row. Rows that repeat vec_id and vector count once. Vectors equal to each other are all returned as far as
+    k allows. Components may have any size; vectors beyond 1e100 or below 1e-100 are scaled first, which leaves their
+    cosine. Further columns are ignored.
     """
-    spark = vectors.sparkSession
-    folder = work_folder(spark, "nearest")
     usable = (
         F.col("vec_id").isNotNull()
         & (F.size("vector") > 0)
@@ -217,23 +265,30 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5, codes: int = COD
         & F.exists("vector", lambda x: x != 0)
     )
     cast = lambda df: df.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("vector"))
-    rows, asked = cast(vectors).where(usable), cast(queries).where(usable)
-    widths = rows.groupBy(F.size("vector").alias("d")).count().orderBy(F.col("count").desc(), "d").first()
-    out_ddl = "query_id long, rank int, vec_id long, score double"
-    if widths is None:
-        return spark.createDataFrame([], out_ddl)
-    width = widths["d"]
-    rows, asked = (df.where(F.size("vector") == width).dropDuplicates(["vec_id", "vector"]) for df in (rows, asked))
-
+    rows, asked = (cast(df).where(usable).withColumn("vector", _scaled(F.col("vector"))) for df in (vectors, queries))
+    found = vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    for width in sorted(r[0] for r in asked.select(F.size("vector")).distinct().collect()):
+        one = [df.where(F.size("vector") == width).dropDuplicates(["vec_id", "vector"]) for df in (rows, asked)]
+        result = _nearest_of_width(*one, width, k, codes)
+        found = found if result is None else found.unionByName(result)
+    return found
+
+
+def _nearest_of_width(rows: DataFrame, asked: DataFrame, width: int, k: int, codes: int) -> DataFrame | None:
+    """``nearest`` among vectors of one dimension; None if there are none."""
+    spark = rows.sparkSession
+    folder = work_folder(spark, "nearest")
     # one group per distinct vector, with the smallest ids that a query may need
     grouped = saved(_groups(rows, k).withColumn("group", F.monotonically_increasing_id()), f"{folder}/groups")
     total = grouped.count()
+    if not total:
+        return None
     sample = grouped.select("group", "vector").orderBy(F.xxhash64("vector"), "group").limit(SAMPLE).collect()
     fitted = Coder(np.array([r["vector"] for r in sample], float))
     coder = spark.sparkContext.broadcast(fitted)
     coded = saved(grouped.select("group", "vector").mapInArrow(_codes_of(coder), "group long, code binary"), f"{folder}/codes")
     asked = saved(asked.withColumn("query_id", F.monotonically_increasing_id()), f"{folder}/queries")
-    bits, target = ROTATIONS * width, wanted(total, max(codes, k + 1))
+    bits, target = fitted.bits, wanted(total, max(codes, k + 1))
     sample_codes = spark.sparkContext.broadcast(fitted.codes(np.array([r["vector"] for r in sample], float)))
     pending = asked.select(F.col("query_id").alias("group"), "vector").mapInArrow(_codes_of(coder), "group long, code binary")
     pending = pending.mapInArrow(_radius_of(sample_codes, total, target, bits), "query_id long, code binary, radius int")
@@ -246,7 +301,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5, codes: int = COD
     for step in range(bits):
         largest = pending.agg(F.max("radius")).first()[0]
         if largest is None:
-            return spark.createDataFrame([], out_ddl) if results is None else results
+            return results
         probes = pending.mapInArrow(_probes(table, salts), "cell long, query_id long, code binary, radius int")
         entries = coded.mapInArrow(_entries(table[largest], salts), "cell long, group long, code binary")
         pairs = probes.groupBy("cell").cogroup(entries.groupBy("cell")).applyInPandas(_compare(table, salts), "query_id long, group long")

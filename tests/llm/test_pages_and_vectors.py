@@ -177,3 +177,57 @@ def test_reranked_codes_grow_with_the_table_and_radii_differ():
     near, far = np.arange(4000) // 100, 60 + np.arange(4000) // 100
     first = [multi_index_hashing.first_radius(a, 1_000_000, 3_000, 256) for a in (near, far)]
     assert first[1] == first[0] + 60 and multi_index_hashing.first_radius(near, 300, 384, 256) == 256
+
+
+def test_members_of_a_cluster_find_their_neighbours(spark):
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(6000, 64))
+    x[:2000] = rng.normal(size=64) + 0.3 * x[:2000]
+    vectors = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    found = {(r["query_id"], r["vec_id"]) for r in nearest(vectors, vectors.where("vec_id % 50 = 0")).collect()}
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    for some in (range(0, 2000, 50), range(2000, 6000, 50)):
+        close = unit[list(some)] @ unit.T
+        close[np.arange(len(some)), list(some)] = -2
+        expected = {(q, int(v)) for q, row in zip(some, close, strict=True) for v in np.argsort(-row)[:5]}
+        assert len(expected & found) >= 0.95 * len(expected)
+
+
+def test_dense_regions_of_a_sample():
+    rng = np.random.default_rng(2)
+    even = rng.normal(size=(3000, 64))
+    assert multi_index_hashing.dense_regions(multi_index_hashing._unit(even)) == []
+    mixed = even.copy()
+    mixed[:1000] = even[0] + 0.2 * even[:1000]
+    mixed[1000:1600] = even[1] + 0.2 * even[1000:1600]
+    first, second = multi_index_hashing.dense_regions(multi_index_hashing._unit(mixed))
+    for found, members in ((first, range(1000)), (second, range(1000, 1600))):  # cells may share out a few rows
+        assert len(np.intersect1d(found, members)) >= 0.99 * max(len(found), len(members))
+
+
+def test_extreme_components_and_several_dimensions(spark):
+    rows = [
+        (0, [1e200, 0.0]),
+        (1, [1.0, 0.0]),
+        (2, [1e-200, 1e-200]),
+        (3, [5e-324, 0.0]),
+        (4, [0.0, 0.0]),
+        (5, [1.0, 0.0, 0.0]),
+        (6, [1.0, 1.0, 0.0]),
+        (7, [3.0]),
+    ]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = {(r["query_id"], r["rank"]): (r["vec_id"], r["score"]) for r in nearest(vectors, vectors, k=2).collect()}
+    half = pytest.approx(0.5**0.5)
+    assert found == {
+        (0, 1): (1, 1.0),
+        (0, 2): (3, 1.0),
+        (1, 1): (0, 1.0),
+        (1, 2): (3, 1.0),
+        (2, 1): (0, half),
+        (2, 2): (1, half),
+        (3, 1): (0, 1.0),
+        (3, 2): (1, 1.0),
+        (5, 1): (6, half),
+        (6, 1): (5, half),
+    }
