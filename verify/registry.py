@@ -46,6 +46,7 @@ from provwatch.plans.ml_features import (
 from provwatch.plans.payments import PAYMENT_TIERS
 from provwatch.plans.lake import MODELS, Lake
 from provwatch.plans.prescriptions import build_prescriptions
+from provwatch.plans.search import ProviderSearch
 from provwatch.plans.summaries import RECIPIENT_TIERS
 from provwatch.sources import bronze, layout, readers, sinks
 from provwatch.sources.schemas import HEADER_EXCEPTIONS, bronze_columns
@@ -70,6 +71,10 @@ class Inputs:
     def lake(self) -> Lake:
         return Lake(self.spark, fixture_sources(self.spark, self.folder), self.scratch("lake"))
 
+    @cached_property
+    def search(self) -> ProviderSearch:
+        return ProviderSearch.build(self.provider_360, self.high_risk_alerts, self.fraud_risk_score, self.scratch("search"))
+
     def scratch(self, name: str) -> str:
         return sinks.work_folder(self.spark, name)
 
@@ -1568,6 +1573,31 @@ add(
 )
 
 
+def same_rows(name: str, run: Callable[[Inputs], DataFrame], other: str) -> None:
+    """Another way to the result of a registered query."""
+    add(name, run, "select 1")
+    QUERIES[name] = Query(run, QUERIES[other].sql)
+
+
+same_rows("search_by_trigrams", lambda x: x.search.search_providers("customer#0000001"), "search_providers")
+same_rows("search_by_trigrams_npi", lambda x: x.search.search_providers("0012", 100), "search_providers_by_npi")
+same_rows("compare_by_trigrams", lambda x: x.search.compare_search("omer#00000010"), "compare_search")
+same_rows("keyed_provider_details", lambda x: x.search.provider_details(NPI), "provider_details")
+same_rows("keyed_provider_alerts", lambda x: x.search.provider_alerts(NPI).drop("ALERT_DATE"), "provider_alerts")
+same_rows("keyed_risk_score", lambda x: x.search.risk_score(NPI), "risk_score")
+add(
+    "trigram_counts",
+    lambda x: x.search.index.counts.select("GRAM", "N"),
+    """select substr(t, i, 3) as GRAM, count(distinct NPI) as N from (select NPI, t, unnest(range(1, length(t) - 1)) as i
+        from (select NPI, unnest([NPI, upper(FULL_NAME), upper(ORGANIZATION_NAME)]) as t from m_360)) group by 1""",
+)
+add(
+    "keyed_row_groups",
+    lambda x: x.search.row_groups(NPI).select(F.col("COLUMN").alias("SEARCHED"), F.col("READ").alias("GROUPS_READ")),
+    f"select 'NPI' as SEARCHED, count(*) as GROUPS_READ from m_360 where NPI = '{NPI}'",
+)
+
+
 def spark_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def wrap(run: Callable[[Inputs], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
         return lambda spark, folder: comparable(run(inputs_for(spark, folder)))
