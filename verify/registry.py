@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from provwatch.operators import aggregates, filters, joins, ordering, ranking, scans, windows
+from provwatch.operators import aggregates, bitmaps, filters, joins, ordering, ranking, scans, windows
 from provwatch.functions import (
     clean,
     concat_strict,
@@ -1573,6 +1573,24 @@ add(
 )
 
 
+def _distinct_npis(x: Inputs) -> DataFrame:
+    """Paid providers by state and category, and by state and in all from the same bitmaps."""
+    made = bitmaps.distinct_bitmaps(x.payments, ["STATE", "PAYMENT_CATEGORY"], "NPI", x.scratch("numbers"))
+    made = sinks.write_table(made, x.scratch("bitmaps"))
+    levels = [bitmaps.distinct_counts(made, keys, "PROVIDERS") for keys in (["STATE", "PAYMENT_CATEGORY"], ["STATE"], [])]
+    names = ("state and category", "state", "all")
+    return filters.union_all([level.withColumn("BY", F.lit(name)) for level, name in zip(levels, names, strict=True)])
+
+
+add(
+    "distinct_by_bitmaps",
+    _distinct_npis,
+    """select STATE, PAYMENT_CATEGORY, count(distinct NPI) as PROVIDERS, 'state and category' as "BY" from m_payments group by all
+        union all select STATE, null, count(distinct NPI), 'state' from m_payments group by STATE
+        union all select null, null, count(distinct NPI), 'all' from m_payments""",
+)
+
+
 def same_rows(name: str, run: Callable[[Inputs], DataFrame], other: str) -> None:
     """Another way to the result of a registered query."""
     add(name, run, "select 1")
