@@ -7,6 +7,8 @@ import os
 import pytest
 
 from tests.conftest import SMALL
+from provwatch.plans.prescriptions import build_prescriptions
+from provwatch.plans.summaries import build_prescriptions_summary
 from verify.registry import QUERIES, inputs_for
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SMALL), reason="generated tables are not available")
@@ -58,3 +60,12 @@ def test_reports_read_only_their_columns(spark):
 
 def test_top_k_keeps_candidates_per_task(spark):
     assert "TakeOrderedAndProject" in plan_of(QUERIES["top_prescribers"].run(inputs_for(spark, SMALL)))
+
+
+def test_prescription_sums_are_not_sent_per_drug(no_broadcast):
+    """Beside a distinct count, all sums would be shuffled by prescriber and drug before they are by prescriber."""
+    x = inputs_for(no_broadcast, SMALL)
+    summary = build_prescriptions_summary(build_prescriptions(x.source("part_d"), x.source("leie")))
+    lines = plan_of(summary).splitlines()
+    assert not [n for n in lines if "Aggregate(keys=[NPI" in n and "GENERIC_NAME" in n.split("functions=")[0] and "sum(" in n]
+    assert [n for n in lines if "sum(" in n]
