@@ -176,3 +176,17 @@ def test_stream_picks_up_files_once_and_survives_a_new_checkpoint(spark, tmp_pat
     batch(spark, ("d", 4, 0), ("b", 0, 0)).coalesce(1).write.mode("append").parquet(landing)
     stream_upserts(spark, landing, one.schema, table, keep, str(tmp_path / "another"))
     assert content(table) == {"a": 1, "b": 20, "c": 3, "d": 4}
+
+
+def test_a_large_first_load_is_written_where_it_is_read(spark, tmp_path):
+    """Same table as by dealing all rows, with repeated keys, equal times, null times and a null key."""
+    rows = [(f"k{i % 90}", i, i % 4) for i in range(100)] + [("k5", 900, 3), ("k6", 901, None), (None, 1, 0), (None, 2, 1)]
+    tables = [MergedTable(spark, str(tmp_path / f"t{n}"), "k", buckets=4, large=n) for n in (0, 10**9)]
+    for table in tables:
+        assert table.merge(batch(spark, *rows).repartition(3))
+    assert content(tables[0]) == content(tables[1]) and tables[0].read().count() == 91
+    assert tables[0].high_water() == tables[1].high_water()
+    for table in tables:
+        assert table.merge(batch(spark, ("k7", 700, 4), ("new", 1, 0)))
+        assert not table.merge(batch(spark, ("k7", 700, 4), ("new", 1, 0)))
+    assert content(tables[0]) == content(tables[1]) and content(tables[0])["k7"] == 700

@@ -177,3 +177,34 @@ def test_histogram_edges(spark):
         got = aggregates.histogram(fine.select(column.alias("v")), "v", 2).orderBy("BIN").collect()
         assert [(r["BIN"], r["COUNT"]) for r in got] == [(1, 1), (2, 2)]
         assert (got[0]["BIN_START"], got[1]["BIN_END"]) == (1.001, 1.003)
+
+
+@pytest.mark.parametrize("large", [0, 10**9])
+def test_only_rows_of_repeated_keys_are_dealt(no_broadcast, rows, large):
+    """Equal to the window over all rows; without a repeated key nothing is shuffled."""
+    df = no_broadcast.range(400).select(
+        F.when(F.col("id") % 40 == 0, F.lit(None)).when(F.col("id") < 20, F.col("id") % 5).otherwise(F.col("id")).alias("k"),
+        F.col("id").alias("v"),
+        F.when(F.col("id") % 3 > 0, F.col("id") % 7).alias("w"),
+    )
+    newest = F.col("w").desc_nulls_first()
+    expected = rows(windows.keep_latest(df, ["k"], newest))
+    assert rows(windows.keep_latest_of_repeated(df, ["k"], newest, large)) == expected
+    single = df.where("k >= 20")
+    found = windows.keep_first_of_repeated(single, ["k"], [newest], large)
+    assert (found is None) == (large > 400)
+    if found is not None:
+        assert "Exchange" not in found._jdf.queryExecution().executedPlan().toString() and found.count() == single.count()
+    assert windows.keep_first_of_repeated(df.where("false"), ["k"], [newest], 1) is None
+
+
+@pytest.mark.parametrize("sent", [1, 2])
+def test_few_members_go_to_the_rows(no_broadcast, sent):
+    facts = no_broadcast.range(300).select((F.col("id") % 3).cast("string").alias("k"), "id")
+    members = no_broadcast.createDataFrame([("1",), ("1",), ("2",), ("",), (None,)], "k string")
+    flagged = joins.flag_member(facts, members, "k", "f", ["id"], sent=sent)
+    assert {(r["k"], r["f"], r["count"]) for r in flagged.groupBy("k", "f").count().collect()} == {
+        ("0", False, 100), ("1", True, 100), ("2", True, 100)
+    }
+    plan = flagged._jdf.queryExecution().optimizedPlan().toString()
+    assert ("strategy=broadcast" in plan and "__salt" not in plan) == (sent == 2)
