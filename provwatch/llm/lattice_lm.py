@@ -5,11 +5,14 @@ probability is the sum over them, by a forward recursion in log space. The vocab
 first weights; expectation maximisation over all distinct training words gives the final ones.
 
 Besides the paths over pieces, a word's lattice has one arc for the whole word, weighted by its training count. The
-share of the piece paths is the one that fits the training words best when each token is left out of its own count;
-the end has the whole-word arc only. A text's probability is a mixture of lattices: one whose whole-word arcs are the
-base's (count and one added), and one for each class of training texts (the language, say), with the class's counts
-smoothed towards the base. The class of a text that is scored is never looked at. Like the base, the score gives every
-unseen word the weight of one count and is not normalised over all unseen words; ``piece_score``, the probability over
+paths over pieces weigh what the base adds to every count: not one, but ``exp(slope * (log_p - centre))``, where log_p
+is the word's probability over all segmentations. ``slope`` says how fast the odds that a training word is seen twice
+rather than once grow with log_p (a logistic fit, Good and Turing's rate by spelling), ``centre`` is the mean log_p of
+words seen once: a word spelled like those gets one count, as in the base, one of likelier pieces more. A fit to the
+tokens' own likelihood cannot set these weights, as it prefers equal counts for all unseen words. The end has the
+whole-word arc only. A text's probability is a mixture of lattices: one with these arcs, and one for each class of
+training texts (the language, say), with the class's counts smoothed towards them. The class of a text that is scored is
+never looked at. Like the base, the score is not normalised over all unseen words; ``piece_score``, the probability over
 the pieces alone, is.
 
 Words are handled as types: every distinct word of the corpus is counted, segmented and scored once. The
@@ -40,6 +43,7 @@ _LONG = 48  # bytes; longer words are segmented one by one
 _ALPHA = 0.05  # added to every piece's expected count
 CLASSES = 16  # the most frequent ones; texts of others teach the base and the pieces
 _SMOOTHING = 5_000.0  # tokens that the base weighs in a class
+_SLOPE = (0.15, 1_000.0)  # of added counts: what a corpus of few words is held to, and how firmly
 _TYPES = 400_000  # word types a task holds before it emits them
 
 
@@ -338,8 +342,11 @@ def score_texts(
     scored = types.mapInArrow(_score_types(sent(lattice)), "word_hash long, c long, n long, of_class array<long>, log_p double")
     scored = saved(scored, f"{folder}/scored")
 
-    piece_share = _piece_share(scored, train_tokens, distinct) if train_tokens > ends else 1.0
     total = float(train_tokens + distinct + 1)
+    slope, centre = _spelling(scored)
+    # at most one count for each distinct token, so that every weight stays below one
+    added = F.least(slope * (F.col("log_p") - centre), F.lit(math.log(distinct + 1)))
+    granted = train_tokens + (scored.where("c > 0").agg(F.sum(F.exp(added))).first()[0] or 0.0) + (ends > 0) + 1.0
     # per lattice of the mixture: weight, tokens and ends of its training texts; the first is the base's
     parts_of = [(0.1 if names else 1.0, None, None)]
     texts = float(sum(r["count"] for r in sizes))
@@ -349,13 +356,13 @@ def score_texts(
         """Weight of a whole-word arc."""
         return base if tokens is None else (count + _SMOOTHING * base) / (tokens + _SMOOTHING)
 
-    arc = (F.col("c") + 1.0) / total
+    seen = (F.col("c") + F.exp(added)) / granted
     logs = []
     for k, (_, tokens, _) in enumerate(parts_of):
-        word = F.log(whole(arc, tokens, F.col("of_class")[k - 1] if k else None)) + (math.log1p(-piece_share) if piece_share < 1 else -1e9)
-        pieces = F.col("log_p") + math.log(piece_share)
-        top_term = F.greatest(word, pieces)
-        logs.append(top_term + F.log(F.exp(word - top_term) + F.exp(pieces - top_term)))
+        # of an unseen word only what is added, in logarithms: it may be too small for a double
+        unseen = added - math.log(granted) + (0.0 if tokens is None else math.log(_SMOOTHING / (tokens + _SMOOTHING)))
+        word = F.when(F.col("c") > 0, F.log(whole(seen, tokens, F.col("of_class")[k - 1] if k else None))).otherwise(unseen)
+        logs.append(word if train_tokens > ends else F.col("log_p"))
     scored = scored.select("word_hash", "c", "n", "log_p", *(x.alias(f"log_{k}") for k, x in enumerate(logs)))
 
     top = most_frequent(scored, "n", FREQUENT).toPandas().sort_values("word_hash")
@@ -376,7 +383,7 @@ def score_texts(
     of_word = [F.log10(F.col("c") + 1.0), (F.col("c") > 0).cast("double"), *(F.col(x) for x in ("log_p", *mixed))]
     rare = rare.groupBy("_row").agg(*(F.sum(F.col("times") * x).alias(f"rare_{k}") for k, x in enumerate(of_word)))
     both = [F.col(f"sum_{k}") + F.coalesce(f"rare_{k}", F.lit(0.0)) for k in range(len(values))]
-    end = (ends + 1.0) / total
+    end = (ends + 1.0) / granted
     terms = [
         math.log(weight) + x + math.log(whole(end, tokens, count)) for (weight, tokens, count), x in zip(parts_of, both[3:], strict=True)
     ]
@@ -394,12 +401,36 @@ def score_texts(
     )
 
 
-def _piece_share(scored: DataFrame, tokens: int, distinct: int) -> float:
-    """Share of the piece paths under which training tokens, each left out of its own count, are most likely."""
-    shares = [2.0**-k for k in range(1, 15)]
-    b = F.col("c") / float(tokens + distinct)
-    fits = scored.where("c > 0").agg(
-        *(F.sum(F.col("c") * F.log((1 - x) * b + x * F.exp("log_p"))).alias(f"s{k}") for k, x in enumerate(shares))
-    )
-    row = fits.first()
-    return max(zip(row, shares, strict=True))[1]
+def _spelling(scored: DataFrame) -> tuple[float, float]:
+    """Slope and centre of the counts that words get for their piece paths, from training words seen once or twice.
+
+    For counts of a rate r, words seen twice are r / 2 times those seen once, so the slope of these odds by log_p is that
+    of the logarithm of the rate. Words are binned by log_p within one per cent, which leaves some thousand rows.
+    """
+    number = F.floor(F.log(F.greatest(-F.col("log_p"), F.lit(1e-9))) * 100)
+    once, twice = F.col("c") == 1, F.col("c") == 2
+    bins = scored.where(once | twice).groupBy(number.alias("k")).agg(
+        F.sum("log_p").alias("sum"),
+        F.sum(F.when(once, F.col("log_p")).otherwise(0.0)).alias("sum_once"),
+        F.count_if(once).alias("once"),
+        F.count_if(twice).alias("twice"),
+    ).toPandas()
+    n_once, n_twice = bins["once"].to_numpy(float), bins["twice"].to_numpy(float)
+    prior, weight = _SLOPE
+    if n_once.sum():
+        centre = float(bins["sum_once"].sum() / n_once.sum())
+    else:
+        centre = float(scored.where("c > 0").agg(F.avg("log_p")).first()[0] or 0.0)
+    x = bins["sum"].to_numpy(float) / (n_once + n_twice) - centre
+    level, slope = 0.0, prior
+    for _ in range(100):
+        odds = np.clip(level + slope * x, -500, 500)
+        p = 1 / (1 + np.exp(-odds))
+        left, bend = n_twice - (n_once + n_twice) * p, (n_once + n_twice) * p * (1 - p)
+        gradient = np.array([left.sum() - level, (left * x).sum() - weight * (slope - prior)])
+        curve = np.array([[bend.sum() + 1, (bend * x).sum()], [(bend * x).sum(), (bend * x * x).sum() + weight]])
+        step = np.clip(np.linalg.solve(curve, gradient), [-1, -0.05], [1, 0.05])
+        level, slope = level + float(step[0]), slope + float(step[1])
+        if np.abs(step).max() < 1e-9:
+            break
+    return min(max(slope, 0.0), 1.0), centre

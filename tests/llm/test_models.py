@@ -123,6 +123,21 @@ def test_base_scores_of_awkward_documents(awkward, model, monkeypatch, frequent)
     assert all(r["score"] < 0 and r["piece_score"] < 0 and r["base"] == "kept" for r in found)
 
 
+def test_pieces_and_their_rounds_decide_the_score_of_unseen_words(spark, model):
+    """Two texts of one unseen word each, one in taught spelling: the base cannot tell them apart."""
+    taught = [(k, f"station{a} nation{a} {a}ation ration relation {b}tion", True) for k, (a, b) in enumerate(zip("abcdefgh", "klmnopqr"))]
+    docs = spark.createDataFrame([*taught, (100, "elation", False), (101, "xqzvkjw", False)], "doc_id long, text string, taught boolean")
+    scores = {}
+    for rounds in (0, 2):
+        found = {r["doc_id"]: r for r in lattice_lm.score_texts(docs, model, rounds=rounds).collect()}
+        assert found[100]["base_score"] == found[101]["base_score"] and found[100]["n_known"] == 1
+        likelier = found[100]["piece_score"] - found[101]["piece_score"]
+        assert found[100]["score"] - found[101]["score"] > 0.1 * likelier > 0.3
+        assert all(r["score"] < 0 for r in found.values())
+        scores[rounds] = found[100]["score"] - found[101]["score"]
+    assert abs(scores[2] - scores[0]) > 0.2
+
+
 def test_nothing_to_learn_from(awkward, nothing, model):
     found = lattice_lm.score_texts(awkward.withColumn("taught", F.lit(False)), model).collect()
     assert {(r["n_known"], r["train_tokens"]) for r in found} == {(0, 0)} and all(math.isfinite(r["score"]) for r in found)
