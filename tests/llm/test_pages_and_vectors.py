@@ -5,7 +5,7 @@ import pytest
 
 from provwatch.llm import multi_index_hashing
 from provwatch.llm.multi_index_hashing import nearest, substring_radii
-from provwatch.llm.wrapper_induction import align, extract, infer, wrappers
+from provwatch.llm.wrapper_induction import Positions, align, block_nodes, extract, induce, infer, wrappers
 
 MIDDLE = "/root/testdata/sf0.01"
 
@@ -70,6 +70,22 @@ def test_a_text_of_one_page_is_no_constant(spark):
     assert found[2] == f"Conclusion\n{'word ' * 9}2" and found[4].endswith("\nA single line")
 
 
+def test_an_optional_constant_of_the_wrapper_is_left_out(spark):
+    """On a third of all pages, in one path with varying texts: only the aligned position tells it from text."""
+    promo = "<h3>Download our app</h3>"
+    bodies = [f"<article><h1>Head {i}</h1>{promo if i % 3 == 0 else ''}<p>Story {i}</p></article>" for i in range(30)]
+    assert texts_of(spark, bodies) == {i: f"Head {i}\nStory {i}" for i in range(30)}
+    few = [b if i < 6 else b.replace(promo, "") for i, b in enumerate(bodies)]  # on two pages
+    assert "Download" in texts_of(spark, few)[0]
+
+
+def test_blocks_fall_on_positions_of_the_wrapper():
+    bodies = [f"<div><h1>H{i}</h1>{'<h3>S</h3>' if i else ''}<p>a</p><p>b{i}</p></div>" for i in range(3)]
+    at = [Positions(induce(bodies)).of(block_nodes(b)) for b in bodies]
+    assert at[1] == at[2] and at[0][0] == at[1][0] and at[0][1] == at[0][2] == at[1][2] == at[1][3]
+    assert len(set(at[1].values())) == 3 and Positions([]).of(block_nodes(bodies[0])) == {}
+
+
 def test_copies_of_a_page_keep_their_text(spark):
     found = texts_of(spark, [f"<nav>{i}</nav><article><p>The same story</p></article>" for i in range(9)])
     assert set(found.values()) == {"The same story"}
