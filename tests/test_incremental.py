@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import re
 from datetime import datetime, timedelta
 
 import pytest
@@ -190,3 +191,47 @@ def test_a_large_first_load_is_written_where_it_is_read(spark, tmp_path):
         assert table.merge(batch(spark, ("k7", 700, 4), ("new", 1, 0)))
         assert not table.merge(batch(spark, ("k7", 700, 4), ("new", 1, 0)))
     assert content(tables[0]) == content(tables[1]) and content(tables[0])["k7"] == 700
+
+
+def _shuffled_columns(df):
+    """Columns of each exchange of a plan."""
+    text = df.sparkSession._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
+    return [set(re.findall(r"(\w+)#\d+", line)) for line in re.findall(r"\) Exchange\nInput \[\d+\]: \[(.*?)\]", text)]
+
+
+def test_merging_shuffles_no_whole_rows(spark, tmp_path, monkeypatch):
+    """Rows of many positions and columns: exchanges carry hashes and positions, and the result is that of a plain merge."""
+    table = MergedTable(spark, str(tmp_path / "t"), "k", buckets=2)
+    wide = lambda df: df.withColumn("text", F.concat(F.lit("t"), F.col("v").cast("string")))
+    first = [(f"k{i}", i, 0) for i in range(9000)] + [(None, -1, 0)]
+    table.merge(wide(batch(spark, *first)))
+    seen = []
+    changes, prepare = MergedTable._changes, incremental._write_buckets
+    monkeypatch.setattr(MergedTable, "_changes", lambda self, *a: seen.append(changes(self, *a)) or seen[-1])
+    monkeypatch.setattr(incremental, "_write_buckets", lambda df, *a, **o: seen.append(df) or prepare(df, *a, **o))
+    # every third key thrice, older, newer and newest; some unchanged, some without time, some new
+    news = [(f"k{i}", 10 * i + d, d) for i in range(0, 9000, 3) for d in (-1, 1, 2)]
+    news += [(f"k{i}", i, 0) for i in range(1, 9000, 3)] + [("k2", 7, None), ("k5", 8, None), (None, -2, 1), ("new", 5, -3)]
+    assert table.merge(wide(batch(spark, *news)).repartition(3))
+    expected = {k: v for k, v, _ in first} | {f"k{i}": 10 * i + 2 for i in range(0, 9000, 3)}
+    expected |= {"k2": 7, "k5": 8, None: -2, "new": 5}
+    rows = table.read().collect()
+    assert {r["k"]: (r["v"], r["text"]) for r in rows} == {k: (v, f"t{v}") for k, v in expected.items()}
+    assert len(rows) == len(expected)
+    exchanged = [c for df in seen[:2] for c in _shuffled_columns(df)]
+    assert exchanged and not any(c & {"k", "v", "text"} for c in exchanged)
+
+
+def test_marked_rows_without_broadcast_are_the_same(spark, tmp_path):
+    tables = [MergedTable(spark, str(tmp_path / f"t{n}"), "k", buckets=2, sent=n) for n in (0, 10**6)]
+    for table in tables:
+        table.merge(batch(spark, *[(f"k{i}", i, 0) for i in range(50)]))
+        assert table.merge(batch(spark, *[(f"k{i}", -i, 1) for i in range(0, 90, 4)]))
+    assert content(tables[0]) == content(tables[1]) and tables[0].read().count() == 50 + 10
+
+
+def test_latest_part_d_rows_of_one_load_time(spark):
+    names = "PRSCRBR_NPI string, BRND_NAME string, GNRC_NAME string, cost int, _LOAD_TIMESTAMP timestamp_ntz"
+    rows = [("1", "b", "g", c, DAY + timedelta(days=d)) for c, d in ((5, 0), (3, 0), (9, 1))] + [("1", "b", None, 4, None)]
+    found = incremental.latest_part_d_rows(spark.createDataFrame(rows, names))
+    assert sorted((r["GNRC_NAME"] or "", r["cost"]) for r in found.collect()) == [("", 4), ("g", 3), ("g", 9)]
