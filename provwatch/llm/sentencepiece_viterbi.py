@@ -5,15 +5,20 @@ text, the search keeps the best score of each boundary in a window as long as th
 whenever the backpointer paths of all boundaries in the window meet in one boundary; what lies before it can no
 longer change. A character in no single-character piece costs the lowest score less 10 and is written as its UTF-8
 bytes (byte pieces), so that every text can be decoded exactly. One blank is put before a non-empty text.
+
+Where no piece crosses a blank, paths meet before every word. Such segments that fit in the window are searched many at
+once: the search is the same, with one numpy step for a boundary of all of them.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
-from functools import lru_cache
+from functools import cached_property, lru_cache
+from itertools import chain
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
@@ -21,7 +26,59 @@ from provwatch.llm.blocks import blocks
 from provwatch.llm.tokenizers_public import TokenizerFile
 
 MEMO = 400_000  # segments whose ids a worker remembers; more are encoded again
+LANES = 1 << 16  # characters of the segments that are searched at once
 _BLANK = "▁"
+_U = np.uint64
+_NO_CHARACTER = 0x110000  # above all of Unicode: fills lanes behind the end of their segment
+
+
+class PieceTree:
+    """Prefix tree of the pieces: children in an open-addressed table of (node, character), scores and ids by node."""
+
+    def __init__(self, ids: dict[str, int], scores: dict[str, float]):
+        nodes: dict[tuple[int, str], int] = {}
+        ends: dict[int, str] = {}
+        for piece in ids:
+            at = 0
+            for c in piece:
+                at = nodes.setdefault((at, c), len(nodes) + 1)
+            ends[at] = piece
+        self.score = np.full(len(nodes) + 1, -np.inf)
+        self.id = np.zeros(len(nodes) + 1, np.int64)
+        for node, piece in ends.items():
+            self.score[node], self.id[node] = scores[piece], ids[piece]
+        self.bits = max(4, (4 * len(nodes)).bit_length())
+        self.keys = np.full(1 << self.bits, -1, np.int64)
+        self.nodes = np.zeros(1 << self.bits, np.int32)
+        keys = np.array([node << 21 | ord(c) for node, c in nodes], np.int64)
+        values = np.array([*nodes.values()], np.int32)
+        at = self._slots(keys)
+        while len(keys):
+            free = np.flatnonzero(self.keys[at] < 0)
+            _, first = np.unique(at[free], return_index=True)
+            placed = free[first]
+            self.keys[at[placed]], self.nodes[at[placed]] = keys[placed], values[placed]
+            left = np.ones(len(keys), bool)
+            left[placed] = False
+            keys, values, at = keys[left], values[left], (at[left] + 1) & (len(self.keys) - 1)
+
+    def _slots(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.view(np.uint64) * _U(0x9E3779B97F4A7C15)) >> _U(64 - self.bits)).astype(np.int64)
+
+    def children(self, nodes: np.ndarray, characters: np.ndarray) -> np.ndarray:
+        """The child of each node by a character, 0 if there is none."""
+        keys = (nodes.astype(np.int64) << 21) | characters
+        at = self._slots(keys)
+        there = self.keys[at]
+        out = np.where(there == keys, self.nodes[at], 0)
+        open_ = np.flatnonzero((there != keys) & (there >= 0))
+        while len(open_):
+            at[open_] = (at[open_] + 1) & (len(self.keys) - 1)
+            there = self.keys[at[open_]]
+            same = there == keys[open_]
+            out[open_[same]] = self.nodes[at[open_[same]]]
+            open_ = open_[~same & (there >= 0)]
+        return out
 
 
 @dataclass
@@ -63,6 +120,10 @@ class Vocabulary:
             raise ValueError("the vocabulary needs byte pieces")
         return cls.of(ids, {p: m.get_score(i) for p, i in ids.items()}, byte_ids)
 
+    @cached_property
+    def tree(self) -> PieceTree:
+        return PieceTree(self.ids, self.scores)
+
 
 class StreamingViterbi:
     """Feed characters in any portions; ids come out as soon as they are certain."""
@@ -131,6 +192,72 @@ class StreamingViterbi:
         return out
 
 
+def search_lanes(v: Vocabulary, segments: list[str]) -> list[bytes]:
+    """Ids of each segment (packed int32), all advanced by one boundary at a time; for segments of similar length.
+
+    As in ``StreamingViterbi``, sums are taken in order of the text and the longest last piece wins among equal ones.
+    """
+    tree, n = v.tree, len(segments)
+    sizes = np.fromiter(map(len, segments), np.int64, n)
+    rows, longest = int(sizes.max()), min(v.longest, int(sizes.max()))
+    lane = np.repeat(np.arange(n), sizes)
+    row = np.arange(len(lane)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    text = np.full((rows + longest, n), _NO_CHARACTER, np.int64)
+    text[row, lane] = np.frombuffer("".join(segments).encode("utf-32-le"), np.uint32)
+
+    arcs = np.zeros((longest, rows * n), np.int32)  # by length and first character, the node of a piece
+    flat = text.reshape(-1)
+    live, node = row * n + lane, np.zeros(len(lane), np.int32)
+    for length in range(longest):
+        node = tree.children(node, flat[live + length * n])
+        on = node > 0
+        live, node = live[on], node[on]
+        ends = tree.score[node] > -np.inf
+        arcs[length, live[ends]] = node[ends]
+    arcs = arcs.reshape(longest, rows, n)
+    used = arcs.any(axis=2)
+
+    score = np.zeros((rows + 1, n))
+    back = np.zeros((rows + 1, n), np.int32)  # length of the last piece, 0 for a character in bytes
+    for end in range(1, rows + 1):
+        best, come = score[end - 1] + v.unknown, back[end]
+        for length in range(min(end, longest), 0, -1):
+            start = end - length
+            if used[length - 1, start]:
+                value = tree.score[arcs[length - 1, start]] + score[start]
+                better = value > best
+                best = np.where(better, value, best)
+                come[better] = length
+        score[end] = best
+
+    at, lane = sizes, np.arange(n)
+    codes, places = [], []
+    while len(lane):
+        length = back[at, lane]
+        start = at - np.maximum(length, 1)
+        codes.append(np.where(length > 0, tree.id[arcs[length - 1, start, lane]], -1 - text[start, lane]))
+        places.append(lane * rows + start)
+        at, lane = start[start > 0], lane[start > 0]
+    found, place = np.concatenate(codes), np.concatenate(places)
+    order = np.argsort(place)
+    found, lane = found[order], place[order] // rows
+    unknown = found < 0
+    if unknown.any():
+        character = np.where(unknown, -1 - found, 0)
+        size = 1 + (character >= 0x80) + (character >= 0x800) + (character >= 0x10000)
+        of = np.repeat(np.arange(len(found)), size)
+        character, size, left = character[of], size[of], np.cumsum(size)[of] - 1 - np.arange(len(of))  # UTF-8 bytes
+        byte = np.where(left + 1 < size, 0x80 | character >> 6 * left & 0x3F, 0xFF00 >> size & 0xFF | character >> 6 * left)
+        byte = np.where(size == 1, character, byte)
+        found, lane = np.where(unknown[of], np.array(v.byte_ids)[byte], found[of]), lane[of]
+    packed, cuts = found.astype(np.int32).tobytes(), (4 * np.cumsum(np.bincount(lane, minlength=n))).tolist()
+    return [packed[a:b] for a, b in zip([0, *cuts], cuts)]
+
+
+def _packed(ids: Iterable[int]) -> bytes:
+    return np.fromiter(ids, np.int32).tobytes()
+
+
 _SEGMENT = re.compile(r" +[^ ]*|[^ ]+")
 
 
@@ -139,33 +266,37 @@ class Encoder:
 
     def __init__(self, vocabulary: Vocabulary):
         self.v = vocabulary
-        self.memo: dict[str, list[int]] = {}
-
-    def _search(self, segment: str) -> list[int]:
-        search = StreamingViterbi(self.v)
-        if len(segment) <= 2 * self.v.longest:  # within one window: the paths' meeting need not be looked for
-            search.text = segment
-            search._advance()
-            return search._commit(len(segment))
-        return [*search.feed(segment), *search.finish()]
+        self.memo: dict[str, bytes] = {}  # ids as packed int32
+
+    def _search(self, segments: list[str]) -> Iterator[tuple[str, bytes]]:
+        short = sorted((s for s in segments if len(s) <= 2 * self.v.longest), key=len)
+        while short:
+            n = max(1, min(len(short), LANES // len(short[-1])))
+            some, short = short[-n:], short[:-n]
+            yield from zip(some, search_lanes(self.v, some), strict=True)
+        for segment in segments:
+            if len(segment) > 2 * self.v.longest:
+                search = StreamingViterbi(self.v)
+                yield segment, _packed(chain(search.feed(segment), search.finish()))
 
     def encode(self, text: str) -> list[int]:
-        if not text:
-            return []
-        if not self.v.splits:
-            return self._search(" " + text)
-        out: list[int] = []
+        return self.encode_all([text])[0].tolist()
+
+    def encode_all(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of each text. Segments that are not remembered are searched together."""
         memo = self.memo
-        for segment in _SEGMENT.findall(" " + text):
-            ids = memo.get(segment)
-            if ids is None:
-                ids = self._search(segment)
-                if len(segment) <= 64:
-                    if len(memo) >= MEMO:
-                        memo.clear()
-                    memo[segment] = ids
-            out += ids
-        return out
+        split = _SEGMENT.findall if self.v.splits else lambda text: [text]
+        segments = [split(" " + t) if t else [] for t in texts]
+        known = dict.fromkeys(chain.from_iterable(segments))
+        for segment in known:
+            known[segment] = memo.get(segment)
+        new = dict(self._search([s for s, ids in known.items() if ids is None]))
+        known |= new
+        if len(memo) + len(new) > MEMO:
+            memo.clear()  # what is in use stays
+            new = known
+        memo |= {s: ids for s, ids in new.items() if len(s) <= 64}
+        return [np.frombuffer(b"".join(map(known.__getitem__, s)), np.int32) for s in segments]
 
     def decode(self, ids: list[int]) -> str:
         text = b"".join(map(self.v.pieces.__getitem__, ids)).decode("utf-8", "replace")
@@ -196,13 +327,15 @@ def encode_texts(docs: DataFrame, tokenizer: TokenizerFile) -> DataFrame:
             for block in blocks(column):
                 n = block.last - block.first
                 texts = column.slice(block.first, n).to_pylist()
-                ids = [tool.encode(t) if t else [] for t in texts]
-                decoded = [None if t is None else tool.decode(i) for t, i in zip(texts, ids, strict=True)]
+                ids = tool.encode_all([t or "" for t in texts])
+                sizes = np.fromiter(map(len, ids), np.int64, n)
+                offsets = np.append(0, np.cumsum(sizes)).astype(np.int32)  # a text gives at most one id a byte, and a blank
+                decoded = [None if t is None else tool.decode(i.tolist()) for t, i in zip(texts, ids, strict=True)]
                 yield pa.RecordBatch.from_arrays(
                     [
                         *(c.slice(block.first, n) for c in batch.columns),
-                        pa.array(ids, pa.list_(pa.int32())),
-                        pa.array(map(len, ids), pa.int64()),
+                        pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(ids))),
+                        pa.array(sizes),
                         pa.array(decoded, pa.string()),
                     ],
                     names=[*names, "ids", "n_ids", "decoded"],

@@ -1,11 +1,14 @@
 from __future__ import annotations
 
 import random
+import time
 
+import numpy as np
 import pytest
 import sentencepiece
 
-from provwatch.llm.sentencepiece_viterbi import Encoder, StreamingViterbi, Vocabulary, encode_texts
+from provwatch.llm import sentencepiece_viterbi
+from provwatch.llm.sentencepiece_viterbi import Encoder, StreamingViterbi, Vocabulary, encode_texts, search_lanes
 from provwatch.llm.token_count_cache import cached_counts, token_counts
 from provwatch.llm.tokenizers_public import TokenizerFile, public_path
 
@@ -106,3 +109,38 @@ def test_only_distinct_misses_are_encoded(spark, model, tmp_path):
 def test_empty_tables(nothing, model, tmp_path):
     assert token_counts(nothing, model, f"{tmp_path}/cache").collect() == []
     assert encode_texts(nothing, model).collect() == []
+
+
+def test_segments_searched_at_once_have_the_ids_of_the_streaming_search():
+    rng = random.Random(5)
+    for letters in ("abc", "abé漢", "aé😀\t"):
+        for _ in range(100):
+            v = random_vocabulary(rng, letters)
+            segments = sorted(("".join(rng.choice(letters + "zß") for _ in range(rng.randint(1, 30))) for _ in range(40)), key=len)
+            for segment, ids in zip(segments, search_lanes(v, segments), strict=True):
+                alone = StreamingViterbi(v)
+                assert [*np.frombuffer(ids, np.int32)] == [*alone.feed(segment), *alone.finish()]
+
+
+def test_a_forgotten_segment_gives_the_same_ids(model, monkeypatch):
+    texts = [" ".join(f"w{i * j % 97}é" for j in range(60)) for i in range(40)]
+    expected = [*map(Encoder(Vocabulary.of_model(model.content)).encode, texts)]
+    monkeypatch.setattr(sentencepiece_viterbi, "MEMO", 50)
+    tool = Encoder(Vocabulary.of_model(model.content))
+    assert [x.tolist() for part in (texts[:15], texts[15:]) for x in tool.encode_all(part)] == expected
+
+
+def test_different_words_are_encoded_faster_than_one_after_the_other(model):
+    rng = random.Random(8)
+    v = Vocabulary.of_model(model.content)
+    Encoder(v).encode("x")  # its tree is built with the first search
+    words = ["".join(rng.choice("abcdeinorstué") for _ in range(10)) for _ in range(30_000)]
+    start = time.process_time()
+    ids = Encoder(v).encode(" ".join(words))
+    together = time.process_time() - start
+    start, one_by_one = time.process_time(), []
+    for word in words:
+        search = StreamingViterbi(v)
+        one_by_one += [*search.feed(" " + word), *search.finish()]
+    assert ids == one_by_one
+    assert together * 2 < time.process_time() - start
