@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from provwatch.llm.blocks import _CODES, Block, Words, blocks, mix, range_hashes, words
+from provwatch.llm.blocks import Block, Words, blocks, mix, range_hashes, word_hashes, words
 
 PERIOD = 13
 COVER = (0, 1, 3, 9)  # every remainder modulo 13 is a difference of two of these
@@ -160,7 +160,7 @@ def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _word_codes(block: Block) -> tuple[Words, np.ndarray]:
     found = words(block)
-    return found, range_hashes(_CODES[False][block.data], found.starts, found.ends)
+    return found, word_hashes(block, found, False)
 
 
 def _anchors(window: int, ranges: int) -> Callable:

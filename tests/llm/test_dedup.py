@@ -1,11 +1,15 @@
 from __future__ import annotations
 
 import random
+import tracemalloc
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from provwatch.llm import bottom_k_dedup
+from provwatch.llm.blocks import blocks, range_hashes, word_hashes, words
 from provwatch.llm.bottom_k_dedup import near_duplicates
 from provwatch.llm.substring_anchors import COVER, PERIOD, remove_repeats
 from tests.conftest import SMALL
@@ -131,3 +135,21 @@ def test_generated_documents_are_cut(spark):
 def test_windows_shorter_than_two_periods_are_refused(nothing):
     with pytest.raises(ValueError):
         remove_repeats(nothing, window=10)
+
+
+def test_hashing_a_block_takes_memory_for_a_part_of_it():
+    rng = np.random.default_rng(4)
+    texts = [" ".join(map(str, rng.integers(0, 5_000, 40_000))) for _ in range(9)]
+    (block,) = blocks(pa.array(texts), 1 << 22)
+    found = words(block)
+    word_hashes(block, found, fold=True)
+    tracemalloc.start()
+    hashes = word_hashes(block, found, fold=True)
+    windows = range_hashes(hashes, np.arange(len(hashes) - 35), np.arange(35, len(hashes)))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 8 * len(block.data) + hashes.nbytes + windows.nbytes  # one number a byte, where six were held at once
+    # equal sequences have equal hashes wherever they stand, and only they
+    assert len(set(zip(" ".join(texts).split(), hashes.tolist(), strict=True))) == len(np.unique(hashes)) == 5_000
+    at = rng.integers(0, len(windows), 500)
+    assert all(range_hashes(hashes[a : a + 35], np.array([0]), np.array([35]))[0] == windows[a] for a in at)
