@@ -5,7 +5,7 @@ import pytest
 
 from provwatch.llm import multi_index_hashing
 from provwatch.llm.multi_index_hashing import nearest, substring_radii
-from provwatch.llm.wrapper_induction import Positions, align, block_nodes, extract, induce, infer, wrappers
+from provwatch.llm.wrapper_induction import Aligned, Positions, _matching, align, block_nodes, extract, induce, infer, unite, wrappers
 
 MIDDLE = "/root/testdata/sf0.01"
 
@@ -86,6 +86,42 @@ def test_blocks_fall_on_positions_of_the_wrapper():
     assert len(set(at[1].values())) == 3 and Positions([]).of(block_nodes(bodies[0])) == {}
 
 
+def test_every_page_of_a_host_shapes_its_wrapper(spark):
+    """Of 24 pages a host 7 have the optional constant; whichever pages come first, it has a position."""
+    promo = "<h3>Download our app</h3>"
+    shape = "<body><article><h1>Head {0}</h1>{1}<p>Story {0}</p></article></body>"
+    rows = [(100 * h + i, f"http://h{h}.example/{i}", shape.format(f"{h} {i}", promo if i < 7 else "")) for h in range(100) for i in range(24)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    found = {r["page_id"]: r["text"] for r in extract(pages).collect()}
+    assert found == {100 * h + i: f"Head {h} {i}\nStory {h} {i}" for h in range(100) for i in range(24)}
+
+
+def test_wrappers_are_of_all_pages_and_of_whole_pages(spark):
+    many = "".join(f"<i class='k{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}{chr(97 + i // 676)}'>x</i>" for i in range(1400))
+    rows = [(i, "http://h.example", f"<body>{many}<h5>End {i}</h5>{'<h6>Late</h6>' if i > 20 else ''}</body>") for i in range(30)]
+    row = wrappers(spark.createDataFrame(rows, "page_id long, url string, html string")).first()
+    assert row["pages"] == 30 and row["expression"].endswith("<h5>#</h5>(<h6>)?(Late)?(</h6>)?</body>")
+
+
+def test_wrappers_of_parts_become_one():
+    a, b, c = ["tag", "a"], ["tag", "b"], ["tag", "c"]
+    left, right = Aligned([a, ["opt", [b]]], [40, 4], 40), Aligned([a, b, c], [30, 30, 1], 30)
+    found = unite([left, right])
+    assert found == Aligned([a, ["opt", [b]]], [70, 34], 70)  # c is on one of 70 pages
+    assert unite([Aligned([a, b], [1, 1], 1), Aligned([], [], 1)]).pages == 2
+
+
+def test_long_lists_match_as_short_ones_do():
+    rng = np.random.default_rng(5)
+    a = [int(x) for x in rng.integers(0, 900, 3000)]
+    b = [x for x in a if x % 7] + a[:5]
+    found = _matching(a, b)
+    assert sum(n for _, _, n in found) > 0.95 * (len(b) - 5)
+    ends = [(i + n, j + n) for i, j, n in found]
+    assert all(a[i : i + n] == b[j : j + n] for i, j, n in found)
+    assert all(p <= i and q <= j for (p, q), (i, j, _) in zip(ends, found[1:]))
+
+
 def test_copies_of_a_page_keep_their_text(spark):
     found = texts_of(spark, [f"<nav>{i}</nav><article><p>The same story</p></article>" for i in range(9)])
     assert set(found.values()) == {"The same story"}
