@@ -5,6 +5,7 @@ from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from provwatch.streaming import incremental
 from provwatch.streaming.incremental import MergedTable, since_watermark, stream_upserts, upsert
@@ -193,6 +194,37 @@ def test_a_large_first_load_is_written_where_it_is_read(spark, tmp_path):
     assert content(tables[0]) == content(tables[1]) and content(tables[0])["k7"] == 700
 
 
+def test_content_is_hashed_as_it_is_and_by_column(spark, tmp_path):
+    """No value of a simple type is turned into text for its hash; equal values of other columns are other content."""
+    table = MergedTable(spark, str(tmp_path / "t"), "k", buckets=2)
+    wide = "k string, a decimal(27,2), b decimal(27,2), c bigint, d date, e double, f array<int>, _LOAD_TIMESTAMP timestamp_ntz"
+    rows = [("x", 1, None, 2, None, 0.5, [1], DAY), ("y", None, None, None, DAY.date(), None, None, DAY)]
+    make = lambda *r: spark.createDataFrame(r, "k string, a int, b int, c bigint, d date, e double, f array<int>, _LOAD_TIMESTAMP timestamp_ntz").to(
+        T._parse_datatype_string(wide)
+    )
+    assert table.merge(make(*rows)) and not table.merge(make(*rows))
+    plan = spark._jvm.PythonSQLUtils.explainString(table._incoming(make(*rows).coalesce(2))._jdf.queryExecution(), "simple")
+    line = next(x for x in plan.splitlines() if "AS row_content" in x)
+    assert set(re.findall(r"cast\((\w+)#\d+\w* as string\)", line)) == {"e", "f"}
+    assert table.merge(make(("x", None, 1, 2, None, 0.5, [1], DAY)))  # from a to b
+    assert [tuple(r)[:4] for r in table.read().orderBy("k").collect()] == [("x", None, 1, 2), ("y", None, None, None)]
+    assert not table.merge(make(("x", None, 1, 2, None, 0.5, [1], DAY)).drop("a"))  # what is absent counts as NULL
+
+
+def test_ties_of_a_batch_are_decided_by_text(spark, tmp_path):
+    """Different rows of a key and load time: the same one wins in a first load, in a merge, and where it is there already."""
+    news = [(f"k{i % 40}", i, 3) for i in range(200)]
+    text = lambda k, v: F.xxhash64(F.lit(f"k={k}"), F.lit(f"v={v}"))
+    hashes = spark.range(1).select(*[text(k, v) for k, v, _ in news]).first()
+    wins = {k: v for (k, v, _), _ in sorted(zip(news, hashes, strict=True), key=lambda x: -x[1])}
+    for name, first in (("none", []), ("old", [(f"k{i}", -1, 1) for i in range(40)]), ("there", [(k, v, 3) for k, v, _ in news[:40]])):
+        table = MergedTable(spark, str(tmp_path / name), "k", buckets=2)
+        if first:
+            table.merge(batch(spark, *first))
+        table.merge(batch(spark, *news).repartition(3))
+        assert content(table) == wins
+
+
 def _shuffled_columns(df):
     """Columns of each exchange of a plan."""
     text = df.sparkSession._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
